@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from meterline.session import setting
 from meterline.sources.files import existing_paths, read_csv
 
 
@@ -100,7 +101,8 @@ def _month_pattern(template: str, service: str) -> tuple[str, int, int]:
 def create_then_append(df: DataFrame, table: str, chunk_rows: int = 100_000) -> None:
     """An empty table first, then its rows, with at most `chunk_rows` to a file."""
     df.limit(0).write.mode("overwrite").saveAsTable(table)
-    df.write.mode("append").option("maxRecordsPerFile", chunk_rows).saveAsTable(table)
+    with setting(df.sparkSession, "spark.sql.files.maxRecordsPerFile", str(chunk_rows)):
+        df.write.insertInto(table)
 
 
 def create_if_absent(

@@ -74,7 +74,7 @@ def csv_lenient(spark, sf):
     path = scratch_path(spark, "lenient_csv")
     line = F.expr(
         "concat_ws(',', p_partkey, p_name, case p_type when 'ECONOMY' then null "
-        "when 'SMALL' then 'x' when 'PROMO' then concat(p_size, ',surplus,1') else p_size end)"
+        "when 'SMALL' then 'x' when 'PROMO' then concat(p_size, ',surplus,1') else cast(p_size as string) end)"
     )
     lines = table(spark, sf, "part").select(line.alias("p_partkey,p_name,p_size"))
     lines.write.options(header=True, sep="\u0001").csv(path)

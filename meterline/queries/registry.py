@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from meterline.session import ship_package
+
 
 @dataclass(frozen=True)
 class Query:
@@ -20,6 +22,7 @@ class Query:
     def run(self, spark: SparkSession, sf_dir: str) -> DataFrame:
         if spark.conf.get("spark.sql.session.timeZone") != "UTC":
             spark.conf.set("spark.sql.session.timeZone", "UTC")
+        ship_package(spark)
         return portable(self.build(spark, sf_dir))
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 from contextlib import contextmanager
@@ -18,6 +20,7 @@ DEFAULTS = {
 }
 
 _local_scratch: dict[str, str] = {}
+_shipped: set[str] = set()
 
 
 def build_session(app: str = "meterline", master: str | None = None, **conf: str) -> SparkSession:
@@ -76,3 +79,20 @@ def setting(spark: SparkSession, key: str, value: str):
             spark.conf.unset(key)
         else:
             spark.conf.set(key, before)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application.
+
+    Needed for the Arrow functions where the package is not installed on the executors.
+    """
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    home = os.path.dirname(os.path.abspath(__file__))
+    folder = tempfile.mkdtemp(prefix="meterline-package-")
+    archive = shutil.make_archive(
+        os.path.join(folder, "meterline"), "zip", os.path.dirname(home), os.path.basename(home)
+    )
+    spark.sparkContext.addPyFile(archive)
+    _shipped.add(app)
