@@ -5,29 +5,31 @@ from __future__ import annotations
 from collections.abc import Iterable
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _one_per_key(df: DataFrame, keys: list[str], order: list, ties: list[str] | None) -> DataFrame:
+def _one_per_key(
+    df: DataFrame, keys: list[str], by: str, first: Column, ties: list[str] | None
+) -> DataFrame:
     """Row number 1 of each key.
 
     Written as a filter directly on the row number so that Spark limits each group ahead of the
     shuffle: a key with very many copies reaches the reducer as one row per input task.
     """
-    rest = ties if ties is not None else [c for c in df.columns if c not in keys]
-    window = Window.partitionBy(*keys).orderBy(*order, *[F.col(c).asc_nulls_last() for c in rest])
+    rest = ties if ties is not None else [c for c in df.columns if c not in (*keys, by)]
+    window = Window.partitionBy(*keys).orderBy(first, *[F.col(c).asc_nulls_last() for c in rest])
     return df.withColumn("_rn", F.row_number().over(window)).where("_rn = 1").drop("_rn")
 
 
 def latest_per_key(df: DataFrame, keys: list[str], by: str, ties: list[str] | None = None):
     """The row with the largest `by`; nulls come last, equal rows are settled by `ties`."""
-    return _one_per_key(df, keys, [F.col(by).desc_nulls_last()], ties)
+    return _one_per_key(df, keys, by, F.col(by).desc_nulls_last(), ties)
 
 
 def first_per_key(df: DataFrame, keys: list[str], by: str, ties: list[str] | None = None):
     """The row with the smallest `by`; nulls come last, equal rows are settled by `ties`."""
-    return _one_per_key(df, keys, [F.col(by).asc_nulls_last()], ties)
+    return _one_per_key(df, keys, by, F.col(by).asc_nulls_last(), ties)
 
 
 def union_aligned(a: DataFrame, b: DataFrame) -> DataFrame:

@@ -69,10 +69,9 @@ def none_negative(*names: str) -> Column:
 
 
 def newer_than(df: DataFrame, column: str, target: DataFrame) -> DataFrame:
-    """Rows past the largest value in the target; all rows while the target is empty.
+    """Rows past the largest value in the target; none while the target is empty.
 
-    Spark evaluates the scalar subquery once, before the scan, and pushes its value down.
+    The scalar subquery runs once, ahead of the scan, and its value takes part in the scan's
+    filter. `materialize.newer_rows` is the form for loads, with a first run that takes all rows.
     """
-    high = target.agg(F.max(column).alias("high"))
-    mark = high.scalar()
-    return df.where(mark.isNull() | (F.col(column) > mark))
+    return df.where(F.col(column) > target.agg(F.max(column)).scalar())

@@ -77,23 +77,26 @@ def insert_only_merge(source: DataFrame, table: str, key: list[str]) -> int:
     return seen.get["rows"]
 
 
-def upsert(source: DataFrame, table: str, key: list[str]) -> None:
+def upsert(source: DataFrame, table: str, key: list[str], stage: bool = True) -> None:
     """Replace the rows whose key the source holds and insert the others.
 
     The source key must be unique. A row whose key moves to another partition leaves the old one.
+    The source is looked at several times, so it is written out once first, unless it already is a
+    stored table and `stage` is turned off.
     """
+    source = _staged(source) if stage else source
     repeated = source.groupBy(*key).count().where("count > 1")
     if not repeated.isEmpty():
         raise ValueError(f"source rows share a key {key}: {repeated.first()}")
     _replace_keys(source, table, key)
 
 
-def delete_insert(source: DataFrame, table: str, key: list[str]) -> None:
+def delete_insert(source: DataFrame, table: str, key: list[str], stage: bool = True) -> None:
     """Delete every target row whose key occurs in the source, then insert the source.
 
-    Neither side needs a unique key.
+    Neither side needs a unique key. As for `upsert`, the source is written out once first.
     """
-    _replace_keys(source, table, key)
+    _replace_keys(_staged(source) if stage else source, table, key)
 
 
 def _replace_keys(source: DataFrame, table: str, key: list[str]) -> None:

@@ -9,6 +9,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 BLOCK = 1024
 
@@ -63,8 +65,14 @@ def _one_block(rows, queries, corpus, k, query_id, corpus_id, corpus_vector) ->
     ids = [r[0] for r in rows]
     matrix = _unit(np.array([r[1] for r in rows], dtype="float64"))
     shared = spark.sparkContext.broadcast((ids, matrix))
-    query_type = queries.schema[query_id].dataType.simpleString()
-    corpus_type = corpus.schema[corpus_id].dataType.simpleString()
+    result = StructType(
+        [
+            StructField("query", queries.schema[query_id].dataType),
+            StructField("match", corpus.schema[corpus_id].dataType),
+            StructField("similarity", DoubleType()),
+        ]
+    )
+    arrow_result = to_arrow_schema(result)
 
     def best_of_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         query_ids, unit_queries = shared.value
@@ -87,11 +95,11 @@ def _one_block(rows, queries, corpus, k, query_id, corpus_id, corpus_vector) ->
                 out_corpus += names[keep].tolist()
                 out_score += column[keep].tolist()
             yield pa.RecordBatch.from_pydict(
-                {"query": out_query, "match": out_corpus, "similarity": out_score}
+                {"query": out_query, "match": out_corpus, "similarity": out_score},
+                schema=arrow_result,
             )
 
-    best = corpus.select(corpus_id, corpus_vector).where(F.col(corpus_vector).isNotNull()).mapInArrow(
-        best_of_batch, f"query {query_type}, match {corpus_type}, similarity double"
-    )
+    vectors = corpus.select(corpus_id, corpus_vector).where(F.col(corpus_vector).isNotNull())
+    best = vectors.mapInArrow(best_of_batch, result)
     order = Window.partitionBy("query").orderBy(F.desc("similarity"), F.asc("match"))
     return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)

@@ -100,7 +100,9 @@ LANGUAGES = {
 
 
 def payment_types(spark: SparkSession) -> DataFrame:
-    """The payment lookup as (payment_type, description)."""
-    return spark.createDataFrame(
-        list(PAYMENT_TYPES.items()), "payment_type int, description string"
-    )
+    """The payment lookup as (payment_type, description).
+
+    Written as literal rows, whose size Spark knows, so joins with it are broadcast.
+    """
+    rows = ", ".join(f"({code}, '{name}')" for code, name in PAYMENT_TYPES.items())
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS t(payment_type, description)")
