@@ -77,9 +77,9 @@ def as_utc_naive(ts: Column, zone: str | None = None) -> Column:
     return moved.cast("timestamp_ntz")
 
 
-def safe_int(value: Column) -> Column:
-    """Null instead of an error. Goes through double so that '1.0' gives 1."""
-    return value.cast("string").try_cast("double").try_cast("int")
+def safe_int(value: Column, text: bool = True) -> Column:
+    """Null instead of an error. Text goes through double so that '1.0' gives 1."""
+    return (value.try_cast("double") if text else value).try_cast("int")
 
 
 def decimal_of(value: Column, precision: int = 18, scale: int = 3) -> Column:

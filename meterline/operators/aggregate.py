@@ -8,14 +8,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def exact_sum(value: Column, scale: int = 2) -> Column:
-    """Sum of a money column that does not depend on the order of the rows, as a double."""
-    return F.sum(value.cast(f"decimal(18,{scale})")).cast("double")
+def exact_sum(value: Column, scale: int = 3) -> Column:
+    """Sum of money or distances to a fixed number of decimals, as a double.
+
+    Values are added up as whole numbers of the last decimal, so the result does not depend on the
+    order of the rows, and the sum stays a plain long in generated code, which a decimal of this
+    size would not. An overflow raises an error. NaN counts as missing.
+    """
+    unit = float(10**scale)
+    number = value.cast("double")
+    whole = F.when(~F.isnan(number), F.rint(number * F.lit(unit)).cast("bigint"))
+    return F.sum(whole) / F.lit(unit)
 
 
-def exact_avg(value: Column, scale: int = 2) -> Column:
-    """Average over non-null values from an exact sum, as a double."""
-    return exact_sum(value, scale) / F.count(value)
+def exact_avg(value: Column, scale: int = 3) -> Column:
+    """Average over the values that are there, from an exact sum, as a double."""
+    return exact_sum(value, scale) / F.count(F.nanvl(value.cast("double"), F.lit(None)))
 
 
 def rollout(

@@ -124,14 +124,14 @@ def takings_by_zone(trips: DataFrame, zones: DataFrame, day: str) -> DataFrame:
     by_location = (
         trips.where(on_day("pickup_datetime", day))
         .groupBy("pickup_location_id")
-        .agg(F.sum(F.col("total_amount").cast("decimal(18,2)")).alias("part"))
+        .agg(exact_sum(F.col("total_amount")).alias("part"))
     )
     named = lookup(
         by_location, zones, "pickup_location_id", "location_id", {"pickup_zone": "zone"}, "inner"
     )
     return (
         named.groupBy("pickup_zone")
-        .agg(F.sum("part").cast("double").alias("takings"))
+        .agg(exact_sum(F.col("part")).alias("takings"))
         .orderBy(F.desc("takings"), "pickup_zone")
     )
 

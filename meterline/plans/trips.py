@@ -69,7 +69,8 @@ def standardise(raw: DataFrame, service: str, window: tuple | None = None) -> Da
     if window:
         named = named.where(in_window("pickup_datetime", *window))
     typed = cast_columns(named, {n: "int" for n in IDS})
-    typed = typed.withColumns({n: safe_int(F.col(n)) for n in CODES})
+    kinds = dict(named.dtypes)
+    typed = typed.withColumns({n: safe_int(F.col(n), kinds[n] == "string") for n in CODES})
     typed = typed.withColumns({n: decimal_of(F.col(n)) for n in [*MONEY, "trip_distance"]})
     typed = cast_columns(typed, {n: "timestamp" for n in STAMPS} | {"store_and_fwd_flag": "string"})
     return tag(typed.where(no_nulls("vendor_id")), "service_type", service).select(*UNIFIED)
