@@ -46,3 +46,5 @@ def load_new_files(
         .start()
     )
     query.awaitTermination()
+    # A stream works in a session of its own; this one may still hold the old list of files.
+    spark.catalog.refreshTable(table)
