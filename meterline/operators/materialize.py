@@ -16,7 +16,7 @@ from pyspark.sql.types import StructType
 
 from meterline.operators.aggregate import high_water_mark
 from meterline.operators.filters import in_window, partition_window, touched_days
-from meterline.operators.joins import anti_join
+from meterline.operators.joins import anti_join, broadcast_limit, estimated_bytes
 from meterline.session import scratch_path, setting
 
 
@@ -108,7 +108,11 @@ def _replace_keys(source: DataFrame, table: str, key: list[str]) -> None:
         refill(merged, table)
         return
     keys = source.select(*key).distinct()
-    held = target.select(*{*key, part}).distinct().join(keys, key, "left_semi").select(part)
+    held = target.select(*dict.fromkeys([*key, part]))
+    if estimated_bytes(keys) > broadcast_limit(keys):
+        # Both sides are shuffled then; one row per key and partition keeps a hot key small.
+        held = held.distinct()
+    held = held.join(keys, key, "left_semi").select(part)
     touched = [r[0] for r in held.union(source.select(part)).distinct().collect()]
     kept = anti_join(target.where(F.col(part).isin(touched)), source, key)
     _overwrite(kept.unionByName(source.select(*target.columns)), table, part, touched)

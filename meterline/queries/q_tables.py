@@ -160,11 +160,13 @@ def interval_replaced(spark, sf):
 
 @query(
     "M7 A11 F8",
-    f"""WITH {ORDERS_SQL}
-SELECT * EXCLUDE (o_orderstatus) REPLACE ({STAMP},
-  CASE WHEN o_orderdate < TIMESTAMP '1998-01-01' THEN o_totalprice ELSE o_totalprice + 1 END
-    AS o_totalprice)
-FROM o WHERE o_orderdate >= TIMESTAMP '1998-01-01' OR o_orderstatus <> 'P'""",
+    f"""WITH {ORDERS_SQL},
+loaded AS (SELECT * FROM o WHERE o_orderdate < TIMESTAMP '1998-01-01' AND o_orderstatus <> 'P')
+SELECT * EXCLUDE (o_orderstatus) REPLACE ({STAMP}) FROM (
+  SELECT * FROM loaded
+  UNION ALL
+  SELECT * REPLACE (o_totalprice + 1 AS o_totalprice) FROM o
+  WHERE o_orderdate > (SELECT max(o_orderdate) FROM loaded))""",
 )
 def watermark_increment(spark, sf):
     """The rows left out of the first load are late in the second one and stay out."""

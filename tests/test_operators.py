@@ -43,11 +43,14 @@ def test_one_row_per_key_against_python(spark, data):
     st.lists(st.tuples(small, st.integers(0, 9)), max_size=60),
     st.lists(small, max_size=20),
     st.integers(1, 5),
+    st.sampled_from([0, 10**9]),
 )
-def test_anti_join_against_python(spark, left, right, hot_rows):
+def test_anti_join_against_python(spark, left, right, hot_rows, small_bytes):
     l_df = spark.createDataFrame(left, "k int, v int").repartition(4)
     r_df = spark.createDataFrame([(k,) for k in right], "k int")
-    got = rows(J.anti_join(l_df, r_df, ["k"], hot_rows=hot_rows, spread=3))
+    got = rows(
+        J.anti_join(l_df, r_df, ["k"], small_bytes=small_bytes, hot_rows=hot_rows, spread=3)
+    )
     held = {k for k in right if k is not None}
     assert Counter(got) == Counter(r for r in left if r[0] not in held)
 
@@ -58,12 +61,21 @@ def test_anti_join_spreads_one_key_of_exact_copies(spark):
         F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"), F.lit("x").alias("v")
     )
     right = spark.range(1, 15000).select(F.col("id").alias("k"))
-    got = J.anti_join(left, right, ["k"], hot_rows=1000, spread=8)
+    got = J.anti_join(left, right, ["k"], small_bytes=0, hot_rows=1000, spread=8)
     assert got.where("k = 0").count() == 10000
     assert got.where("k <> 0").count() == left.where("k >= 15000").count()
     assert got.where("k = 0").select(F.spark_partition_id()).distinct().count() > 1
 
 
+def test_anti_join_with_a_small_left_side_does_not_shuffle_the_right(spark):
+    left = spark.sql("SELECT * FROM VALUES (1L, 'a'), (1L, 'a'), (2L, 'b'), (NULL, 'c') AS t(k, v)")
+    right = spark.range(2, 100000).select(F.col("id").alias("k"))
+    got = J.anti_join(left, right, ["k"], small_bytes=10000)
+    assert sorted(rows(got), key=str) == [(1, "a"), (1, "a"), (None, "c")]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "LeftSemi, BuildRight" in plan
+
+
 def test_orphans_count_rows_and_skip_nulls(spark):
     child = spark.createDataFrame([(1,), (1,), (2,), (None,), (9,)], "k int")
     parent = spark.createDataFrame([(2,), (2,), (None,)], "p int")
