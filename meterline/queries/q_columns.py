@@ -52,12 +52,14 @@ def lineage_columns(spark, sf):
 @query(
     "P6",
     f"""WITH {A.RAW_SQL}
-SELECT vendor_id AS "VendorID", trip_distance, payment_type FROM raw WHERE l_linestatus = 'O'""",
+SELECT vendor_id AS "VendorID", trip_distance, CAST(payment_type AS VARCHAR) AS payment_type
+FROM raw WHERE l_linestatus = 'O'""",
 )
 def shared_columns(spark, sf):
     green = A.green(spark, sf).drop("fare_amount", "store_and_fwd_flag")
     yellow = A.yellow(spark, sf).select("payment_type", "trip_distance", "VendorID")
-    return green.select(*C.shared_columns(green, yellow))
+    shared = green.select(*C.shared_columns(green, yellow))
+    return C.cast_columns(shared, {"payment_type": "string"})
 
 
 @query(
@@ -89,7 +91,8 @@ def typed_columns(spark, sf):
 @query(
     "P8 X16",
     """SELECT p_partkey,
-       CASE p_partkey % 4 WHEN 0 THEN p_size WHEN 1 THEN p_size END AS code
+       CASE p_partkey % 4 WHEN 0 THEN CAST(p_size AS VARCHAR) WHEN 1 THEN CAST(p_size AS VARCHAR) END
+         AS code
 FROM part""",
 )
 def safe_casts(spark, sf):
@@ -98,7 +101,7 @@ def safe_casts(spark, sf):
         "case p_partkey % 4 when 0 then cast(p_size as string) when 1 then p_size || '.0' "
         "when 2 then p_name end as text",
     )
-    return texts.select("p_partkey", fn.safe_int(F.col("text")).alias("code"))
+    return texts.select("p_partkey", fn.safe_int(F.col("text")).cast("string").alias("code"))
 
 
 @query(

@@ -101,10 +101,13 @@ def staged_trips(spark, sf):
 
 @query(
     "U1 P3 P4 P7 P8 P9 F6",
-    f"""WITH {A.UNIONED_SQL} SELECT * {A.STAMP_COLUMNS} FROM unioned""",
+    f"""WITH {A.UNIONED_SQL}, shown AS (
+  SELECT * REPLACE (CAST(payment_type AS VARCHAR) AS payment_type) FROM unioned)
+SELECT * {A.STAMP_COLUMNS} FROM shown""",
 )
 def unioned_trips(spark, sf):
-    return trips.unite(A.green(spark, sf), A.yellow(spark, sf))
+    united = trips.unite(A.green(spark, sf), A.yellow(spark, sf))
+    return united.withColumn("payment_type", F.col("payment_type").cast("string"))
 
 
 @query(

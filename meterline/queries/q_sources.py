@@ -52,7 +52,8 @@ def csv_all_text(spark, sf):
 def csv_inferred(spark, sf):
     path = scratch_path(spark, "supplier_csv")
     table(spark, sf, "supplier").write.csv(path, header=True)
-    return S.read_csv(spark, path, infer=True)
+    rows = S.read_csv(spark, path, infer=True)
+    return rows.withColumn("s_suppkey", F.col("s_suppkey").cast("bigint"))
 
 
 @query("S5 S14", ORDERS_SQL)
@@ -66,7 +67,8 @@ LENIENT = struct("p_partkey bigint, p_name string, p_size int")
 
 @query(
     "S6",
-    """SELECT p_partkey, p_name, CASE WHEN p_type IN ('ECONOMY', 'SMALL') THEN NULL ELSE p_size END AS p_size
+    """SELECT p_partkey, p_name,
+       CASE WHEN p_type NOT IN ('ECONOMY', 'SMALL') THEN CAST(p_size AS VARCHAR) END AS p_size
 FROM part""",
 )
 def csv_lenient(spark, sf):
@@ -78,7 +80,7 @@ def csv_lenient(spark, sf):
     )
     lines = table(spark, sf, "part").select(line.alias("p_partkey,p_name,p_size"))
     lines.write.options(header=True, sep="\u0001").csv(path)
-    return S.read_csv(spark, path, LENIENT)
+    return S.read_csv(spark, path, LENIENT).withColumn("p_size", F.col("p_size").cast("string"))
 
 
 @query(
