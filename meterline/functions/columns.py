@@ -157,4 +157,6 @@ def base_id(base: Column) -> Column:
     """
     digits = F.when(base.rlike("^.[0-9]{1,18}$"), F.substring(base, 2, 18)).cast("bigint")
     prefix = F.when(digits % 7 == 0, "s/").when(digits % 3 == 0, "a/").otherwise("e/")
-    return F.when(digits.isNotNull(), F.concat(prefix, F.format_string("%03x", digits)))
+    places = F.lower(F.hex(digits))
+    padded = F.when(F.length(places) < 3, F.lpad(places, 3, "0")).otherwise(places)
+    return F.concat(prefix, padded)

@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from meterline import schemas
 from meterline.queries.registry import table
 
-PICKUP = "l_shipdate + make_dt_interval(0, l_orderkey % 4, 0, 0)"
-DROPOFF = f"{PICKUP} + make_dt_interval(0, 0, 0, l_partkey * 7 % 7200 - 60)"
+PICKUP = "timestampadd(HOUR, l_orderkey % 4, l_shipdate)"
+DROPOFF = f"timestampadd(SECOND, l_partkey * 7 % 7200 - 60, {PICKUP})"
 
 
 def _raw(spark: SparkSession, sf: str, status: str, prefix: str, *extra: str) -> DataFrame:
@@ -187,7 +187,7 @@ def extracted_trips(spark: SparkSession, sf: str) -> DataFrame:
     return (
         table(spark, sf, "lineitem")
         .withColumn(
-            "dropoff", F.expr("l_shipdate + make_dt_interval(0, 0, 0, l_partkey % 4 * 90 - 30)")
+            "dropoff", F.expr("timestampadd(SECOND, l_partkey % 4 * 90 - 30, l_shipdate)")
         )
         .selectExpr(
             "cast(l_suppkey % 4 as int) as vendor_id",
@@ -211,8 +211,7 @@ def extracted_trips(spark: SparkSession, sf: str) -> DataFrame:
             "l_extendedprice as total_amount",
             "cast(2.5 as double) as congestion_surcharge",
             "case when l_linestatus = 'F' then 'yellow' else 'green' end as taxi_type",
-            "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, l_orderkey)"
-            " as extracted_at",
+            "timestampadd(SECOND, l_orderkey, timestamp_ntz'2024-01-01 00:00:00') as extracted_at",
         )
     )
 

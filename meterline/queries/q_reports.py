@@ -349,9 +349,9 @@ FROM lineitem"""
 
 def _base_trips(spark, sf):
     return table(spark, sf, "lineitem").selectExpr(
-        "format_string('B%05d', l_suppkey) as dispatching_base_num",
+        "concat('B', lpad(l_suppkey, greatest(5, length(l_suppkey)), '0')) as dispatching_base_num",
         "l_shipdate as pickup_datetime",
-        "l_shipdate + make_dt_interval(0, l_orderkey % 48, 0, 0) as dropoff_datetime",
+        "timestampadd(HOUR, l_orderkey % 48, l_shipdate) as dropoff_datetime",
         "l_linenumber as PULocationID",
         "l_partkey as DOLocationID",
     )
