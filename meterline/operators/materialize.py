@@ -43,8 +43,14 @@ def refill(df: DataFrame, table: str) -> None:
 
 
 def append(df: DataFrame, table: str) -> None:
-    """Add rows; columns are matched by name."""
-    _positional(df, table).write.insertInto(table)
+    """Add rows; columns are matched by name.
+
+    For a partitioned table the rows of a partition are gathered first, else every task would
+    write a file into every partition.
+    """
+    parts = _partition_columns(df.sparkSession, table)
+    gathered = df.hint("rebalance", *parts) if parts else df
+    _positional(gathered, table).write.insertInto(table)
 
 
 def append_with_drift(df: DataFrame, table: str) -> None:
@@ -191,8 +197,12 @@ def _positional(df: DataFrame, table: str) -> DataFrame:
     return df.select(*df.sparkSession.table(table).columns)
 
 
+def _partition_columns(spark: SparkSession, table: str) -> list[str]:
+    return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+
+
 def _partition_column(spark: SparkSession, table: str) -> str | None:
-    names = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+    names = _partition_columns(spark, table)
     if len(names) > 1:
         raise ValueError("tables with one partition column only")
     return names[0] if names else None

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from meterline import functions as fn
 from meterline.operators import materialize as M
 from meterline.operators.layout import write_by_date
-from meterline.plans import trips
+from meterline.plans import raw_load, trips
 from meterline.queries import adapters as A
 from meterline.queries.q_reports import fact
 from meterline.queries.registry import query, table
@@ -311,3 +311,51 @@ def stream_file_load(spark, sf):
             spark, folder, orders.schema, name, ["o_orderkey"], checkpoint, files_per_batch=2
         )
     return spark.table(name).select("o_orderkey", "o_totalprice")
+
+
+def _raw_load_sql(row_id: str) -> str:
+    return f"""WITH {A.RAW_SQL},
+keyed AS (
+  SELECT {row_id} AS unique_row_id, CAST(vendor_id AS VARCHAR) AS "VendorID",
+         strftime(pickup_datetime, '%Y-%m-%d %H:%M:%S') AS tpep_pickup_datetime,
+         CAST(pickup_location_id AS VARCHAR) AS "PULocationID", fare_amount
+  FROM raw WHERE l_linestatus = 'F')
+SELECT * FROM keyed"""
+
+
+KEY_TEXT = (
+    "CAST(vendor_id AS VARCHAR) || strftime(pickup_datetime, '%Y-%m-%d %H:%M:%S') "
+    "|| strftime(dropoff_datetime, '%Y-%m-%d %H:%M:%S') || CAST(pickup_location_id AS VARCHAR) "
+    "|| CAST(dropoff_location_id AS VARCHAR)"
+)
+
+
+def _load_raw(spark, sf, warehouse):
+    folder = scratch_path(spark, "raw_csv")
+    yellow = A.yellow(spark, sf).select(*raw_load.YELLOW.names)
+    yellow.write.options(header=True, timestampNTZFormat="yyyy-MM-dd HH:mm:ss").csv(folder)
+    name = f"{scratch_database(spark, 'raw')}.yellow"
+    for _ in range(2):
+        raw_load.load_files(spark, folder, "yellow", name, warehouse)
+    rows = spark.table(name).where("filename is not null")
+    return rows.select(
+        "unique_row_id", "VendorID", "tpep_pickup_datetime", "PULocationID", "fare_amount"
+    )
+
+
+@query(
+    "M4 X8 P5 S21 S25 S2",
+    _raw_load_sql(
+        f"md5({KEY_TEXT} || CAST(CAST(fare_amount AS DECIMAL(28,6)) AS VARCHAR) "
+        "|| CAST(CAST(trip_distance AS DECIMAL(28,6)) AS VARCHAR))"
+    ),
+)
+def raw_file_load(spark, sf):
+    """Raw CSV files staged, keyed and merged, twice."""
+    return _load_raw(spark, sf, warehouse=False)
+
+
+@query("M4 X9 S21 S22", _raw_load_sql(f"md5({KEY_TEXT})"))
+def raw_file_load_warehouse(spark, sf):
+    """As above into the date-partitioned form with a binary key."""
+    return _load_raw(spark, sf, warehouse=True)
