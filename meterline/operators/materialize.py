@@ -43,14 +43,8 @@ def refill(df: DataFrame, table: str) -> None:
 
 
 def append(df: DataFrame, table: str) -> None:
-    """Add rows; columns are matched by name.
-
-    For a partitioned table the rows of a partition are gathered first, else every task would
-    write a file into every partition.
-    """
-    parts = _partition_columns(df.sparkSession, table)
-    gathered = df.hint("rebalance", *parts) if parts else df
-    _positional(gathered, table).write.insertInto(table)
+    """Add rows; columns are matched by name."""
+    _gathered(df, table).write.insertInto(table)
 
 
 def append_with_drift(df: DataFrame, table: str) -> None:
@@ -79,7 +73,8 @@ def insert_only_merge(source: DataFrame, table: str, key: list[str]) -> int:
     target = source.sparkSession.table(table)
     fresh = anti_join(source, target, key)
     seen = Observation()
-    append(fresh.observe(seen, F.count(F.lit(1)).alias("rows")), table)
+    counted = _gathered(fresh, table).observe(seen, F.count(F.lit(1)).alias("rows"))
+    counted.write.insertInto(table)
     return seen.get["rows"]
 
 
@@ -180,7 +175,7 @@ def _overwrite(df: DataFrame, table: str, part: str, touched: list) -> None:
     """
     spark = df.sparkSession
     seen = Observation()
-    result = _positional(df.hint("rebalance", part), table).observe(
+    result = _gathered(df, table).observe(
         seen, F.collect_set(F.col(part).cast("string")).alias("parts")
     )
     with setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
@@ -192,6 +187,16 @@ def _overwrite(df: DataFrame, table: str, part: str, touched: list) -> None:
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {specs}")
 
 
+def _gathered(df: DataFrame, table: str) -> DataFrame:
+    """Columns in table order, and for a partitioned table the rows of a partition together.
+
+    Otherwise every task would write a file into every partition. A count of what is written has to
+    be taken after this step: adaptive execution may drop an empty input, and a count below with it.
+    """
+    parts = _partition_columns(df.sparkSession, table)
+    return _positional(df.hint("rebalance", *parts) if parts else df, table)
+
+
 def _positional(df: DataFrame, table: str) -> DataFrame:
     """Columns in table order, as `insertInto` goes by position."""
     return df.select(*df.sparkSession.table(table).columns)
