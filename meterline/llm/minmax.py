@@ -6,8 +6,9 @@ signature values that agree with a probability equal to the sets' similarity (Ja
 bands; documents that agree on a whole band are candidates, and a candidate pair becomes a link
 only if the full sets say so.
 
-With 63 permutations, 25 bands of 5 values miss a pair of similarity 0.8 with a probability of 5e-5, and one
-of 0.9 with 1e-10.
+With 126 permutations, 36 bands of 7 values miss a pair of similarity 0.8 with a probability of 2e-4, and one
+of 0.9 with 5e-11; unrelated documents hardly ever share a band, so the entries of shared buckets grow with the copies and
+not with the square of the corpus.
 
 How hot groups are kept small:
 
@@ -17,7 +18,7 @@ How hot groups are kept small:
   go into the next round with another head. The pairs between components that are left are compared one by one, if
   there are few; else, after `stars` rounds, those that share one of their rarest shingles, which every pair over the
   threshold does. So no link between candidates is lost, and copies are never expanded into pairs.
-* Four bits of every signature value make a sketch of 64 bytes. Its differing bits estimate the similarity with a
+* Four bits of each of 128 signature values make a sketch of 64 bytes. Its differing bits estimate the similarity with a
   standard deviation of 0.04; candidates are left out inside the join if the estimate is `slack` under the
   threshold, which a pair at the threshold is with a probability of 1e-5.
 * The texts to be compared with a head are dealt over several tasks when there are many.
@@ -37,7 +38,9 @@ from meterline.llm.components import components, write_scratch
 from meterline.llm.words import GOLDEN, mix, shingle_sets
 
 _PORTION = 1 << 20
-_SHINGLES = 4096
+_SHINGLES = 2048
+#: Long integers of a sketch.
+SKETCH = 8
 
 
 @dataclass(frozen=True)
@@ -47,9 +50,9 @@ class MinMax:
     width: int = 2
     percent: int = 80
     slack: float = 0.18
-    permutations: int = 63
-    band: int = 5
-    stars: int = 3
+    permutations: int = 126
+    band: int = 7
+    stars: int = 2
     members: int = 128
     seed: int = 7
 
@@ -61,7 +64,7 @@ class MinMax:
     def most_bits(self) -> int:
         """Differing bits of two sketches at the least estimate that is still compared."""
         least = self.percent / 100 - self.slack
-        return int(4 * 2 * self.permutations * (1 - least) / 2)
+        return int(4 * min(2 * self.permutations, 16 * SKETCH) * (1 - least) / 2)
 
 
 def signature(shingles: np.ndarray, factors: np.ndarray, shifts: np.ndarray) -> np.ndarray:
@@ -98,12 +101,9 @@ def band_keys(signatures: np.ndarray, how: MinMax) -> np.ndarray:
     return keys
 
 
-SKETCH = 8
-
-
 def sketches(signatures: np.ndarray) -> np.ndarray:
-    """Four bits of each signature value, in SKETCH long integers a row (for 128 values at most)."""
-    bits = (mix(signatures ^ GOLDEN) & np.uint64(15)).astype(np.uint8)
+    """Four bits of each of the first 16 * SKETCH signature values, in SKETCH long integers a row."""
+    bits = (mix(signatures[:, : 16 * SKETCH] ^ GOLDEN) & np.uint64(15)).astype(np.uint8)
     wide = np.zeros((len(bits), SKETCH * 16), np.uint8)
     wide[:, : bits.shape[1]] = bits
     return np.ascontiguousarray(wide[:, 0::2] | wide[:, 1::2] << 4).view(np.int64)
@@ -285,13 +285,9 @@ def _rest_size(members: DataFrame) -> tuple[int, int]:
     return int(row[0] or 0), int(row[1] or 0)
 
 
-def open_buckets(entries: DataFrame, found: DataFrame | None) -> DataFrame:
+def open_buckets(entries: DataFrame, found: DataFrame) -> DataFrame:
     """(bucket, id, sketch, component) of the buckets that hold more than one component."""
-    if found is None:
-        labelled = entries.withColumn("component", F.col("id"))
-    else:
-        labelled = entries.join(found, "id", "left")
-        labelled = labelled.withColumn("component", F.coalesce("component", "id"))
+    labelled = entries.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
     several = labelled.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
     return labelled.join(several.filter("lo != hi").select("bucket"), "bucket")
 
@@ -337,7 +333,11 @@ def near_duplicates(
     found = None if confirmed is None else write_scratch(components(spark, confirmed), "minmax-components")
     tested = None
     for turn in range(how.stars + 1):
-        members, pairs, last = open_buckets(entries, found), None, turn == how.stars
+        pairs, last = None, turn == how.stars
+        if not turn and found is None:
+            members = entries.withColumn("component", F.col("id"))
+        else:
+            members = open_buckets(entries, found)
         if turn:
             members = write_scratch(members, "minmax-open")
             rows, most = _rest_size(members)
