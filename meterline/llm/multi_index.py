@@ -113,7 +113,22 @@ class Grid:
 
 
 def calibrate(grid: Grid, x: np.ndarray, how: MultiIndex, random) -> float:
-    """How far to walk so that the stated share of vectors exactly at the threshold is met."""
+    """How far to walk so that the stated share of vectors exactly at the threshold is met.
+
+    Each sampled vector gets as many neighbours as it takes to judge that share.
+    """
+    enough = min(int(20 / max(1 - how.recall, 1e-6)), 200_000)
+    return float(
+        np.quantile(
+            np.concatenate([_walks(grid, x, how, random) for _ in range(max(1, -(-enough // len(x))))]),
+            how.recall,
+            method="higher",
+        )
+    )
+
+
+def _walks(grid: Grid, x: np.ndarray, how: MultiIndex, random) -> np.ndarray:
+    """Square of the distance to walk from each vector to one at the threshold, in a random direction."""
     noise = random.normal(size=x.shape)
     noise -= (noise * x).sum(1, keepdims=True) * x
     noise /= np.sqrt((noise * noise).sum(1, keepdims=True))
@@ -121,11 +136,10 @@ def calibrate(grid: Grid, x: np.ndarray, how: MultiIndex, random) -> float:
     near = c * x + np.sqrt(1 - c * c) * noise
     a, b = grid.margins(x)
     home = grid.homes(near)
-    far = (
+    return (
         a[np.arange(len(x)), home // len(grid.second)] ** 2
         + b[np.arange(len(x)), home % len(grid.second)] ** 2
     )
-    return float(np.quantile(far, how.recall, method="higher"))
 
 
 def fit(x: np.ndarray, n: int, how: MultiIndex) -> Grid:
