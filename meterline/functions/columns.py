@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -78,8 +79,12 @@ def as_utc_naive(ts: Column, zone: str | None = None) -> Column:
 
 
 def safe_int(value: Column, text: bool = True) -> Column:
-    """Null instead of an error. Text goes through double so that '1.0' gives 1."""
-    return (value.try_cast("double") if text else value).try_cast("int")
+    """Nearest integer, null instead of an error. Text goes through double so that '1.0' gives 1.
+
+    Halves go away from zero in text and to the even neighbour in numbers.
+    """
+    number = value.try_cast("double")
+    return (F.round(number) if text else F.rint(number)).try_cast("int")
 
 
 def decimal_of(value: Column, precision: int = 18, scale: int = 3) -> Column:
@@ -113,37 +118,27 @@ def label_or_self(code: Column, labels: dict[str, str]) -> Column:
     return F.coalesce(F.try_element_at(F.create_map(*flat), code), code)
 
 
-def hash_text(df: DataFrame, name: str, scale: int = 6) -> Column:
-    """A column as text that reads the same on every engine; null gives an empty string.
-
-    Floating point goes through a fixed decimal and timestamps through a fixed pattern, because
-    their default text differs between engines.
-    """
-    dtype = df.schema[name].dataType
-    col = F.col(name)
-    if isinstance(dtype, (T.DoubleType, T.FloatType)):
-        col = col.cast(T.DecimalType(28, scale))
-    elif isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        col = F.date_format(col, "yyyy-MM-dd HH:mm:ss")
-    return F.coalesce(col.cast("string"), F.lit(""))
+def hash_text(name: str) -> Column:
+    """A column as text, with all its digits and fractions of a second; null gives an empty string."""
+    return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
-def natural_key(df: DataFrame, names: list[str], scale: int = 6) -> Column:
+def natural_key(names: list[str]) -> Column:
     """Hex hash of the joined column texts, without a separator."""
-    return F.md5(F.concat(*[hash_text(df, n, scale) for n in names]))
+    return F.md5(F.concat(*[hash_text(n) for n in names]))
 
 
-def natural_key_bytes(df: DataFrame, names: list[str], scale: int = 6) -> Column:
-    return F.unhex(natural_key(df, names, scale))
+def natural_key_bytes(names: list[str]) -> Column:
+    return F.unhex(natural_key(names))
 
 
 NULL_MARK = "_null_"  # our own choice of text for a null part of a surrogate key
 
 
-def surrogate_key(df: DataFrame, names: list[str], scale: int = 6) -> Column:
+def surrogate_key(names: list[str]) -> Column:
     """Hex hash of the column texts joined by '-', with a mark for nulls."""
     parts = [
-        F.when(F.col(n).isNull(), F.lit(NULL_MARK)).otherwise(hash_text(df, n, scale))
+        F.when(F.col(n).isNull(), F.lit(NULL_MARK)).otherwise(hash_text(n))
         for n in names
     ]
     return F.md5(F.concat_ws("-", *parts))
@@ -153,10 +148,23 @@ def base_id(base: Column) -> Column:
     """Short form of a base number such as B02884.
 
     The digits after the first letter, in lower-case hex of at least three places, behind `s/` for
-    multiples of 7, else `a/` for multiples of 3, else `e/`. Anything but digits gives null.
+    multiples of 7, else `a/` for multiples of 3, else `e/`. Anything but digits gives null. More than 38 digits,
+    without leading zeros, raise an error; `functions.base_id_arrow` takes any number.
     """
-    digits = F.when(base.rlike("^.[0-9]{1,18}$"), F.substring(base, 2, 18)).cast("bigint")
-    prefix = F.when(digits % 7 == 0, "s/").when(digits % 3 == 0, "a/").otherwise("e/")
-    places = F.lower(F.hex(digits))
+    text = F.when(base.rlike("^.[0-9]+$"), F.regexp_replace(F.substr(base, F.lit(2)), "^0+(?=.)", ""))
+    known = F.when(F.length(text) <= 38, text).when(
+        text.isNotNull(), F.raise_error(F.concat(F.lit("more than 38 digits: "), base)).cast("string")
+    )
+    short = F.when(F.length(known) <= 18, known).cast("bigint")
+    wide = F.when(F.length(known) > 18, known).cast("decimal(38,0)")
+    word = F.lit(Decimal(2**64))
+    low = wide % word
+    limbs = [F.call_function("div", wide, word), F.call_function("div", low, F.lit(Decimal(2**32)))]
+    limbs.append((low % F.lit(Decimal(2**32))).cast("bigint"))
+    joined = F.concat(F.hex(limbs[0]), *[F.lpad(F.hex(x), 8, "0") for x in limbs[1:]])
+    places = F.lower(F.coalesce(F.hex(short), F.regexp_replace(joined, "^0+", "")))
+    sevenfold = F.coalesce(short % 7, (wide % 7).cast("bigint")) == 0
+    threefold = F.coalesce(short % 3, (wide % 3).cast("bigint")) == 0
+    prefix = F.when(sevenfold, "s/").when(threefold, "a/").otherwise("e/")
     padded = F.when(F.length(places) < 3, F.lpad(places, 3, "0")).otherwise(places)
     return F.concat(prefix, padded)

@@ -15,6 +15,6 @@ def _short_form(number: int) -> str:
 @F.pandas_udf(StringType())
 def base_id_arrow(base: pd.Series) -> pd.Series:
     """Same result as `functions.base_id`, over Arrow batches."""
-    digits = base.str.extract(r"^.([0-9]{1,18})$", expand=False)
-    known = digits.dropna().astype("int64")
+    digits = base.str.extract(r"^.([0-9]+)$", expand=False)
+    known = digits.dropna().map(int)
     return known.map(_short_form).reindex(base.index).astype(object).where(digits.notna(), None)

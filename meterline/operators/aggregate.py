@@ -3,27 +3,33 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def exact_sum(value: Column, scale: int = 3) -> Column:
-    """Sum of money or distances to a fixed number of decimals, as a double.
+def exact_sum(value: Column, scale: int = 6) -> Column:
+    """Sum as a double that keeps every digit of every value.
 
-    Values are added up as whole numbers of the last decimal, so the result does not depend on the
-    order of the rows, and the sum stays a plain long in generated code, which a decimal of this
-    size would not. An overflow raises an error. NaN counts as missing.
+    The part of each value up to `scale` decimals is added up as a whole number, in a plain long inside generated
+    code; what a value has beyond that, or beyond 1e9, is added up as a double. So sums of money do not depend on the
+    order of the rows, and nothing is rounded away. NaN and infinity behave as in Spark's own sum. A sum of
+    whole numbers over 9.2e18 raises an error.
     """
     unit = float(10**scale)
     number = value.cast("double")
-    whole = F.when(~F.isnan(number), F.rint(number * F.lit(unit)).cast("bigint"))
-    return F.sum(whole) / F.lit(unit)
+    fits = F.abs(number) < F.lit(1e9)
+    whole = F.when(fits, F.rint(number * F.lit(unit)).cast("bigint"))
+    rest = number - F.coalesce(whole / F.lit(unit), F.lit(0.0))
+    total = F.coalesce(F.sum(whole), F.lit(0)).cast("decimal(20,0)")
+    exact = (total * F.lit(Decimal(1).scaleb(-scale))).cast("double")
+    return F.when(F.count(number) > 0, exact + F.sum(rest))
 
 
-def exact_avg(value: Column, scale: int = 3) -> Column:
+def exact_avg(value: Column, scale: int = 6) -> Column:
     """Average over the values that are there, from an exact sum, as a double."""
-    return exact_sum(value, scale) / F.count(F.nanvl(value.cast("double"), F.lit(None)))
+    return exact_sum(value, scale) / F.count(value.cast("double"))
 
 
 def rollout(
@@ -32,7 +38,7 @@ def rollout(
     sums: Mapping[str, str] = {},
     averages: Mapping[str, str] = {},
     counts: Mapping[str, str] = {},
-    scale: int = 3,
+    scale: int = 6,
 ) -> DataFrame:
     """Many measures per group in one aggregate: new name -> column.
 

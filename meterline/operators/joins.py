@@ -2,21 +2,16 @@
 
 No lookup is broadcast by hint. Spark broadcasts a side only while its size, known from the files
 or measured at run time, is below `spark.sql.autoBroadcastJoinThreshold`; a larger lookup turns
-into a sort-merge join in which adaptive execution splits the partitions of hot keys. Where a hint is
-given, a check of the size or a count that bounds it stands next to it.
+into a sort-merge join in which adaptive execution splits the partitions of hot keys.
 """
 
 from __future__ import annotations
 
-import sys
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-HOT_ROWS = 1_000_000
-SPREAD = 64
-
 
 def lookup(
     fact: DataFrame,
@@ -65,87 +60,13 @@ def lookup_or_default(
     return named.withColumns({fact_key: key, new: F.coalesce(F.col(new), F.lit(default_label))})
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """The size Spark expects a frame to have, from file sizes and column widths.
-
-    Filters and aggregates make it an upper bound. Opened lists can be far larger than what they
-    were read from, so a frame that contains any counts as unbounded.
-    """
-    plan = df._jdf.queryExecution().optimizedPlan()
-    if "Generate " in plan.toString():
-        return sys.maxsize
-    return int(str(plan.stats().sizeInBytes()))
-
-
-def broadcast_limit(df: DataFrame) -> int:
-    """`spark.sql.autoBroadcastJoinThreshold` in bytes; below zero if broadcasting is off."""
-    return df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-
-
-def anti_join(
-    left: DataFrame,
-    right: DataFrame,
-    on: list[str],
-    *,
-    small_bytes: int | None = None,
-    hot_rows: int = HOT_ROWS,
-    spread: int = SPREAD,
-) -> DataFrame:
+def anti_join(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
     """Rows of `left` without a partner in `right`; null keys have no partner and stay.
 
-    What is done depends on the expected size of the key columns against `small_bytes`, which is
-    the broadcast limit of the session unless given:
-
-    * few keys on the right: they are broadcast and the left side is not shuffled;
-    * few keys on the left: the right side is first cut down to those keys without a shuffle, and
-      what remains, no more keys than the left has, is broadcast;
-    * many on both sides: a shuffle join that holds up when one key makes up a large part of
-      either side, see `_spread_anti_join`.
-    """
-    limit = broadcast_limit(left) if small_bytes is None else small_bytes
-    right_keys = right.select(*on).distinct()
-    if estimated_bytes(right_keys) <= limit:
-        return left.join(F.broadcast(right_keys), on, "left_anti").select(*left.columns)
-    left_keys = left.select(*on).distinct()
-    if estimated_bytes(left_keys) <= limit:
-        held = right.select(*on).join(F.broadcast(left_keys), on, "left_semi").distinct()
-        return left.join(F.broadcast(held), on, "left_anti").select(*left.columns)
-    return _spread_anti_join(left, right_keys, on, hot_rows, spread)
-
-
-def _spread_anti_join(
-    left: DataFrame, right_keys: DataFrame, on: list[str], hot_rows: int, spread: int
-) -> DataFrame:
-    """Anti join against distinct keys, with hot keys of the left side dealt out over slots.
-
-    The right side is reduced to distinct keys, with a partial aggregate ahead of the shuffle. Keys
-    with at least `hot_rows` rows on the left, and rows without a key, go to `spread` slots; the
-    one right-hand row of a hot key is repeated for every slot. There are at most
-    rows / `hot_rows` hot keys, which bounds what is broadcast. The slot is taken from the number
-    of the input task, so exact copies spread too and a task that is run again gives the same slots.
+    The right side is reduced to its distinct keys ahead of the shuffle. Spark broadcasts them where their measured size
+    allows; else both sides are shuffled, and adaptive execution splits a key that makes up much of the left.
     """
-    hot = (
-        left.groupBy(*on)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") >= hot_rows)
-        .select(*on, F.lit(True).alias("_hot"))
-    )
-    no_key = F.lit(False)
-    for name in on:
-        no_key = no_key | F.col(name).isNull()
-    slot = F.pmod(F.spark_partition_id(), F.lit(spread))
-    dealt = left.join(F.broadcast(hot), on, "left").withColumn(
-        "_slot", F.when(F.col("_hot") | no_key, slot).otherwise(F.lit(0))
-    )
-    slots = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(spread - 1))).otherwise(
-        F.array(F.lit(0))
-    )
-    keys = (
-        right_keys.join(F.broadcast(hot), on, "left")
-        .withColumn("_slot", F.explode(slots))
-        .drop("_hot")
-    )
-    return dealt.join(keys, [*on, "_slot"], "left_anti").select(*left.columns)
+    return left.join(right.select(*on).distinct(), on, "left_anti").select(*left.columns)
 
 
 def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str) -> DataFrame:

@@ -10,14 +10,13 @@ from __future__ import annotations
 
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DateType, StructType, TimestampType
 
-from meterline.operators.aggregate import high_water_mark
 from meterline.operators.filters import in_window, partition_window, touched_days
-from meterline.operators.joins import anti_join, broadcast_limit, estimated_bytes
-from meterline.session import scratch_path, setting
+from meterline.operators.joins import anti_join
+from meterline.session import remove_scratch, scratch_path, setting
 
 
 def view(df: DataFrame, name: str) -> None:
@@ -37,9 +36,11 @@ def rebuild(df: DataFrame, table: str, partition_by: str | None = None) -> None:
 def refill(df: DataFrame, table: str) -> None:
     """Truncate and insert: the table definition stays, its rows are replaced."""
     spark = df.sparkSession
-    staged = _staged(df)
+    path = scratch_path(spark, "staged")
+    staged = _positional(_staged(df, path), table)
     with setting(spark, "spark.sql.sources.partitionOverwriteMode", "static"):
-        _positional(staged, table).write.insertInto(table, overwrite=True)
+        staged.write.insertInto(table, overwrite=True)
+    remove_scratch(spark, path)
 
 
 def append(df: DataFrame, table: str) -> None:
@@ -49,11 +50,16 @@ def append(df: DataFrame, table: str) -> None:
 
 def append_with_drift(df: DataFrame, table: str) -> None:
     """Add rows whose frame has columns the table lacks; older rows read as null there."""
+    append(widened(df, table), table)
+
+
+def widened(df: DataFrame, table: str) -> DataFrame:
+    """Give the table the columns it lacks, and the frame those it lacks, as nulls."""
     spark = df.sparkSession
-    have = {c.lower() for c in spark.table(table).columns}
-    new = [f for f in df.schema.fields if f.name.lower() not in have]
+    new = _unknown(df, table)
     if new:
-        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new)
+        fields = [f for f in df.schema.fields if f.name in new]
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
         spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({columns})")
     given = {c.lower() for c in df.columns}
     missing = {
@@ -61,16 +67,21 @@ def append_with_drift(df: DataFrame, table: str) -> None:
         for f in spark.table(table).schema.fields
         if f.name.lower() not in given
     }
-    append(df.withColumns(missing) if missing else df, table)
+    return df.withColumns(missing) if missing else df
 
 
 def insert_only_merge(source: DataFrame, table: str, key: list[str]) -> int:
     """Insert the source rows whose key the table does not hold yet; returns how many.
 
     The source is not deduplicated: two new rows with one key both land. Running the same source
-    again inserts nothing.
+    again inserts nothing. A null in the key raises an error, as such a row would come in again each time.
     """
     target = source.sparkSession.table(table)
+    no_key = F.lit(False)
+    for name in key:
+        no_key = no_key | F.col(name).isNull()
+    if not source.where(no_key).isEmpty():
+        raise ValueError(f"source rows without a key {key}")
     fresh = anti_join(source, target, key)
     seen = Observation()
     counted = _gathered(fresh, table).observe(seen, F.count(F.lit(1)).alias("rows"))
@@ -78,18 +89,25 @@ def insert_only_merge(source: DataFrame, table: str, key: list[str]) -> int:
     return seen.get["rows"]
 
 
-def upsert(source: DataFrame, table: str, key: list[str], stage: bool = True) -> None:
+def upsert(
+    source: DataFrame, table: str, key: list[str], stage: bool = True, widen: bool = False
+) -> None:
     """Replace the rows whose key the source holds and insert the others.
 
     The source key must be unique. A row whose key moves to another partition leaves the old one.
     The source is looked at several times, so it is written out once first, unless it already is a
-    stored table and `stage` is turned off.
+    stored table and `stage` is turned off. With `widen`, columns that the table lacks are added to it; without, they raise an
+    error.
     """
-    source = _staged(source) if stage else source
+    source = widened(source, table) if widen else source
+    path = scratch_path(source.sparkSession, "staged")
+    source = _staged(source, path) if stage else source
     repeated = source.groupBy(*key).count().where("count > 1")
     if not repeated.isEmpty():
         raise ValueError(f"source rows share a key {key}: {repeated.first()}")
     _replace_keys(source, table, key)
+    if stage:
+        remove_scratch(source.sparkSession, path)
 
 
 def delete_insert(source: DataFrame, table: str, key: list[str], stage: bool = True) -> None:
@@ -97,7 +115,10 @@ def delete_insert(source: DataFrame, table: str, key: list[str], stage: bool = T
 
     Neither side needs a unique key. As for `upsert`, the source is written out once first.
     """
-    _replace_keys(_staged(source) if stage else source, table, key)
+    path = scratch_path(source.sparkSession, "staged")
+    _replace_keys(_staged(source, path) if stage else source, table, key)
+    if stage:
+        remove_scratch(source.sparkSession, path)
 
 
 def _replace_keys(source: DataFrame, table: str, key: list[str]) -> None:
@@ -105,18 +126,23 @@ def _replace_keys(source: DataFrame, table: str, key: list[str]) -> None:
     target = spark.table(table)
     part = _partition_column(spark, table)
     if part is None:
-        merged = anti_join(target, source, key).unionByName(source)
+        merged = anti_join(target, source, key).unionByName(_positional(source, table))
         refill(merged, table)
         return
     keys = source.select(*key).distinct()
-    held = target.select(*dict.fromkeys([*key, part]))
-    if estimated_bytes(keys) > broadcast_limit(keys):
-        # Both sides are shuffled then; one row per key and partition keeps a hot key small.
-        held = held.distinct()
+    # One row per key and partition keeps a hot key small.
+    held = target.select(*dict.fromkeys([*key, part])).distinct()
     held = held.join(keys, key, "left_semi").select(part)
     touched = [r[0] for r in held.union(source.select(part)).distinct().collect()]
-    kept = anti_join(target.where(F.col(part).isin(touched)), source, key)
-    _overwrite(kept.unionByName(source.select(*target.columns)), table, part, touched)
+    kept = anti_join(target.where(_among(part, touched)), source, key)
+    _overwrite(kept.unionByName(_positional(source, table)), table, part, touched)
+
+
+def _among(part: str, values: list) -> Column:
+    """The partition column holds one of these values; null is one like any other."""
+    known = [v for v in values if v is not None]
+    found = F.coalesce(F.col(part).isin(known), F.lit(False))
+    return found | F.col(part).isNull() if len(known) < len(values) else found
 
 
 def replace_interval(source: DataFrame, table: str, column: str, start, end) -> None:
@@ -127,11 +153,13 @@ def replace_interval(source: DataFrame, table: str, column: str, start, end) ->
     """
     spark = source.sparkSession
     part = _partition_column(spark, table)
+    if part is None:
+        raise ValueError(f"{table} is not partitioned by the date of {column}")
     target = spark.table(table)
     window = in_window(column, start, end)
     days = partition_window(part, start, end)
     kept = target.where(days).where(~F.coalesce(window, F.lit(False)))
-    fresh = source.where(window).withColumn(part, F.to_date(column)).select(*target.columns)
+    fresh = _positional(source.where(window).withColumn(part, F.to_date(column)), table)
     first, last = touched_days(start, end)
     touched = [d for d in _days_held(spark, table, part) if first <= d <= last]
     _overwrite(kept.unionByName(fresh), table, part, touched)
@@ -143,12 +171,20 @@ def newer_rows(
     """Source rows past the newest target row; everything while the target is empty.
 
     Rows that arrive late are left out, unless a lookback reaches them. The mark goes into the
-    filter as a literal, so files and partitions before it are not read.
+    filter as a literal, so files and partitions before it are not read. It comes to the driver as text or as
+    microseconds, never as a Python time, whose zone would be the driver's.
     """
-    mark = high_water_mark(source.sparkSession.table(table), column)
+    target = source.sparkSession.table(table)
+    kind = target.schema[column].dataType
+    newest = F.max(column)
+    zoned = isinstance(kind, TimestampType)
+    mark = target.agg(F.unix_micros(newest) if zoned else newest.cast("string")).first()[0]
     if mark is None:
         return source
-    return source.where(F.col(column) > F.lit(mark - lookback if lookback else mark))
+    mark = F.timestamp_micros(F.lit(mark)) if zoned else F.lit(mark).cast(kind)
+    if lookback:
+        mark = F.date_sub(mark, lookback.days) if isinstance(kind, DateType) else mark - F.lit(lookback)
+    return source.where(F.col(column) > mark)
 
 
 def enforce_contract(df: DataFrame, contract: StructType) -> DataFrame:
@@ -176,14 +212,18 @@ def _overwrite(df: DataFrame, table: str, part: str, touched: list) -> None:
     spark = df.sparkSession
     seen = Observation()
     result = _gathered(df, table).observe(
-        seen, F.collect_set(F.col(part).cast("string")).alias("parts")
+        seen,
+        F.collect_set(F.col(part).cast("string")).alias("parts"),
+        F.count(F.when(F.col(part).isNull(), 1)).alias("nulls"),
     )
     with setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
         result.write.insertInto(table, overwrite=True)
-    written = set(seen.get["parts"])
-    emptied = [str(value) for value in touched if str(value) not in written]
+    written = {*seen.get["parts"], *([None] if seen.get["nulls"] else [])}
+    texts = [None if value is None else str(value) for value in touched]
+    emptied = [text for text in texts if text not in written]
     if emptied:
-        specs = ", ".join(f"PARTITION ({part} = '{value}')" for value in emptied)
+        values = ["null" if text is None else "'" + text.replace("'", "\\'") + "'" for text in emptied]
+        specs = ", ".join(f"PARTITION ({part} = {value})" for value in values)
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {specs}")
 
 
@@ -197,8 +237,16 @@ def _gathered(df: DataFrame, table: str) -> DataFrame:
     return _positional(df.hint("rebalance", *parts) if parts else df, table)
 
 
+def _unknown(df: DataFrame, table: str) -> list[str]:
+    """Columns of the frame that the table lacks."""
+    have = {c.lower() for c in df.sparkSession.table(table).columns}
+    return [c for c in df.columns if c.lower() not in have]
+
+
 def _positional(df: DataFrame, table: str) -> DataFrame:
-    """Columns in table order, as `insertInto` goes by position."""
+    """Columns in table order, as `insertInto` goes by position. A column the table lacks is never dropped."""
+    if unknown := _unknown(df, table):
+        raise ValueError(f"{table} lacks columns {unknown}")
     return df.select(*df.sparkSession.table(table).columns)
 
 
@@ -220,8 +268,7 @@ def _days_held(spark: SparkSession, table: str, part: str) -> list[date]:
     return [date.fromisoformat(v) for v in values if v != "__HIVE_DEFAULT_PARTITION__"]
 
 
-def _staged(df: DataFrame) -> DataFrame:
+def _staged(df: DataFrame, path: str) -> DataFrame:
     """The frame written out and read back, so that its sources may be overwritten."""
-    path = scratch_path(df.sparkSession, "staged")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

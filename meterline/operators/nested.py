@@ -16,10 +16,13 @@ JOINER = "__"
 
 
 def row_identity(*parts: Column) -> Column:
-    """A row id from what identifies the row. The same input gives the same id on every run."""
-    return F.sha2(
-        F.concat_ws("|", *[F.coalesce(p.cast("string"), F.lit("_null_")) for p in parts]), 256
-    )
+    """A row id from what identifies the row. The same input gives the same id on every run.
+
+    Each part goes in behind its length, so no text of one part can stand for another part or a null.
+    """
+    texts = [p.cast("string") for p in parts]
+    marked = [F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in texts]
+    return F.sha2(F.concat(*marked), 256)
 
 
 def land(df: DataFrame, path: str) -> DataFrame:

@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass
 from datetime import datetime
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -121,9 +122,13 @@ def require(df: DataFrame, checks: Iterable) -> None:
 
 
 def query_returns(name: str, result: DataFrame, expected) -> DataFrame:
-    """A custom check: a one-value query must give the expected value."""
-    value = result.columns[0]
-    passed = F.coalesce(F.col(value).cast("string") == F.lit(str(expected)), F.lit(False))
+    """A custom check: a one-value query must give the expected value; numbers are compared as numbers."""
+    value = F.col(result.columns[0])
+    if isinstance(expected, (int, float, Decimal)) and not isinstance(expected, bool):
+        agrees = value.try_cast("double") == F.lit(float(expected))
+    else:
+        agrees = value.cast("string") == F.lit(expected).cast("string")
+    passed = F.coalesce(agrees, F.lit(False))
     return result.select(
         F.lit(name).alias("check"), F.when(passed, 0).otherwise(1).cast("bigint").alias("failures")
     )

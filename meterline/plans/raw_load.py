@@ -85,7 +85,7 @@ def keyed_rows(
     source, prefix = SERVICES[service]
     rows = read_csv(spark, paths, source).select("*", F.col("_metadata.file_name").alias(FILE_NAME))
     hashed = natural_key_bytes if warehouse else natural_key
-    rows = rows.withColumn(ROW_ID, hashed(rows, key_columns(service, short=warehouse)))
+    rows = rows.withColumn(ROW_ID, hashed(key_columns(service, short=warehouse)))
     rows = rows.withColumn(PICKUP_DATE, F.to_date(f"{prefix}_pickup_datetime"))
     return rows.select(
         *[F.col(f.name).cast(f.dataType).alias(f.name) for f in raw_schema(service, warehouse)]

@@ -68,8 +68,9 @@ def standardise(raw: DataFrame, service: str, window: tuple | None = None) -> Da
     named = fill_columns(named, {n: v for n, v in absent.items() if n not in named.columns})
     if window:
         named = named.where(in_window("pickup_datetime", *window))
-    typed = cast_columns(named, {n: "int" for n in IDS})
     kinds = dict(named.dtypes)
+    whole = {n: F.rint(F.col(n)) for n in IDS if kinds[n] in ("double", "float")}
+    typed = cast_columns(named.withColumns(whole) if whole else named, {n: "int" for n in IDS})
     typed = typed.withColumns({n: safe_int(F.col(n), kinds[n] == "string") for n in CODES})
     typed = typed.withColumns({n: decimal_of(F.col(n)) for n in [*MONEY, "trip_distance"]})
     typed = cast_columns(typed, {n: "timestamp" for n in STAMPS} | {"store_and_fwd_flag": "string"})
@@ -101,7 +102,7 @@ def enrich(trips: DataFrame, payment_types: DataFrame) -> DataFrame:
         0,
         "Unknown",
     )
-    return named.select(surrogate_key(named, TRIP_KEY).alias("trip_id"), *named.columns)
+    return named.select(surrogate_key(TRIP_KEY).alias("trip_id"), *named.columns)
 
 
 def zone_dimension(zones: DataFrame) -> DataFrame:
@@ -130,14 +131,14 @@ FACT_PARTITION = "pickup_date"
 def load_fact(fact: DataFrame, table: str) -> None:
     """Bring the fact into its table: first run all rows, later runs the rows past its newest.
 
-    New rows replace those with the same trip id.
+    New rows replace those with the same trip id. Columns the table lacks are added to it.
     """
     spark = fact.sparkSession
     dated = fact.withColumn(FACT_PARTITION, F.to_date("pickup_datetime"))
     if not spark.catalog.tableExists(table):
         rebuild(dated, table, FACT_PARTITION)
         return
-    upsert(newer_rows(dated, table, "pickup_datetime"), table, ["trip_id"])
+    upsert(newer_rows(dated, table, "pickup_datetime"), table, ["trip_id"], widen=True)
 
 
 def vendor_dimension(fact: DataFrame) -> DataFrame:

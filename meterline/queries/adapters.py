@@ -117,7 +117,7 @@ zones AS (
 ENRICHED_SQL = f"""{UNIONED_SQL},{PAYMENT_SQL},
 trips AS (
   SELECT md5(concat_ws('-', CAST(u.vendor_id AS VARCHAR),
-                       strftime(u.pickup_datetime, '%Y-%m-%d %H:%M:%S'),
+                       CAST(u.pickup_datetime AS VARCHAR),
                        CAST(u.pickup_location_id AS VARCHAR), u.service_type)) AS trip_id,
          u.* REPLACE (coalesce(u.payment_type, 0) AS payment_type),
          coalesce(p.label, 'Unknown') AS payment_type_description
@@ -148,10 +148,10 @@ fact AS (
   LEFT JOIN zones dz ON t.dropoff_location_id = dz.location_id
 )"""
 
-SECONDS = "%Y-%m-%d %H:%M:%S"
+SECONDS = "%Y-%m-%d %H:%M:%S.%f"
 STAMP_COLUMNS = (
-    "REPLACE (strftime(pickup_datetime, '%Y-%m-%d %H:%M:%S') AS pickup_datetime, "
-    "strftime(dropoff_datetime, '%Y-%m-%d %H:%M:%S') AS dropoff_datetime, "
+    "REPLACE (strftime(pickup_datetime, '%Y-%m-%d %H:%M:%S.%f') AS pickup_datetime, "
+    "strftime(dropoff_datetime, '%Y-%m-%d %H:%M:%S.%f') AS dropoff_datetime, "
     "CAST(trip_distance AS DOUBLE) AS trip_distance, CAST(fare_amount AS DOUBLE) AS fare_amount, "
     "CAST(extra AS DOUBLE) AS extra, CAST(mta_tax AS DOUBLE) AS mta_tax, "
     "CAST(tip_amount AS DOUBLE) AS tip_amount, CAST(tolls_amount AS DOUBLE) AS tolls_amount, "

@@ -144,7 +144,7 @@ def group_by_position(spark, sf):
 
 @query(
     "A11",
-    "SELECT strftime(max(o_orderdate), '%Y-%m-%d %H:%M:%S') AS high FROM orders",
+    "SELECT strftime(max(o_orderdate), '%Y-%m-%d %H:%M:%S.%f') AS high FROM orders",
 )
 def high_water(spark, sf):
     return table(spark, sf, "orders").agg(F.max("o_orderdate").alias("high"))
@@ -153,7 +153,7 @@ def high_water(spark, sf):
 @query(
     "W1",
     """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity,
-       strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS l_shipdate
+       strftime(l_shipdate, '%Y-%m-%d %H:%M:%S.%f') AS l_shipdate
 FROM lineitem
 QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber
   ORDER BY l_shipdate DESC, l_partkey, l_suppkey, l_quantity) = 1""",
@@ -169,7 +169,7 @@ def latest_rows(spark, sf):
 
 @query(
     "W1",
-    """SELECT user_id, event_type, event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts
+    """SELECT user_id, event_type, event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts
 FROM events
 QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id) = 1""",
 )

@@ -121,11 +121,11 @@ def rows_without_match(spark, sf):
 WHERE NOT EXISTS (SELECT 1 FROM supplier WHERE s_suppkey = l_suppkey AND s_acctbal > 5000)""",
 )
 def rows_without_match_hot(spark, sf):
-    """As above with few, heavy keys, and a threshold low enough that they are spread."""
+    """As above with few, heavy keys."""
     rows = table(spark, sf, "lineitem").select("l_orderkey", "l_suppkey", "l_quantity")
     target = table(spark, sf, "supplier").where("s_acctbal > 5000")
     target = target.selectExpr("s_suppkey as l_suppkey")
-    return J.anti_join(rows, target, ["l_suppkey"], small_bytes=0, hot_rows=500, spread=8)
+    return J.anti_join(rows, target, ["l_suppkey"])
 
 
 @query(

@@ -28,12 +28,13 @@ def _tables(spark, sf):
 LINES_SQL = """lines AS (
   SELECT doc_id, unnest(l) AS line, unnest(range(len(l))) AS idx
   FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents))"""
-LINE_ID = "sha256(sha256(CAST(doc_id AS VARCHAR)) || '|lines|' || CAST(idx AS VARCHAR))"
+DOC_ID = "sha256(length(CAST(doc_id AS VARCHAR)) || ':' || doc_id)"
+LINE_ID = f"sha256('64:' || {DOC_ID} || '5:lines' || length(CAST(idx AS VARCHAR)) || ':' || idx)"
 
 
 @query(
     "N1",
-    """SELECT sha256(CAST(p_partkey AS VARCHAR)) AS _parent_id,
+    """SELECT sha256(length(CAST(p_partkey AS VARCHAR)) || ':' || p_partkey) AS _parent_id,
        CAST(unnest(range(len(w))) AS INTEGER) AS _list_idx, unnest(w) AS value
 FROM (SELECT p_partkey, string_split(p_name, ' ') AS w FROM part)""",
 )
@@ -45,7 +46,7 @@ def child_table(spark, sf):
 
 @query(
     "N3 N4",
-    """SELECT sha256(CAST(doc_id AS VARCHAR)) AS _row_id, doc_id, lang AS meta__lang,
+    f"""SELECT {DOC_ID} AS _row_id, doc_id, lang AS meta__lang,
        source AS meta__origin__name, 'load-1' AS _load_id FROM documents""",
 )
 def nested_root(spark, sf):
@@ -55,7 +56,7 @@ def nested_root(spark, sf):
 @query(
     "N2 N4",
     f"""WITH {LINES_SQL}
-SELECT {LINE_ID} AS _row_id, sha256(CAST(doc_id AS VARCHAR)) AS _parent_id,
+SELECT {LINE_ID} AS _row_id, {DOC_ID} AS _parent_id,
        CAST(idx AS INTEGER) AS _list_idx, CAST(length(line) AS INTEGER) AS chars,
        'load-1' AS _load_id
 FROM lines""",

@@ -88,7 +88,7 @@ def qc_custom(spark, sf):
 
 @query(
     "Q9",
-    """SELECT strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS newest,
+    """SELECT strftime(max(ts), '%Y-%m-%d %H:%M:%S.%f') AS newest,
        round((epoch_us(TIMESTAMP '2024-02-01 12:00:00') - epoch_us(max(ts))) / 3.6e9, 6) AS hours_behind,
        CASE WHEN (epoch_us(TIMESTAMP '2024-02-01 12:00:00') - epoch_us(max(ts))) / 3.6e9 > 48 THEN 'error'
             WHEN (epoch_us(TIMESTAMP '2024-02-01 12:00:00') - epoch_us(max(ts))) / 3.6e9 > 24 THEN 'warn'

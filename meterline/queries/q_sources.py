@@ -15,7 +15,7 @@ ORDERS = struct(
     "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
     "o_orderdate timestamp, o_orderpriority string"
 )
-ORDERS_SQL = """SELECT * REPLACE (strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS o_orderdate)
+ORDERS_SQL = """SELECT * REPLACE (strftime(o_orderdate, '%Y-%m-%d %H:%M:%S.%f') AS o_orderdate)
 FROM orders"""
 
 

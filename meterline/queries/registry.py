@@ -56,7 +56,7 @@ def portable(df: DataFrame) -> DataFrame:
         elif isinstance(field.dataType, T.DateType):
             col = F.date_format(col, "yyyy-MM-dd")
         elif isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType)):
-            col = F.date_format(col, "yyyy-MM-dd HH:mm:ss")
+            col = F.date_format(col, "yyyy-MM-dd HH:mm:ss.SSSSSS")
         elif isinstance(field.dataType, T.BinaryType):
             col = F.lower(F.hex(col))
         return col.alias(field.name)

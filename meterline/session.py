@@ -67,6 +67,14 @@ def scratch_database(spark: SparkSession, label: str) -> str:
     return name
 
 
+def remove_scratch(spark: SparkSession, path: str) -> None:
+    """Delete one of the folders that `scratch_path` named."""
+    if not path.startswith(f"{scratch_root(spark)}/"):
+        raise ValueError(f"{path} is not below the scratch folder")
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 @contextmanager
 def setting(spark: SparkSession, key: str, value: str):
     """Set one session option for the length of a block."""

@@ -2,11 +2,13 @@ import hashlib
 from datetime import datetime, timedelta
 from decimal import Decimal
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from meterline import functions as fn
+from meterline.functions.udfs import base_id_arrow
 from meterline.schemas import PAYMENT_TYPES, VENDORS, payment_types
 
 relaxed = settings(
@@ -71,15 +73,15 @@ def test_natural_key_text(spark):
     df = spark.createDataFrame(
         [
             ("1", "23", 1e-5, datetime(2024, 1, 2, 3, 4, 5)),
-            ("12", "3", 12345678.9, datetime(2024, 1, 2, 3, 4, 5)),
+            ("12", "3", 12345678.9, datetime(2024, 1, 2, 3, 4, 5, 250000)),
             (None, "3", None, None),
         ],
         "a string, b string, x double, t timestamp",
     )
-    got = one(df.select(fn.natural_key(df, ["a", "b", "x", "t"])))
+    got = one(df.select(fn.natural_key(["a", "b", "x", "t"])))
     texts = [
-        "1230.0000102024-01-02 03:04:05",
-        "12312345678.9000002024-01-02 03:04:05",
+        "1231.0E-52024-01-02 03:04:05",
+        "1231.23456789E72024-01-02 03:04:05.25",
         "3",
     ]
     assert got == [hashlib.md5(t.encode()).hexdigest() for t in texts]
@@ -87,9 +89,9 @@ def test_natural_key_text(spark):
 
 def test_key_without_separator_can_collide_and_surrogate_key_does_not(spark):
     df = spark.createDataFrame([("1", "23"), ("12", "3"), (None, "123")], "a string, b string")
-    assert len(set(one(df.select(fn.natural_key(df, ["a", "b"]))))) == 1
-    assert len(set(one(df.select(fn.surrogate_key(df, ["a", "b"]))))) == 3
-    raw = one(df.select(fn.natural_key_bytes(df, ["a", "b"])))
+    assert len(set(one(df.select(fn.natural_key(["a", "b"]))))) == 1
+    assert len(set(one(df.select(fn.surrogate_key(["a", "b"]))))) == 3
+    raw = one(df.select(fn.natural_key_bytes(["a", "b"])))
     assert bytes(raw[0]) == hashlib.md5(b"123").digest()
 
 
@@ -103,7 +105,7 @@ def test_key_without_separator_can_collide_and_surrogate_key_does_not(spark):
 )
 def test_natural_key_against_python(spark, rows):
     df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, a int, b string")
-    got = one(df.orderBy("i").select(fn.natural_key(df, ["a", "b"])))
+    got = one(df.orderBy("i").select(fn.natural_key(["a", "b"])))
     text = lambda v: "" if v is None else str(v)
     assert got == [hashlib.md5((text(a) + text(b)).encode()).hexdigest() for a, b in rows]
 
@@ -164,3 +166,24 @@ def test_payment_lookup(spark):
     rows = {r["payment_type"]: r["description"] for r in payment_types(spark).collect()}
     assert rows == PAYMENT_TYPES
     assert rows[0] == rows[5] == "Unknown"
+
+
+def test_base_id_of_long_numbers(spark):
+    numbers = [0, 6, 21, 2884, 10**18 - 1, 10**18, 2**64, 7 * 2**64 * 3, 10**38 - 1, 123456789012345678901234567890]
+    texts = [f"B{n}" for n in numbers] + ["B000000000000000000000000000000000000000000021", "Bx", "B", "", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, b string").orderBy("i")
+    want = [f"{'s' if n % 7 == 0 else 'a' if n % 3 == 0 else 'e'}/{n:03x}" for n in numbers]
+    want += ["s/015", None, None, None, None]
+    assert one(df.select(fn.base_id(F.col("b")))) == want
+    assert one(df.select(base_id_arrow("b"))) == want
+    more = spark.createDataFrame([(f"B{10**38}",)], "b string")
+    assert one(more.select(base_id_arrow("b"))) == [f"e/{10**38:x}"]
+    with pytest.raises(Exception, match="more than 38 digits"):
+        more.select(fn.base_id(F.col("b"))).collect()
+
+
+def test_safe_int_goes_to_the_nearest(spark):
+    texts = spark.createDataFrame([("1.0",), ("1.7",), ("2.5",), ("-2.5",), ("x",), ("1e10",)], "t string")
+    assert one(texts.select(fn.safe_int(F.col("t")))) == [1, 2, 3, -3, None, None]
+    numbers = spark.createDataFrame([(1.7,), (2.5,), (3.5,), (-2.5,), (1e10,), (None,)], "x double")
+    assert one(numbers.select(fn.safe_int(F.col("x"), text=False))) == [2, 2, 4, -2, None, None]

@@ -1,4 +1,5 @@
 from collections import Counter
+import time
 from datetime import date, datetime, timedelta
 
 import pytest
@@ -219,3 +220,72 @@ def test_archive_skips_what_is_done(spark, tmp_path):
         ("green02", "green", 2021, 2),
         ("yellow01", "yellow", 2021, 1),
     ]
+
+
+@pytest.mark.parametrize("kind", ["date", "string"])
+def test_changes_keep_the_null_partition(spark, database, kind):
+    for load in (M.upsert, M.delete_insert):
+        name = f"{database}.nulls_{kind}_{load.__name__}"
+        def frame(rows):
+            return spark.createDataFrame(rows, "k long, d string").withColumn("d", F.col("d").cast(kind))
+
+        M.rebuild(frame([(1, "2024-01-01"), (2, None), (3, None)]), name, "d")
+        load(frame([(4, None)]), name, ["k"])
+        assert {r.k for r in spark.table(name).collect()} == {1, 2, 3, 4}
+        load(frame([(2, "2024-01-01")]), name, ["k"])
+        got = {(r.k, None if r.d is None else str(r.d)) for r in spark.table(name).collect()}
+        assert got == {(1, "2024-01-01"), (2, "2024-01-01"), (3, None), (4, None)}
+        load(frame([(3, "2024-01-02"), (4, "2024-01-02")]), name, ["k"])
+        got = {(r.k, None if r.d is None else str(r.d)) for r in spark.table(name).collect()}
+        assert got == {(1, "2024-01-01"), (2, "2024-01-01"), (3, "2024-01-02"), (4, "2024-01-02")}
+
+
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
+def test_the_mark_does_not_depend_on_the_driver_s_zone(spark, database, kind, monkeypatch):
+    name = f"{database}.marks_{kind}"
+    texts = ["2024-07-01 10:00:00.000001", "2024-07-01 10:00:00.000002", "2024-07-01 11:00:00", "2024-07-01 14:00:00"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select(F.col("t").cast(kind))
+    M.rebuild(rows.where("cast(t as string) <= '2024-07-01 10:00:00.000001'"), name)
+    monkeypatch.setenv("TZ", "America/New_York")
+    time.tzset()
+    try:
+        got = M.newer_rows(rows, name, "t").select(F.col("t").cast("string")).collect()
+        back = M.newer_rows(rows, name, "t", timedelta(hours=1)).count()
+    finally:
+        monkeypatch.delenv("TZ")
+        time.tzset()
+    assert sorted(r[0] for r in got) == texts[1:]
+    assert back == 4
+
+
+def test_no_load_drops_a_column_in_silence(spark, database):
+    def frame(text):
+        return spark.sql(f"SELECT 1L AS k, timestamp_ntz'2024-01-01 00:00:00' AS t, {text} AS d")
+
+    flat, parted = f"{database}.flat", f"{database}.parted"
+    M.rebuild(frame("date'2024-01-01'"), flat)
+    M.rebuild(frame("date'2024-01-01'"), parted, "d")
+    more = frame("date'2024-01-01'").withColumn("k", F.lit(2).cast("long")).withColumn("extra", F.lit("x"))
+    for table_name in (flat, parted):
+        for load in (
+            lambda n: M.append(more, n),
+            lambda n: M.insert_only_merge(more, n, ["k"]),
+            lambda n: M.upsert(more, n, ["k"]),
+            lambda n: M.delete_insert(more, n, ["k"]),
+        ):
+            with pytest.raises(ValueError, match="extra"):
+                load(table_name)
+    with pytest.raises(ValueError, match="extra"):
+        M.replace_interval(more, parted, "t", "2024-01-01", "2024-01-02")
+    with pytest.raises(ValueError, match="not partitioned"):
+        M.replace_interval(more.drop("extra"), flat, "t", "2024-01-01", "2024-01-02")
+    M.upsert(more, parted, ["k"], widen=True)
+    assert {(r.k, r.extra) for r in spark.table(parted).collect()} == {(1, None), (2, "x")}
+
+
+def test_a_merge_refuses_null_keys(spark, database):
+    name = f"{database}.keyless"
+    rows = spark.createDataFrame([(1, "a"), (None, "b")], "k long, v string")
+    M.rebuild(rows.limit(0), name)
+    with pytest.raises(ValueError, match="without a key"):
+        M.insert_only_merge(rows, name, ["k"])
