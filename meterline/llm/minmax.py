@@ -327,7 +327,9 @@ def near_duplicates(
     shared = entries.groupBy("bucket").agg(F.min("id").alias("lo"), F.max("id").alias("hi"))
     entries = entries.join(shared.filter("lo != hi").select("bucket"), "bucket").select("bucket", "id")
     entries = write_scratch(entries.join(nodes.select("id", "sketch"), "id"), "minmax-buckets")
+    # Only texts that share a bucket are compared; they are picked out once.
     texts = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
+    texts = write_scratch(texts.join(entries.select("id").distinct(), "id", "left_semi"), "minmax-texts")
 
     confirmed = _shared_ids(usable, nodes, same)
     found = None if confirmed is None else write_scratch(components(spark, confirmed), "minmax-components")
@@ -343,8 +345,6 @@ def near_duplicates(
             rows, most = _rest_size(members)
             if not rows:
                 break
-            if turn == 1:
-                texts = write_scratch(texts.join(members.select("id").distinct(), "id", "left_semi"), "minmax-texts")
             if most <= 8 * rows:
                 pairs, last = rest_pairs(members, how), True
             elif last:
