@@ -22,6 +22,8 @@ How hot groups are kept small:
   standard deviation of 0.04; candidates are left out inside the join if the estimate is `slack` under the
   threshold, which a pair at the threshold is with a probability of 1e-5.
 * The texts to be compared with a head are dealt over several tasks when there are many.
+* A bucket with more than a tenth of the rows of an average task is dealt over several tasks in every join on buckets. There are
+  at most ten such buckets a task, whatever the size of the corpus, so their list can be broadcast.
 """
 
 from __future__ import annotations
@@ -195,7 +197,38 @@ def confirm(pairs: DataFrame, texts: DataFrame, how: MinMax) -> DataFrame:
     return both.mapInArrow(run, "a long, b long")
 
 
-def star_pairs(members: DataFrame, turn: int, how: MinMax) -> DataFrame:
+@dataclass(frozen=True)
+class Deal:
+    """How rows of a bucket are dealt: `hot` has (bucket, slots), other buckets have one slot."""
+
+    hot: DataFrame
+
+    def rows(self, members: DataFrame) -> DataFrame:
+        """Each row with one slot of its bucket."""
+        slots = F.coalesce("slots", F.lit(1))
+        out = members.join(F.broadcast(self.hot), "bucket", "left")
+        return out.withColumn("slot", F.pmod(F.xxhash64("id"), slots)).drop("slots")
+
+    def copies(self, facts: DataFrame) -> DataFrame:
+        """Each row once for every slot of its bucket."""
+        out = facts.join(F.broadcast(self.hot), "bucket", "left")
+        return out.withColumn("slot", F.explode(F.expr("sequence(0L, coalesce(slots, 1L) - 1)"))).drop("slots")
+
+    def join(self, members: DataFrame, facts: DataFrame) -> DataFrame:
+        return self.rows(members).join(self.copies(facts).hint("merge"), ["bucket", "slot"]).drop("slot")
+
+
+def deal_of(shared: DataFrame) -> Deal:
+    """Deal buckets, given with their rows n, so that a slot holds at most a tenth of an average task's rows."""
+    tasks = int(shared.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    total = shared.agg(F.sum("n")).first()[0] or 0
+    most = max(1, total // (10 * tasks))
+    hot = shared.filter(F.col("n") > most).select("bucket", F.ceil(F.col("n") / most).cast("long").alias("slots"))
+    # Of n rows in all, fewer than n / most buckets can be longer than that.
+    return Deal(hot)
+
+
+def star_pairs(members: DataFrame, deal: Deal, turn: int, how: MinMax) -> DataFrame:
     """Each document of an open bucket with the bucket's head, if they are in different components.
 
     The head is the smallest id in the first turn, later one that a hash of the turn picks.
@@ -207,12 +240,12 @@ def star_pairs(members: DataFrame, turn: int, how: MinMax) -> DataFrame:
     head = F.min(F.struct(order.alias("o"), F.col("id").alias("a"), F.col("component").alias("c"), "sketch"))
     heads = members.groupBy("bucket").agg(head.alias("h"))
     heads = heads.select("bucket", "h.a", "h.c", F.col("h.sketch").alias("other"))
-    pairs = members.join(heads, "bucket").filter("component != c")
+    pairs = deal.join(members, heads).filter("component != c")
     pairs = pairs.filter(similar_sketches("sketch", "other", how))
     return pairs.select(F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b")).distinct()
 
 
-def rest_pairs(members: DataFrame, how: MinMax) -> DataFrame:
+def rest_pairs(members: DataFrame, deal: Deal, how: MinMax) -> DataFrame:
     """All pairs in open buckets whose documents are in different components.
 
     Only documents outside of a bucket's largest component start a pair.
@@ -221,11 +254,11 @@ def rest_pairs(members: DataFrame, how: MinMax) -> DataFrame:
     major = sizes.groupBy("bucket").agg(
         F.max(F.struct("count", "component")).getField("component").alias("major")
     )
-    minor = members.join(major, "bucket").filter("component != major")
+    minor = deal.join(members, major).filter("component != major")
     minor = minor.select(
         "bucket", F.col("id").alias("x"), F.col("component").alias("cx"), F.col("sketch").alias("other")
     )
-    pairs = minor.join(members, "bucket").filter("cx != component")
+    pairs = deal.join(members, minor).filter("cx != component")
     pairs = pairs.filter(similar_sketches("sketch", "other", how))
     return pairs.select(F.least("x", "id").alias("a"), F.greatest("x", "id").alias("b")).distinct()
 
@@ -285,11 +318,11 @@ def _rest_size(members: DataFrame) -> tuple[int, int]:
     return int(row[0] or 0), int(row[1] or 0)
 
 
-def open_buckets(entries: DataFrame, found: DataFrame) -> DataFrame:
+def open_buckets(entries: DataFrame, deal: Deal, found: DataFrame) -> DataFrame:
     """(bucket, id, sketch, component) of the buckets that hold more than one component."""
     labelled = entries.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
     several = labelled.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-    return labelled.join(several.filter("lo != hi").select("bucket"), "bucket")
+    return deal.join(labelled, several.filter("lo != hi").select("bucket"))
 
 
 def _shared_ids(usable: DataFrame, nodes: DataFrame, same: list[str]) -> DataFrame | None:
@@ -324,8 +357,12 @@ def near_duplicates(
     )
     nodes = write_scratch(nodes, "minmax-nodes")
     entries = nodes.select("id", F.explode("bands").alias("bucket"))
-    shared = entries.groupBy("bucket").agg(F.min("id").alias("lo"), F.max("id").alias("hi"))
-    entries = entries.join(shared.filter("lo != hi").select("bucket"), "bucket").select("bucket", "id")
+    shared = entries.groupBy("bucket").agg(
+        F.min("id").alias("lo"), F.max("id").alias("hi"), F.count("*").alias("n")
+    )
+    shared = write_scratch(shared.filter("lo != hi").select("bucket", "n"), "minmax-shared")
+    deal = deal_of(shared)
+    entries = deal.join(entries, shared.select("bucket")).select("bucket", "id")
     entries = write_scratch(entries.join(nodes.select("id", "sketch"), "id"), "minmax-buckets")
     # Only texts that share a bucket are compared; they are picked out once.
     texts = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
@@ -339,19 +376,19 @@ def near_duplicates(
         if not turn and found is None:
             members = entries.withColumn("component", F.col("id"))
         else:
-            members = open_buckets(entries, found)
+            members = open_buckets(entries, deal, found)
         if turn:
             members = write_scratch(members, "minmax-open")
             rows, most = _rest_size(members)
             if not rows:
                 break
             if most <= 8 * rows:
-                pairs, last = rest_pairs(members, how), True
+                pairs, last = rest_pairs(members, deal, how), True
             elif last:
                 still = texts.join(members.select("id").distinct(), "id", "left_semi")
                 pairs = prefix_pairs(members, still.dropDuplicates(["id"]), how)
         if pairs is None:
-            pairs = star_pairs(members, turn, how)
+            pairs = star_pairs(members, deal, turn, how)
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = write_scratch(pairs, "minmax-pairs")
