@@ -1,7 +1,9 @@
-"""Connected components of a graph of links, by alternating stars."""
+"""Connected components of a graph of links, by alternating stars, and joins that deal hot keys over several tasks."""
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,14 +18,47 @@ def write_scratch(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@dataclass(frozen=True)
+class Deal:
+    """A join of many rows a key with one row a key, in which the rows of a hot key go to several tasks.
+
+    `hot` has the hot keys and their `slots`; other keys have one slot. Rows are dealt by a hash of the column `spread`.
+    """
+
+    hot: DataFrame
+    key: str
+    spread: str
+
+    def join(self, rows: DataFrame, facts: DataFrame) -> DataFrame:
+        """Inner join on the key: each of the rows has one slot of its key, each of the facts is there once a slot."""
+        hot = F.broadcast(self.hot)
+        slot = F.pmod(F.xxhash64(self.spread), F.coalesce("slots", F.lit(1)))
+        dealt = rows.join(hot, self.key, "left").withColumn("slot", slot).drop("slots")
+        copies = facts.join(hot, self.key, "left")
+        copies = copies.withColumn("slot", F.explode(F.expr("sequence(0L, coalesce(slots, 1L) - 1)"))).drop("slots")
+        return dealt.join(copies.hint("merge"), [self.key, "slot"]).drop("slot")
+
+
+def deal_of(counts: DataFrame, total: int, key: str, spread: str) -> Deal:
+    """Deal keys, given with their rows `n`, so that a slot holds about a tenth of an average task's rows of `total`.
+
+    Fewer than total / most keys have more than `most` rows: at most ten a task, or `total` if that is less. So the list of
+    hot keys does not grow with the rows and can be broadcast.
+    """
+    tasks = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    most = max(1, total // (10 * tasks))
+    hot = counts.filter(F.col("n") > most)
+    return Deal(hot.select(key, F.ceil(F.col("n") / most).cast("long").alias("slots")), key, spread)
+
+
 def components(spark: SparkSession, links: DataFrame, left: str = "a", right: str = "b") -> DataFrame:
     """(id, component) for every id with a link to a smaller id in its component.
 
     The component is the smallest id that can be reached; an id that is missing in the result is the
     smallest of its own. Links may be in either direction and may repeat; null ends and loops are left
     out. Each round replaces a link by one to the smallest neighbour, so the rounds grow with the logarithm
-    of the longest path. Rounds are joins on the id, which adaptive execution splits where one id has
-    very many links; smallest neighbours are aggregated ahead of the shuffle. Each round is written to the shared
+    of the longest path. Rounds are joins on the id, in which the links of an id that has very many are dealt over
+    several tasks; smallest neighbours are aggregated ahead of the shuffle. Each round is written to the shared
     folder, so a lost executor costs one round at most.
     """
     pair = links.select(
@@ -34,13 +69,14 @@ def components(spark: SparkSession, links: DataFrame, left: str = "a", right: st
     before = _mark(pair)
     while before[0]:
         both = pair.unionByName(pair.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m"))
+        least = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+        # An id has no more links after the first half of a round than before, so both halves deal the same ids.
+        deal = deal_of(least, 2 * before[0], "u", "v")
         least = least.select("u", F.least("u", "m").alias("m"))
-        large = (
-            both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        )
+        large = deal.join(both.filter("v > u"), least)
+        large = large.select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         smallest = large.groupBy("u").agg(F.min("v").alias("m"))
-        lower = large.join(smallest, "u").filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        lower = deal.join(large, smallest).filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         small = lower.unionByName(smallest.withColumnRenamed("m", "v")).distinct()
         pair = write_scratch(small, "links")
         after = _mark(pair)

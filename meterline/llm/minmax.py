@@ -22,8 +22,7 @@ How hot groups are kept small:
   standard deviation of 0.04; candidates are left out inside the join if the estimate is `slack` under the
   threshold, which a pair at the threshold is with a probability of 1e-5.
 * The texts to be compared with a head are dealt over several tasks when there are many.
-* A bucket with more than a tenth of the rows of an average task is dealt over several tasks in every join on buckets. There are
-  at most ten such buckets a task, whatever the size of the corpus, so their list can be broadcast.
+* A bucket with more than a tenth of the rows of an average task is dealt over several tasks in every join on buckets (`Deal`).
 """
 
 from __future__ import annotations
@@ -36,7 +35,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterline.llm.arrow import portions, utf8
-from meterline.llm.components import components, write_scratch
+from meterline.llm.components import Deal, components, deal_of, write_scratch
 from meterline.llm.words import GOLDEN, mix, shingle_sets
 
 _PORTION = 1 << 20
@@ -197,37 +196,6 @@ def confirm(pairs: DataFrame, texts: DataFrame, how: MinMax) -> DataFrame:
     return both.mapInArrow(run, "a long, b long")
 
 
-@dataclass(frozen=True)
-class Deal:
-    """How rows of a bucket are dealt: `hot` has (bucket, slots), other buckets have one slot."""
-
-    hot: DataFrame
-
-    def rows(self, members: DataFrame) -> DataFrame:
-        """Each row with one slot of its bucket."""
-        slots = F.coalesce("slots", F.lit(1))
-        out = members.join(F.broadcast(self.hot), "bucket", "left")
-        return out.withColumn("slot", F.pmod(F.xxhash64("id"), slots)).drop("slots")
-
-    def copies(self, facts: DataFrame) -> DataFrame:
-        """Each row once for every slot of its bucket."""
-        out = facts.join(F.broadcast(self.hot), "bucket", "left")
-        return out.withColumn("slot", F.explode(F.expr("sequence(0L, coalesce(slots, 1L) - 1)"))).drop("slots")
-
-    def join(self, members: DataFrame, facts: DataFrame) -> DataFrame:
-        return self.rows(members).join(self.copies(facts).hint("merge"), ["bucket", "slot"]).drop("slot")
-
-
-def deal_of(shared: DataFrame) -> Deal:
-    """Deal buckets, given with their rows n, so that a slot holds at most a tenth of an average task's rows."""
-    tasks = int(shared.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    total = shared.agg(F.sum("n")).first()[0] or 0
-    most = max(1, total // (10 * tasks))
-    hot = shared.filter(F.col("n") > most).select("bucket", F.ceil(F.col("n") / most).cast("long").alias("slots"))
-    # Of n rows in all, fewer than n / most buckets can be longer than that.
-    return Deal(hot)
-
-
 def star_pairs(members: DataFrame, deal: Deal, turn: int, how: MinMax) -> DataFrame:
     """Each document of an open bucket with the bucket's head, if they are in different components.
 
@@ -361,7 +329,7 @@ def near_duplicates(
         F.min("id").alias("lo"), F.max("id").alias("hi"), F.count("*").alias("n")
     )
     shared = write_scratch(shared.filter("lo != hi").select("bucket", "n"), "minmax-shared")
-    deal = deal_of(shared)
+    deal = deal_of(shared, shared.agg(F.sum("n")).first()[0] or 0, "bucket", "id")
     entries = deal.join(entries, shared.select("bucket")).select("bucket", "id")
     entries = write_scratch(entries.join(nodes.select("id", "sketch"), "id"), "minmax-buckets")
     # Only texts that share a bucket are compared; they are picked out once.
