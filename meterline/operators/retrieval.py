@@ -7,11 +7,14 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import DoubleType, StructField, StructType
 
+from meterline.session import ship_package
+
 BLOCK = 1024
 
 
@@ -38,8 +41,9 @@ def top_k_cosine(
     broadcast; more queries mean more blocks, each with a scan of the corpus. A task multiplies one
     Arrow batch of the corpus with the block and passes on only the best k of the batch per query,
     so the number of shuffled rows depends on batches, not on corpus rows. Equal similarities are
-    ordered by corpus id.
+    ordered by corpus id. Vectors whose length is not that of the queries are an error.
     """
+    ship_package(corpus.sparkSession)
     results = [
         _one_block(rows, queries, corpus, k, query_id, corpus_id, corpus_vector)
         for rows in _blocks(queries.select(query_id, query_vector), block)
@@ -80,6 +84,9 @@ def _one_block(rows, queries, corpus, k, query_id, corpus_id, corpus_vector) ->
             if not batch.num_rows:
                 continue
             names = batch.column(0).to_numpy(zero_copy_only=False)
+            lengths = pc.unique(pc.list_value_length(batch.column(1))).to_pylist()
+            if lengths != [unit_queries.shape[1]]:
+                raise ValueError(f"vectors of length {lengths}, queries of length {unit_queries.shape[1]}")
             flat = batch.column(1).flatten().to_numpy(zero_copy_only=False)
             vectors = _unit(flat.reshape(batch.num_rows, -1).astype("float64"))
             scores = np.round(vectors @ unit_queries.T, 12)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,6 +23,7 @@ from meterline.operators.columns import COMMON_NAMES, pick, rename, shared_colum
 from meterline.operators.dedup import union_aligned
 from meterline.operators.filters import in_month, in_window, no_nulls, on_day
 from meterline.operators.joins import lookup, two_roles
+from meterline.operators.materialize import rebuild, replace_interval
 
 REVENUE_PARTS = {
     "revenue_monthly_fare": "fare_amount",
@@ -100,6 +103,18 @@ def daily_report(staged: DataFrame, start, end) -> DataFrame:
     )
 
 
+def load_daily_report(staged: DataFrame, table: str, start: date, end: date) -> None:
+    """Replace the days from `start` up to but without `end` of the report's table; safe to repeat.
+
+    The window is of whole days, as a day's row holds the whole day. Other days keep their rows.
+    """
+    rows = daily_report(staged, start, end)
+    if not staged.sparkSession.catalog.tableExists(table):
+        rebuild(rows, table, "pickup_date")
+    else:
+        replace_interval(rows, table, "pickup_date", start, end)
+
+
 def short_trips(trips: DataFrame, year: int, month: int, limit: float = 1.0) -> DataFrame:
     return trips.where(
         in_month("pickup_datetime", year, month) & (F.col("trip_distance") <= limit)

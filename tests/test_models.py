@@ -49,6 +49,14 @@ def test_retrieval_with_text_ids_and_few_rows(spark):
     ]
 
 
+def test_retrieval_refuses_vectors_of_other_lengths(spark):
+    c = spark.createDataFrame([(1, [1.0]), (2, [0.0, 1.0, 0.0])], "id bigint, v array<double>").coalesce(1)
+    q = spark.createDataFrame([(1, [2.0, 0.0])], "n bigint, v array<double>")
+    got = top_k_cosine(q, c, 1, query_id="n", corpus_id="id", query_vector="v", corpus_vector="v")
+    with pytest.raises(Exception, match="vectors of length"):
+        got.collect()
+
+
 def test_tip_model_recovers_a_linear_rule(spark):
     trips = spark.range(2000).select(
         (F.col("id") % 5).cast("string").alias("PULocationID"),
