@@ -7,10 +7,11 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from meterline.llm import minmax, multi_index
 from meterline.llm.arrow import prepare
-from meterline.llm.components import components
+from meterline.llm.components import components, deal_of
 from meterline.llm.words import hashes, shingle_sets, spans
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -232,3 +233,16 @@ def test_vectors_without_ids_and_none_at_all(spark):
     assert multi_index.near_duplicates(frame.limit(0)).collect() == []
     nulls = frame.filter("vec_id IS NULL")
     assert [tuple(r) for r in multi_index.near_duplicates(nulls).collect()] == [(None, 0, None, True)]
+
+
+def test_a_dealt_join_gives_the_rows_of_a_plain_one(spark):
+    rows = spark.range(3000).selectExpr("id", "if(id < 1000, 0, id % 700) as bucket")
+    facts = spark.range(0, 900, 2).selectExpr("id as bucket", "id * 3 as fact")
+    counts = rows.groupBy("bucket").agg(F.count("*").alias("n"))
+    deal = deal_of(counts, 3000, "bucket", "id")
+    slots = {r["bucket"]: r["slots"] for r in deal.hot.collect()}
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert slots[0] > 1 and len(slots) <= 10 * tasks
+    got = sorted(tuple(r) for r in deal.join(rows, facts).select("id", "bucket", "fact").collect())
+    plain = sorted(tuple(r) for r in rows.join(facts, "bucket").select("id", "bucket", "fact").collect())
+    assert got == plain
