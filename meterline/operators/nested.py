@@ -116,9 +116,15 @@ def load_tables(
 ) -> LoadResult:
     """Replace every table and append one audit line per table to `_loads`.
 
-    Row counts are observed while writing; nothing is scanned again for them.
+    Row counts are observed while writing; nothing is scanned again for them. A list that the documents no
+    longer have leaves a child table of an earlier load behind: it is dropped, with the tables below it.
     """
     rows = {}
+    roots = [name for name in tables if not any(name.startswith(other + JOINER) for other in tables)]
+    for held in spark.catalog.listTables(database):
+        below = any(held.name.startswith(root.lower() + JOINER) for root in roots)
+        if below and not held.isTemporary and held.name not in {name.lower() for name in tables}:
+            spark.sql(f"DROP TABLE {database}.`{held.name}`")
     for name, df in tables.items():
         seen = Observation()
         counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))

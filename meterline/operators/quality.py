@@ -116,7 +116,12 @@ def _named(name: str, failures: DataFrame) -> DataFrame:
 
 def require(df: DataFrame, checks: Iterable) -> None:
     """Raise if any check fails."""
-    failed = run_checks(df, checks).where("failures > 0").collect()
+    passed(run_checks(df, checks))
+
+
+def passed(report: DataFrame) -> None:
+    """Raise an error that names the failed checks of a report, if there are any."""
+    failed = report.where("failures > 0").collect()
     if failed:
         raise ValueError("; ".join(f"{r['check']}: {r['failures']}" for r in failed))
 

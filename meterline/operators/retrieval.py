@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -11,19 +10,55 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import DoubleType, StructField, StructType
+from pyspark.sql.types import (
+    ArrayType,
+    BinaryType,
+    DoubleType,
+    IntegerType,
+    StructField,
+    StructType,
+)
 
 from meterline.session import ship_package
 
-BLOCK = 1024
+BLOCK = 256
+CHUNK = 1024
 
 
 def _unit(rows: np.ndarray) -> np.ndarray:
-    """Rows scaled to length one; a zero row stays zero and is similar to nothing."""
+    """Rows scaled to length one; a row that is zero or holds anything but numbers becomes zero."""
+    rows = np.where(np.isfinite(rows).all(axis=1, keepdims=True), rows, 0.0)
     length = np.linalg.norm(rows, axis=1, keepdims=True)
     return rows / np.where(length == 0, 1.0, length)
 
 
+def _packed(df: DataFrame, key: str, vector: str, size: int, prefix: str) -> DataFrame:
+    """Vectors of up to `size` rows in one row each: keys, dimension, unit vectors as bytes."""
+    shape = StructType(
+        [
+            StructField(f"{prefix}_ids", ArrayType(df.schema[key].dataType)),
+            StructField(f"{prefix}_dim", IntegerType()),
+            StructField(f"{prefix}_vectors", BinaryType()),
+        ]
+    )
+    arrow_shape = to_arrow_schema(shape)
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for start in range(0, whole.num_rows, size):
+                batch = whole.slice(start, size)
+                lengths = pc.unique(pc.list_value_length(batch.column(1))).to_pylist()
+                if len(lengths) > 1:
+                    raise ValueError(f"vectors of length {sorted(lengths)} in one column")
+                flat = batch.column(1).flatten().to_numpy(zero_copy_only=False)
+                rows = _unit(flat.reshape(batch.num_rows, lengths[0]).astype("float64"))
+                columns = [[batch.column(0).to_pylist()], [lengths[0]], [rows.tobytes()]]
+                yield pa.RecordBatch.from_pydict(dict(zip(shape.names, columns)), schema=arrow_shape)
+
+    given = df.select(key, vector).where(F.col(vector).isNotNull())
+    return given.mapInArrow(pack, shape)
+
+
 def top_k_cosine(
     queries: DataFrame,
     corpus: DataFrame,
@@ -34,41 +69,21 @@ def top_k_cosine(
     query_vector: str = "embedding",
     corpus_vector: str = "embedding",
     block: int = BLOCK,
+    chunk: int = CHUNK,
 ) -> DataFrame:
     """The k most similar corpus rows of each query: query id, corpus id, similarity, rank.
 
-    Queries are sent to the tasks in blocks of at most `block` vectors, which bounds what is
-    broadcast; more queries mean more blocks, each with a scan of the corpus. A task multiplies one
-    Arrow batch of the corpus with the block and passes on only the best k of the batch per query,
-    so the number of shuffled rows depends on batches, not on corpus rows. Equal similarities are
-    ordered by corpus id. Vectors whose length is not that of the queries are an error.
+    Both sides are packed, queries into blocks and the corpus, scanned once, into chunks. Every block meets
+    every chunk inside Spark, which broadcasts the blocks while their known size allows and else pairs
+    partitions; no vector passes through the driver. A pair is one matrix product and hands on only the best k
+    of the chunk per query, so the number of shuffled rows depends on chunks, not on corpus rows. Equal
+    similarities are ordered by corpus id. Null vectors are left out; a vector that is zero or holds nulls or
+    infinities is similar to nothing (0). Vectors whose length is not that of the queries are an error, found
+    when the result is computed. Without queries the result is empty.
     """
     ship_package(corpus.sparkSession)
-    results = [
-        _one_block(rows, queries, corpus, k, query_id, corpus_id, corpus_vector)
-        for rows in _blocks(queries.select(query_id, query_vector), block)
-    ]
-    if not results:
-        raise ValueError("no queries")
-    return reduce(DataFrame.unionAll, results)
-
-
-def _blocks(queries: DataFrame, size: int) -> Iterator[list]:
-    rows: list = []
-    for row in queries.toLocalIterator():
-        rows.append(row)
-        if len(rows) == size:
-            yield rows
-            rows = []
-    if rows:
-        yield rows
-
-
-def _one_block(rows, queries, corpus, k, query_id, corpus_id, corpus_vector) -> DataFrame:
-    spark = corpus.sparkSession
-    ids = [r[0] for r in rows]
-    matrix = _unit(np.array([r[1] for r in rows], dtype="float64"))
-    shared = spark.sparkContext.broadcast((ids, matrix))
+    blocks = _packed(queries, query_id, query_vector, block, "query")
+    chunks = _packed(corpus, corpus_id, corpus_vector, chunk, "corpus")
     result = StructType(
         [
             StructField("query", queries.schema[query_id].dataType),
@@ -78,35 +93,28 @@ def _one_block(rows, queries, corpus, k, query_id, corpus_id, corpus_vector) ->
     )
     arrow_result = to_arrow_schema(result)
 
-    def best_of_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        query_ids, unit_queries = shared.value
+    def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            names = batch.column(0).to_numpy(zero_copy_only=False)
-            lengths = pc.unique(pc.list_value_length(batch.column(1))).to_pylist()
-            if lengths != [unit_queries.shape[1]]:
-                raise ValueError(f"vectors of length {lengths}, queries of length {unit_queries.shape[1]}")
-            flat = batch.column(1).flatten().to_numpy(zero_copy_only=False)
-            vectors = _unit(flat.reshape(batch.num_rows, -1).astype("float64"))
-            scores = np.round(vectors @ unit_queries.T, 12)
-            out_query, out_corpus, out_score = [], [], []
-            for j, query in enumerate(query_ids):
-                column = scores[:, j]
-                keep = np.arange(len(column))
-                if len(column) > k:
-                    kth = np.partition(column, -k)[-k]
-                    keep = np.flatnonzero(column >= kth)
-                keep = keep[np.lexsort((names[keep], -column[keep]))][:k]
-                out_query += [query] * len(keep)
-                out_corpus += names[keep].tolist()
-                out_score += column[keep].tolist()
-            yield pa.RecordBatch.from_pydict(
-                {"query": out_query, "match": out_corpus, "similarity": out_score},
-                schema=arrow_result,
-            )
-
-    vectors = corpus.select(corpus_id, corpus_vector).where(F.col(corpus_vector).isNotNull())
-    best = vectors.mapInArrow(best_of_batch, result)
+            for i in range(batch.num_rows):
+                names, dim, vectors, asked, asked_dim, wanted = (column[i] for column in batch.columns)
+                if dim.as_py() != asked_dim.as_py():
+                    raise ValueError(f"vectors of length {dim}, queries of length {asked_dim}")
+                left = np.frombuffer(vectors.as_buffer()).reshape(len(names), -1)
+                right = np.frombuffer(wanted.as_buffer()).reshape(len(asked), -1)
+                by_name = np.array(pc.sort_indices(names.values))
+                scores = np.round(left[by_name] @ right.T, 12)
+                rows = np.argsort(-scores, axis=0, kind="stable")[:k]
+                columns = np.broadcast_to(np.arange(len(asked)), rows.shape)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        asked.values.take(pa.array(columns.ravel())),
+                        names.values.take(pa.array(by_name[rows.ravel()])),
+                        pa.array(scores[rows.ravel(), columns.ravel()]),
+                    ],
+                    schema=arrow_result,
+                )
+
+    # The stated queries against all rows, block by block.
+    found = chunks.crossJoin(blocks).mapInArrow(best, result)
     order = Window.partitionBy("query").orderBy(F.desc("similarity"), F.asc("match"))
-    return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)

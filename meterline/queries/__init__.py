@@ -7,6 +7,7 @@ from meterline.queries import (  # noqa: F401  (importing registers)
     q_quality,
     q_reports,
     q_sources,
+    q_suites,
     q_tables,
 )
 from meterline.queries.registry import REGISTRY  # noqa: F401

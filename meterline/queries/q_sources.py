@@ -39,12 +39,12 @@ def csv_parsed_dates(spark, sf):
 
 @query(
     "S3",
-    """SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_name, CAST(p_size AS VARCHAR) AS p_size
-FROM part""",
+    """SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_name, p_brand, p_type,
+       CAST(p_size AS VARCHAR) AS p_size, CAST(p_retailprice AS VARCHAR) AS p_retailprice FROM part""",
 )
 def csv_all_text(spark, sf):
     path = scratch_path(spark, "part_csv")
-    table(spark, sf, "part").select("p_partkey", "p_name", "p_size").write.csv(path, header=True)
+    table(spark, sf, "part").write.csv(path, header=True)
     return S.read_csv(spark, path)
 
 
@@ -160,28 +160,43 @@ def json_selected_list(spark, sf):
     )
 
 
+def _landed(spark, sf):
+    """Each document's lines landed as one page, then an empty page, then pages that come after it."""
+    path = scratch_path(spark, "pages_json")
+    lines = document_lines(spark, sf).withColumn("lines", F.coalesce("lines", F.array()))
+    last = lines.agg(F.max("doc_id")).scalar()
+    pages = lines.selectExpr("doc_id as page", "lines as docs")
+    total = pages.agg(F.sum(F.size("docs"))).scalar()
+    end = lines.agg((F.max("doc_id") + 1).alias("page")).select(
+        "page", F.slice(F.array().cast(pages.schema["docs"].dataType), 1, 1).alias("docs")
+    )
+    behind = pages.select((F.col("page") + last + 2).alias("page"), "docs")
+    pages = pages.unionByName(end).unionByName(behind).withColumn("num_found", total)
+    pages.write.json(path)
+    return S.read_documents(spark, path, schema=pages.schema)
+
+
 @query(
     "S10",
-    f"""WITH {LINES_SQL},
-per_page AS (
-  SELECT d.doc_id, count(l.doc_id) AS n FROM documents d
-  LEFT JOIN lines l ON d.doc_id = l.doc_id AND l.line <> '' AND d.lang <> 'es' GROUP BY 1)
-SELECT count(*) AS pages, CAST(sum(CASE WHEN n = 0 THEN 1 ELSE 0 END) AS BIGINT) AS empty_pages,
-       CAST(sum(n) AS BIGINT) AS rows_read, CAST(sum(n) AS BIGINT) AS rows_reported
-FROM per_page""",
+    f"""WITH {LINES_SQL}
+SELECT (SELECT 2 * count(*) + 1 FROM documents) AS pages, CAST(1 AS BIGINT) AS empty_pages,
+       2 * count(*) AS rows_read, count(*) AS rows_reported
+FROM lines""",
 )
 def landed_pages(spark, sf):
-    """Each document landed as one page of results; some pages are empty."""
-    path = scratch_path(spark, "pages_json")
-    pages = document_lines(spark, sf).selectExpr(
-        "doc_id as page",
-        "filter(lines, x -> x.line <> '' and lang <> 'es') as docs",
-    )
-    total = pages.agg(F.sum(F.size("docs"))).scalar()
-    pages = pages.withColumn("num_found", total)
-    pages.write.json(path)
-    landed = S.read_documents(spark, path, schema=pages.schema)
-    return S.page_coverage(landed, "docs", "num_found")
+    """All landed pages counted, with the empty one and those behind it."""
+    return S.page_coverage(_landed(spark, sf), "docs", "num_found")
+
+
+@query(
+    "S10",
+    f"""WITH {LINES_SQL}
+SELECT doc_id, CAST(line_no AS INTEGER) AS line_no, md5(line) AS line_md5 FROM lines""",
+)
+def pages_until_empty(spark, sf):
+    """The entries of the pages ahead of the empty one; of those behind it, none."""
+    entries = S.entries_until_empty(_landed(spark, sf), "docs", "page")
+    return entries.select("doc_id", "line_no", F.md5(F.encode("line", "UTF-8")).alias("line_md5"))
 
 
 def _orders_by_month(spark, sf, file_format="parquet"):
@@ -194,7 +209,7 @@ def _orders_by_month(spark, sf, file_format="parquet"):
         F.col("o_orderstatus").alias("service"),
         F.date_format("o_orderdate", "yyyy-MM").alias("ym"),
     )
-    writer = rows.repartition("service", "ym").write.partitionBy("service", "ym")
+    writer = rows.hint("rebalance", "service", "ym").write.partitionBy("service", "ym")
     writer.format(file_format).option("header", True).save(path)
     return path
 
@@ -229,16 +244,41 @@ def month_window_files(spark, sf):
 WHERE o_orderstatus = 'O' AND o_orderdate >= TIMESTAMP '2001-01-01'""",
 )
 def missing_files_skipped(spark, sf):
-    base = _orders_by_month(spark, sf)
-    paths = S.month_paths(
-        ["O", "X"],
-        date(2001, 1, 1),
-        date(2004, 12, 31),
-        base + "/service={type}/ym={year}-{month}",
-    )
+    """Months that are missing and a file that is no Parquet file are passed over."""
+    base, paths = _damaged_months(spark, sf)
     return S.read_available(spark, paths, base=base).select("o_orderkey", "o_totalprice")
 
 
+def _damaged_months(spark, sf):
+    base = _orders_by_month(spark, sf)
+    note = spark.range(1).selectExpr("'no parquet file' as value")
+    note.write.mode("append").text(f"{base}/service=O/ym=2001-02")
+    note.write.text(f"{base}/service=X/ym=2001-03")
+    template = base + "/service={type}/ym={year}-{month}"
+    return base, S.month_paths(["O", "X"], date(2001, 1, 1), date(2004, 12, 31), template)
+
+
+@query(
+    "S12",
+    """WITH months AS (
+  SELECT service, strftime(DATE '2001-01-01' + to_months(CAST(i AS INTEGER)), '%Y-%m') AS ym
+  FROM (VALUES ('O'), ('X')) AS v(service), range(48) AS r(i)),
+held AS (
+  SELECT strftime(o_orderdate, '%Y-%m') AS ym, count(*) AS n FROM orders
+  WHERE o_orderstatus = 'O' GROUP BY 1)
+SELECT service, m.ym, 'read' AS state, n AS rows FROM months m JOIN held USING (ym) WHERE service = 'O'
+UNION ALL SELECT service, m.ym, 'missing', CAST(NULL AS BIGINT) FROM months m LEFT JOIN held USING (ym)
+WHERE (service = 'X' AND m.ym <> '2001-03') OR (service = 'O' AND n IS NULL AND m.ym <> '2001-02')
+UNION ALL SELECT * FROM (VALUES ('O', '2001-02', 'unreadable', NULL), ('X', '2001-03', 'unreadable', NULL))""",
+)
+def listed_file_states(spark, sf):
+    """What became of each month of a list: read, missing or unreadable."""
+    states = S.file_states(spark, _damaged_months(spark, sf)[1])
+    service = F.regexp_extract("listed", "service=([^/]+)", 1).alias("service")
+    ym = F.regexp_extract("listed", "ym=([^/]+)", 1).alias("ym")
+    return states.groupBy(service, ym, "state").agg(F.sum("rows").alias("rows"))
+
+
 @query("S14 S16 S28", "SELECT CAST(4 AS BIGINT) AS files, count(*) AS n FROM orders")
 def files_per_write(spark, sf):
     path = scratch_path(spark, "four_files")
@@ -249,11 +289,22 @@ def files_per_write(spark, sf):
     return rows.select(files.alias("files"), "n")
 
 
-@query("S28")
+@query(
+    "S28",
+    "SELECT CAST(8 AS BIGINT) AS files, TRUE AS avg_is_sum_by_count, TRUE AS above_zero, count(*) AS n FROM lineitem",
+)
 def file_sizes(spark, sf):
+    """Number of files and their average size, which is the sum of the sizes by their number."""
     path = scratch_path(spark, "file_sizes")
     L.write_parquet(table(spark, sf, "lineitem"), path, files=8)
-    return L.average_file_mb(spark, path)
+    total = L.file_report(spark, path).agg(F.sum("bytes") / F.lit(1024.0 * 1024.0)).scalar()
+    rows = spark.read.parquet(path).agg(F.count(F.lit(1))).scalar()
+    return L.average_file_mb(spark, path).select(
+        "files",
+        (F.abs(F.col("avg_mb") * F.col("files") - total) < 1e-6).alias("avg_is_sum_by_count"),
+        (F.col("avg_mb") > 0).alias("above_zero"),
+        rows.alias("n"),
+    )
 
 
 @query("S15", "SELECT CAST(1 AS BIGINT) AS files, count(DISTINCT l_suppkey) AS n FROM lineitem")
@@ -315,12 +366,12 @@ def month_archive(spark, sf):
 @query("S19", "SELECT count(*) AS n, TRUE AS within_chunk FROM lineitem")
 def chunked_table(spark, sf):
     name = f"{scratch_database(spark, 'chunked')}.lineitem"
-    L.create_then_append(table(spark, sf, "lineitem"), name, chunk_rows=1000)
+    L.create_then_append(table(spark, sf, "lineitem"), name)
     per_file = (
         spark.table(name).groupBy("_metadata.file_path").agg(F.count(F.lit(1)).alias("rows"))
     )
     return per_file.agg(
-        F.sum("rows").alias("n"), (F.max("rows") <= 1000).alias("within_chunk")
+        F.sum("rows").alias("n"), (F.max("rows") <= 100_000).alias("within_chunk")
     )
 
 

@@ -212,15 +212,17 @@ def delete_insert(spark, sf):
 
 @query(
     "M10",
-    """SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN NULL ELSE o_orderpriority END AS priority
+    """SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN NULL ELSE o_orderpriority END AS priority,
+       CASE WHEN o_orderstatus = 'F' THEN o_custkey END AS o_custkey, o_totalprice,
+       CASE WHEN o_orderstatus <> 'F' THEN strftime(o_orderdate, '%Y-%m-%d %H:%M:%S.%f') END AS ordered
 FROM orders""",
 )
 def drifted_table(spark, sf):
     name = f"{scratch_database(spark, 'drift')}.orders"
     orders = table(spark, sf, "orders")
-    M.rebuild(orders.where("o_orderstatus = 'F'").select("o_orderkey"), name)
+    M.rebuild(orders.where("o_orderstatus = 'F'").select("o_orderkey", "o_custkey", "o_totalprice"), name)
     later = orders.where("o_orderstatus <> 'F'").selectExpr(
-        "o_orderpriority as priority", "o_orderkey"
+        "o_orderpriority as priority", "o_orderdate as ordered", "o_totalprice", "o_orderkey"
     )
     M.append_with_drift(later, name)
     return spark.table(name)
@@ -247,7 +249,7 @@ def period_backfill(spark, sf):
     base = scratch_path(spark, "landed_months")
     orders = table(spark, sf, "orders").select("o_orderkey", "o_orderdate")
     months = orders.withColumn("ym", F.date_format("o_orderdate", "yyyy-MM"))
-    months.repartition("ym").write.partitionBy("ym").parquet(base)
+    months.hint("rebalance", "ym").write.partitionBy("ym").parquet(base)
     name = f"{scratch_database(spark, 'backfill')}.orders"
     write_by_date(orders.limit(0), name, "o_orderdate")
     paths = S.month_paths(["x"], date(1997, 1, 1), date(1997, 3, 31), base + "/ym={year}-{month}")
@@ -331,22 +333,19 @@ def stream_file_load(spark, sf):
     M.rebuild(orders.limit(0), name)
     for statuses in (["F", "O"], ["O", "P"]):
         landed = orders.where(F.col("o_orderstatus").isin(statuses))
-        landed.repartition(3).write.mode("append").parquet(folder)
+        landed.write.mode("append").parquet(folder)
         load_new_files(
             spark, folder, orders.schema, name, ["o_orderkey"], checkpoint, files_per_batch=2
         )
     return spark.table(name).select("o_orderkey", "o_totalprice")
 
 
-def _raw_load_sql(row_id: str, pickup: str = "pickup_datetime") -> str:
-    return f"""WITH {A.RAW_SQL.replace("raw AS", "given AS")},
-raw AS (SELECT * REPLACE ({pickup} AS pickup_datetime) FROM given),
-keyed AS (
-  SELECT {row_id} AS unique_row_id, CAST(vendor_id AS VARCHAR) AS "VendorID",
-         strftime(pickup_datetime, '%Y-%m-%d %H:%M:%S.%f') AS tpep_pickup_datetime,
-         CAST(pickup_location_id AS VARCHAR) AS "PULocationID", fare_amount
-  FROM raw WHERE l_linestatus = 'F')
-SELECT * FROM keyed"""
+def _raw_load_sql(row_id: str, status: str = "F", prefix: str = "tpep") -> str:
+    return f"""WITH {A.RAW_SQL}
+SELECT {row_id} AS unique_row_id, CAST(vendor_id AS VARCHAR) AS "VendorID",
+       strftime(pickup_datetime, '%Y-%m-%d %H:%M:%S.%f') AS {prefix}_pickup_datetime,
+       CAST(pickup_location_id AS VARCHAR) AS "PULocationID", fare_amount
+FROM raw WHERE l_linestatus = '{status}'"""
 
 
 KEY_TEXT = (
@@ -356,35 +355,44 @@ KEY_TEXT = (
 )
 
 
-def _load_raw(spark, sf, warehouse):
+FULL_KEY = f"md5({KEY_TEXT} || CAST(fare_amount AS VARCHAR) || CAST(trip_distance AS VARCHAR))"
+SHORT_KEY = f"md5({KEY_TEXT})"
+
+
+def _load_raw(spark, sf, warehouse, service="yellow"):
     folder = scratch_path(spark, "raw_csv")
-    yellow = A.yellow(spark, sf).select(*raw_load.YELLOW.names)
-    yellow.write.options(header=True, timestampNTZFormat="yyyy-MM-dd HH:mm:ss").csv(folder)
-    name = f"{scratch_database(spark, 'raw')}.yellow"
+    trip_schema, prefix = raw_load.SERVICES[service]
+    rows = A.yellow(spark, sf) if service == "yellow" else A.green(spark, sf)
+    rows = rows.select(*trip_schema.names)
+    rows.write.options(header=True, timestampNTZFormat="yyyy-MM-dd HH:mm:ss").csv(folder)
+    name = f"{scratch_database(spark, 'raw')}.{service}"
     for _ in range(2):
-        raw_load.load_files(spark, folder, "yellow", name, warehouse)
+        raw_load.load_files(spark, folder, service, name, warehouse)
     rows = spark.table(name).where("filename is not null")
     return rows.select(
-        "unique_row_id", "VendorID", "tpep_pickup_datetime", "PULocationID", "fare_amount"
+        "unique_row_id", "VendorID", f"{prefix}_pickup_datetime", "PULocationID", "fare_amount"
     )
 
 
-@query(
-    "M4 X8 P5 S21 S25 S2",
-    _raw_load_sql(
-        f"md5({KEY_TEXT} || CAST(fare_amount AS VARCHAR) "
-        "|| CAST(trip_distance AS VARCHAR))"
-    ),
-)
+@query("M4 X8 P5 S21 S25 S2", _raw_load_sql(FULL_KEY))
 def raw_file_load(spark, sf):
-    """Raw CSV files staged, keyed and merged, twice."""
+    """Raw CSV files of the yellow service staged, keyed and merged, twice."""
     return _load_raw(spark, sf, warehouse=False)
 
 
-@query(
-    "M4 X9 S21 S22",
-    _raw_load_sql(f"md5({KEY_TEXT})"),
-)
+@query("M4 X8 P5 S21 S25 S2", _raw_load_sql(FULL_KEY, "O", "lpep"))
+def raw_file_load_green(spark, sf):
+    """As above for the green service."""
+    return _load_raw(spark, sf, warehouse=False, service="green")
+
+
+@query("M4 X9 S21 S22", _raw_load_sql(SHORT_KEY))
 def raw_file_load_warehouse(spark, sf):
     """As above into the date-partitioned form with a binary key."""
     return _load_raw(spark, sf, warehouse=True)
+
+
+@query("M4 X9 S21 S22", _raw_load_sql(SHORT_KEY, "O", "lpep"))
+def raw_file_load_warehouse_green(spark, sf):
+    """The date-partitioned form of the green service."""
+    return _load_raw(spark, sf, warehouse=True, service="green")

@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
+import logging
+import re
 from collections.abc import Iterable
 from datetime import date
 from functools import reduce
 
 import pandas as pd
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
 
+LOG = logging.getLogger(__name__)
+
 
 def read_csv(
     spark: SparkSession,
@@ -55,17 +61,22 @@ def read_parquet(
 def read_by_name(spark: SparkSession, paths: Iterable[str], schema: StructType) -> DataFrame:
     """Parquet files whose column *types* differ as well, brought to one schema.
 
-    Merging inside the reader only works while equal names have equal types. Here every path is
-    its own scan, cast before the union; the casts do not hinder column pruning.
+    Merging inside the reader only works while equal names have equal types. Here the paths are
+    grouped by the schema they are stored under; each group is one scan, cast before the union. The
+    casts do not hinder column pruning. Nested columns are told apart by their whole type.
     """
-    frames = []
+    groups: dict[str, tuple[StructType, list[str]]] = {}
     for path in paths:
-        df = spark.read.parquet(path)
+        stored = spark.read.parquet(path).schema
+        groups.setdefault(stored.json(), (stored, []))[1].append(path)
+    frames = []
+    for stored, members in groups.values():
+        df = spark.read.schema(stored).parquet(*members)
         have = {name.lower() for name in df.columns}
         frames.append(
             df.select(
                 *[
-                    (F.col(f.name) if f.name.lower() in have else F.lit(None))
+                    (F.col(f"`{f.name}`") if f.name.lower() in have else F.lit(None))
                     .cast(f.dataType)
                     .alias(f.name)
                     for f in schema.fields
@@ -122,6 +133,17 @@ def page_coverage(pages: DataFrame, selector: str, total: str | None = None) ->
     return pages.agg(*measures)
 
 
+def entries_until_empty(pages: DataFrame, selector: str, page: str) -> DataFrame:
+    """The entries of landed pages in page order, up to the first page without any.
+
+    An empty or a null list ends the walk; what was landed behind it does not count. The number of
+    that page is a scalar inside the plan, and Spark reads only the pages before it.
+    """
+    number, entries = F.col(f"`{page}`"), F.coalesce(F.size(F.col(selector)), F.lit(0))
+    first_empty = pages.agg(F.min(F.when(entries <= 0, number))).scalar()
+    return entries_of(pages.where(F.coalesce(number < first_empty, first_empty.isNull())), selector)
+
+
 def months_touched(start: date, end: date) -> list[tuple[int, int]]:
     """Every (year, month) from the month of `start` to the month of `end`, both included."""
     first, last = start.year * 12 + start.month - 1, end.year * 12 + end.month - 1
@@ -150,6 +172,57 @@ def existing_paths(spark: SparkSession, paths: Iterable[str]) -> list[str]:
     return found
 
 
+def file_states(spark: SparkSession, paths: Iterable[str]) -> DataFrame:
+    """One row per file of the listed paths: listed path, file, state and rows.
+
+    The state is `read`, `missing` (nothing at the path) or `unreadable` (no Parquet footer that could
+    be read). One job looks at the footers of all files. A file of which it saw no row is empty or
+    unreadable, so those few are opened singly.
+    """
+    paths = list(paths)
+    found = existing_paths(spark, paths)
+    lines = [(path, None, "missing", None) for path in paths if path not in found]
+    files = []
+    if found:
+        listed = spark.read.format("binaryFile").load(found).select("path")
+        files = [r["path"] for r in listed.collect()]
+    held = _footer_rows(spark, files)
+    homes = {_plain(path).rstrip("/"): path for path in found}
+    for file in files:
+        home = _plain(file)
+        while home not in homes:
+            home = home.rpartition("/")[0]
+        rows = held.get(_plain(file))
+        state = "read" if rows is not None or _opens(spark, file) else "unreadable"
+        lines.append((homes[home], file, state, (rows or 0) if state == "read" else None))
+    return spark.createDataFrame(lines, "listed string, file string, state string, rows bigint")
+
+
+def _plain(path: str) -> str:
+    """A file's path without its scheme and host, which listings leave out or write differently."""
+    return re.sub("^[a-z0-9]+:(//[^/]*)?", "", path)
+
+
+def _footer_rows(spark: SparkSession, files: list[str]) -> dict[str, int]:
+    """Rows by file as the footers tell; files without a readable footer have no entry."""
+    if not files:
+        return {}
+    rows = spark.read.option("ignoreCorruptFiles", True).schema(StructType([])).parquet(*files)
+    counted = rows.groupBy(F.col("_metadata.file_path").alias("file")).count()
+    return {_plain(r["file"]): r["count"] for r in counted.collect()}
+
+
+def _opens(spark: SparkSession, file: str) -> bool:
+    """Whether the footer can be read; an error of any other kind is raised again."""
+    try:
+        spark.read.option("ignoreCorruptFiles", False).parquet(file)
+    except (PySparkException, Py4JJavaError) as error:
+        if "CANNOT_READ_FILE_FOOTER" not in str(error):
+            raise
+        return False
+    return True
+
+
 def read_available(
     spark: SparkSession,
     paths: Iterable[str],
@@ -161,23 +234,34 @@ def read_available(
 ) -> DataFrame:
     """Parquet files out of a list, leaving out those that are missing or unreadable.
 
-    If none exists, `on_empty` decides between an error and an empty frame of the given schema.
+    What is left out is logged as a warning, file by file, and `file_states` lists it. A file is read
+    whole or not at all: one whose footer can be read and whose pages are damaged raises an error. If
+    nothing can be read, `on_empty` decides between an error and an empty frame of the given schema.
+    Without `skip_corrupt` an unreadable file is an error as well.
     """
     if on_empty not in ("error", "empty"):
         raise ValueError("on_empty must be 'error' or 'empty'")
-    found = existing_paths(spark, paths)
-    if not found:
+    paths = list(paths)
+    if skip_corrupt:
+        states = file_states(spark, paths).collect()
+        for r in states:
+            if r["state"] != "read":
+                LOG.warning("%s file left out: %s", r["state"], r["file"] or r["listed"])
+        readable = [r["file"] for r in states if r["state"] == "read"]
+    else:
+        readable = existing_paths(spark, paths)
+    if not readable:
         if on_empty == "error":
-            raise FileNotFoundError("none of the listed files exists")
+            raise FileNotFoundError("none of the listed files can be read")
         if schema is None:
             raise ValueError("an empty result needs a schema")
         return spark.createDataFrame([], schema)
-    reader = spark.read.option("ignoreCorruptFiles", skip_corrupt)
+    reader = spark.read.option("ignoreCorruptFiles", False)
     if base:
         reader = reader.option("basePath", base)
     if schema is not None:
         reader = reader.schema(schema)
-    return reader.parquet(*found)
+    return reader.parquet(*readable)
 
 
 def from_pandas(spark: SparkSession, frame: pd.DataFrame) -> DataFrame:

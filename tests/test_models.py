@@ -57,6 +57,29 @@ def test_retrieval_refuses_vectors_of_other_lengths(spark):
         got.collect()
 
 
+def test_retrieval_scans_the_corpus_once(spark, capsys):
+    corpus = scratch_path(spark, "vectors")
+    spark.range(50).selectExpr("id", "array(cast(id as double), 1.0) as v").write.parquet(corpus)
+    vectors = spark.read.parquet(corpus)
+    asked = spark.range(7).selectExpr("id as n", "array(1.0d, cast(id as double)) as v")
+    got = top_k_cosine(asked, vectors, 2, query_id="n", corpus_id="id", query_vector="v", corpus_vector="v", block=2)
+    got.explain()
+    assert capsys.readouterr().out.count("FileScan") == 1
+    assert got.count() == 14
+
+
+def test_retrieval_of_odd_vectors(spark):
+    c = spark.createDataFrame(
+        [(1, [0.0, 0.0]), (2, [1.0, None]), (3, [float("inf"), 1.0]), (4, [1.0, 1.0])], "id bigint, v array<double>"
+    )
+    q = spark.createDataFrame([(1, [2.0, 2.0])], "n bigint, v array<double>")
+    got = top_k_cosine(q, c, 9, query_id="n", corpus_id="id", query_vector="v", corpus_vector="v")
+    assert [(r["match"], r["similarity"]) for r in got.orderBy("rank").collect()] == [(4, 1.0), (1, 0.0), (2, 0.0), (3, 0.0)]
+    assert top_k_cosine(
+        q.limit(0), c, 9, query_id="n", corpus_id="id", query_vector="v", corpus_vector="v"
+    ).count() == 0
+
+
 def test_tip_model_recovers_a_linear_rule(spark):
     trips = spark.range(2000).select(
         (F.col("id") % 5).cast("string").alias("PULocationID"),

@@ -84,6 +84,15 @@ def test_load_replaces_and_audits(spark, database):
     assert audit.where("loaded_at is null").count() == 0
 
 
+def test_load_drops_tables_of_lists_that_are_gone(spark, database):
+    before = spark.createDataFrame([(1, ["a"], [["b"]])], "k int, tags array<string>, deep array<array<string>>")
+    N.load_tables(spark, N.flatten(before, "Docs", ["k"], "l1"), database, "l1")
+    spark.range(1).write.saveAsTable(f"{database}.docs_other")
+    N.load_tables(spark, N.flatten(before.drop("deep"), "Docs", ["k"], "l2"), database, "l2")
+    left = {t.name for t in spark.catalog.listTables(database) if not t.isTemporary}
+    assert left == {"docs", "docs__tags", "docs_other", "_loads"}
+
+
 def test_child_values_of_null_and_empty_lists(spark):
     df = spark.createDataFrame([(1, ["a", None]), (2, []), (3, None)], "id int, v array<string>")
     got = [tuple(r) for r in N.child_values(df, "id", "v").collect()]

@@ -4,6 +4,7 @@ from datetime import date, datetime
 
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from meterline.operators.nested import flatten
 from meterline.schemas import GREEN, YELLOW, struct
@@ -102,12 +103,44 @@ def test_missing_file_policies(spark, tmp_path):
     assert S.read_available(spark, [missing, good, str(bad)], schema).count() == 3
     with pytest.raises(FileNotFoundError):
         S.read_available(spark, [missing], schema)
+    with pytest.raises(FileNotFoundError):
+        S.read_available(spark, [missing, str(bad)], schema)
+    states = S.file_states(spark, [missing, good, str(bad)]).collect()
+    assert sum(r["rows"] or 0 for r in states) == 3
+    assert {(r["listed"], r["state"]) for r in states} == {
+        (missing, "missing"), (good, "read"), (str(bad), "unreadable")
+    }
+    none = str(tmp_path / "none.parquet")
+    spark.createDataFrame([], schema).coalesce(1).write.parquet(none)
+    assert [(r["state"], r["rows"]) for r in S.file_states(spark, [none]).collect()] == [("read", 0)]
     empty = S.read_available(spark, [missing], schema, on_empty="empty")
     assert empty.schema == schema and empty.count() == 0
     with pytest.raises(ValueError):
         S.read_available(spark, [missing], schema, on_empty="skip")
 
 
+def test_damaged_pages_are_an_error(spark, tmp_path):
+    whole = tmp_path / "whole.parquet"
+    pd.DataFrame({"id": range(5000)}).to_parquet(whole, compression=None)
+    content = bytearray(whole.read_bytes())
+    content[4:200] = b"\xff" * 196
+    whole.write_bytes(content)
+    assert [r["state"] for r in S.file_states(spark, [str(whole)]).collect()] == ["read"]
+    with pytest.raises(Exception):
+        S.read_available(spark, [str(whole)], struct("id bigint")).agg(F.sum("id")).collect()
+
+
+def test_pages_end_at_the_first_empty_one(spark):
+    pages = spark.createDataFrame(
+        [(1, ["a"]), (2, ["b", "c"]), (3, []), (4, ["d"]), (5, None)], "page int, docs array<string>"
+    )
+    got = lambda df: sorted(r[0] for r in S.entries_until_empty(df, "docs", "page").collect())
+    assert got(pages) == ["a", "b", "c"]
+    assert got(pages.where("page <> 3")) == ["a", "b", "c", "d"]
+    assert got(pages.where("page < 3")) == ["a", "b", "c"]
+    assert got(pages.where("page = 3")) == got(pages.limit(0)) == []
+
+
 def test_pandas_frame(spark):
     df = S.from_pandas(spark, pd.DataFrame({"k": [1, 2], "v": ["a", "b"], "x": [0.5, 1.5]}))
     assert dict(df.dtypes) == {"k": "bigint", "v": "string", "x": "double"}
