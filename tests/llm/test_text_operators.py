@@ -455,3 +455,15 @@ def test_conversations(spark):
     flags = [r.in_order for r in formatted.filter("conv_id = 2").orderBy("place").collect()]
     assert flags == [True, False, False]
     assert chat.read_back(chat.format_turns(turns.limit(0), TEMPLATE), TEMPLATE).collect() == []
+
+
+def test_mix_gives_texts_back_as_they_were(spark):
+    texts = ["", None, "naïve 🙂 text\n\ttwo", "x" * 300_000, "same", "same"]
+    rows = [(i, "a" if i % 2 else None, t, [t]) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string, of_more array<string>")
+    mixed = pfair.mix_sources(docs, pfair.Mix(block=1, period=4))
+    assert mixed.schema["text"].dataType == docs.schema["text"].dataType
+    got = {tuple([r["doc_id"], r["source"], r["text"], tuple(r["of_more"])]) for r in mixed.collect()}
+    assert got == {(i, s, t, tuple(m)) for i, s, t, m in rows}
+    numbers = pfair.mix_sources(docs.withColumn("text", docs["doc_id"]))
+    assert {r["text"] for r in numbers.collect()} == set(range(6))
