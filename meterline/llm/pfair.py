@@ -5,8 +5,9 @@ floor(j / w) on and has to have one before ceil((j + 1) / w). Giving each slot t
 meets all deadlines, as the weights add up to one; so after any number of slots t a source has had more than w·t - 1
 and less than w·t + 1 blocks.
 
-Weights are rounded to shares of a period of slots, after which the schedule repeats. One period is worked out on the driver,
-where its size is a parameter; a document's place then follows from its rank in its source by arithmetic, in Spark.
+Weights are whole numbers, exactly as they are written, so nothing is rounded and nothing drifts. Deadlines decide one slot after
+the other: one task makes the schedule, with a block of each source in memory, and passes it on as rows of a table.
+A document's places follow from its rank in its source, by a join of the ranks with the slots of their blocks.
 
 The schedule runs until every source has given each document at least once. A source that has given all of its documents
 goes round again. So no document is dropped, and the weights hold at the end as in every prefix.
@@ -18,7 +19,11 @@ compressed one by one, which for prose takes a third less than what the shuffle'
 from __future__ import annotations
 
 import heapq
+import math
+from collections.abc import Iterator
 from dataclasses import dataclass
+from fractions import Fraction
+from itertools import islice
 
 import pyarrow as pa
 import zstandard
@@ -31,7 +36,7 @@ from meterline.llm.components import write_scratch
 
 @dataclass(frozen=True)
 class Mix:
-    """Documents in a block, slots in a period, and the power of a source's size that is its default weight.
+    """Documents in a block, slots that are passed on at a time, and the power of a source's size that is its default weight.
 
     `rank_rows` is the mean number of rows that are ranked together within a source. More than `most_sources`
     sources raise an error: their weights would no longer be data to send to every task.
@@ -44,40 +49,80 @@ class Mix:
     most_sources: int = 100_000
 
 
+def whole(weights: dict) -> dict:
+    """The weights as whole numbers in the same proportions: a float is the decimal number it is written as."""
+    exact = {s: Fraction(str(w)) for s, w in weights.items()}
+    scale = math.lcm(*[w.denominator for w in exact.values()])
+    out = {s: int(w * scale) for s, w in exact.items()}
+    common = math.gcd(*out.values())
+    return {s: n // common for s, n in out.items()}
+
+
 def shares(weights: dict, period: int) -> dict:
     """Weights as whole numbers of slots that add up to the period, each at least one (largest remainders).
 
-    The period grows to a slot for each source where there are more sources.
+    The period grows to a slot for each source where there are more sources. The mix itself does not round its weights.
     """
     period = max(period, len(weights))
-    total = sum(weights.values())
+    parts = whole(weights)
+    total = sum(parts.values())
     order = sorted(weights, key=lambda s: (s is None, "" if s is None else str(s)))
-    exact = {s: weights[s] / total * (period - len(order)) for s in order}
-    out = {s: 1 + int(exact[s]) for s in order}
-    left = period - sum(out.values())
-    for s in sorted(order, key=lambda s: exact[s] - int(exact[s]), reverse=True)[:left]:
-        out[s] += 1
+    out = {s: max(parts[s] * period // total, 1) for s in order}
+    over = {s: parts[s] * period - out[s] * total for s in order}
+    while (left := period - sum(out.values())) != 0:
+        step = 1 if left > 0 else -1
+        s = max((s for s in order if step > 0 or out[s] > 1), key=lambda s: step * over[s])
+        out[s] += step
+        over[s] -= step * total
     return out
 
 
-def schedule(slots: dict) -> list:
-    """Which source has each slot of one period: earliest deadline first among released blocks."""
-    period = sum(slots.values())
-    names = list(slots)
-    waiting = [(0, i, 0) for i in range(len(names))]  # release, source, block
-    heapq.heapify(waiting)
+def slots_of(parts: list[int]) -> Iterator[tuple[int, int]]:
+    """Source and block of each slot, without end: earliest deadline first among released blocks.
+
+    Source i has the weight parts[i] / sum(parts). A block of each source is held, whatever the number of slots.
+    """
+    total = sum(parts)
+    waiting = [(0, i, 0) for i in range(len(parts))]  # release, source, block
     ready: list[tuple[int, int, int]] = []  # deadline, source, block
-    out = []
-    for t in range(period):
+    t = 0
+    while True:
         while waiting and waiting[0][0] <= t:
             _, i, j = heapq.heappop(waiting)
-            heapq.heappush(ready, (-(-(j + 1) * period // slots[names[i]]), i, j))
+            heapq.heappush(ready, (-(-(j + 1) * total // parts[i]), i, j))
         deadline, i, j = heapq.heappop(ready)
         assert deadline > t, "a block missed its deadline"
-        out.append(names[i])
-        if j + 1 < slots[names[i]]:
-            heapq.heappush(waiting, ((j + 1) * period // slots[names[i]], i, j + 1))
-    return out
+        yield i, j
+        heapq.heappush(waiting, ((j + 1) * total // parts[i], i, j + 1))
+        t += 1
+
+
+def schedule(slots: dict) -> list:
+    """Which source has each slot of one period of whole weights."""
+    names = list(slots)
+    return [names[i] for i, _ in islice(slots_of(list(slots.values())), sum(slots.values()))]
+
+
+def scheduled(spark, parts: list[int], blocks: list[int], batch: int) -> DataFrame:
+    """(of_index, of_block, of_slot) up to the slot at which each source has had its number of blocks."""
+
+    def run(batches):
+        for _ in batches:
+            pass
+        open_, rows = sum(n > 0 for n in blocks), []
+        for t, (i, j) in enumerate(slots_of(parts)):
+            rows.append((i, j, t))
+            open_ -= j + 1 == blocks[i]
+            if not open_ or len(rows) == batch:
+                columns = zip(*rows, strict=True)
+                kinds = (pa.int32(), pa.int64(), pa.int64())
+                arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
+                yield pa.RecordBatch.from_arrays(arrays, names=["of_index", "of_block", "of_slot"])
+                rows = []
+            if not open_:
+                return
+
+    return spark.range(0, 1, 1, 1).mapInArrow(run, "of_index int, of_block long, of_slot long")
 
 
 def _squeeze(texts: pa.Array) -> pa.Array:
@@ -109,7 +154,7 @@ def mix_sources(
     come in an order that only a hash of the row decides; rows that repeat, also with a null key, keep a place each.
     The column `text`, if it is there and of strings, is compressed on the way and comes out as it was. Columns
     of `docs` keep their names: choose others for the three new ones if they clash (a clash raises). An empty table gives no
-    rows. Only the number of documents of each source comes to the driver, and a period is sent to the tasks.
+    rows. Only the number of documents of each source comes to the driver.
     """
     spark = docs.sparkSession
     if clash := set(columns) & set(docs.columns):
@@ -127,31 +172,18 @@ def mix_sources(
     missing = [s for s in sizes if not weights.get(s, 0) > 0]
     if missing:
         raise ValueError(f"no weight for sources {missing[:5]}")
-    slots = shares({s: weights[s] for s in sizes}, how.period)
-    order = schedule(slots)
-    period = len(order)
-    # The first slot after every source's last document.
-    needed = 0
-    places: dict = {s: [] for s in slots}
-    for t, s in enumerate(order):
-        places[s].append(t)
-    for s, n in sizes.items():
-        rounds, block = divmod(-(-n // how.block) - 1, slots[s])
-        needed = max(needed, rounds * period + places[s][block] + 1)
-    whole, part = divmod(needed, period)
-
-    rows = []
-    for i, s in enumerate(slots):
-        blocks = whole * slots[s] + sum(t < part for t in places[s])
-        rows.append((i, s, sizes[s], slots[s], blocks * how.block, -(-sizes[s] // how.rank_rows), places[s]))
+    parts = whole({s: weights[s] for s in sizes})
+    names = list(parts)
+    blocks = [-(-sizes[s] // how.block) for s in names]
+    slots = write_scratch(scheduled(spark, [parts[s] for s in names], blocks, how.period), "mix-slots")
+    rows = [(i, s, sizes[s], -(-sizes[s] // how.rank_rows)) for i, s in enumerate(names)]
     kind = docs.schema[source].dataType.simpleString()
     plan = spark.createDataFrame(
         rows,
-        f"of_index int, of_source {kind}, of_rows long, of_slots long, of_length long, of_buckets long, "
-        "of_places array<long>",
+        f"of_index int, of_source {kind}, of_rows long, of_buckets long",
     )
 
-    # One row for each source, and the slots of a period: both bounded by parameters.
+    # One row for each source: bounded by a parameter.
     hashed = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns if not _is_map(docs, c)])
     long = text in docs.columns and text not in (key, source) and isinstance(docs.schema[text].dataType, StringType)
     marked = docs.join(F.broadcast(plan), docs[source].eqNullSafe(plan.of_source)).withColumn("of_hash", hashed)
@@ -163,23 +195,20 @@ def mix_sources(
     counts = write_scratch(counted, "mix-buckets")
     before = Window.partitionBy("of_index").orderBy("of_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(
-        "of_index", "of_bucket", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("of_before")
+        "of_index", "of_bucket", "count", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("of_before")
     )
     own = Window.partitionBy("of_index", "of_bucket").orderBy("of_hash", F.col(key))
-    ranked = marked.drop("of_places").withColumn("of_rank", F.row_number().over(own) - 1)
-    ranked = ranked.join(offsets, ["of_index", "of_bucket"])
-    ranked = ranked.join(F.broadcast(plan.select("of_index", "of_places")), "of_index")
-    stream = F.explode(F.expr("sequence(of_before + of_rank, of_length - 1, of_rows)"))
-    placed = ranked.withColumn("of_place", stream)
-    block = F.expr(f"of_place div {how.block}")
-    placed = placed.withColumn("of_block", block)
-    at = F.expr("of_block div of_slots") * period + F.expr("of_places[cast(of_block % of_slots as int)]")
+    ranked = marked.drop("of_rows", "of_buckets").withColumn("of_rank", F.row_number().over(own) - 1)
+    ranked = ranked.join(_rounds(offsets, slots, plan, how.block), ["of_index", "of_bucket"])
+    placed = ranked.withColumn("of_place", F.col("of_begin") + F.col("of_rank"))
+    placed = placed.filter("of_place < of_length")
+    at = F.expr(f"of_slots[cast(of_place div {how.block} - of_first as int)]")
     placed = placed.withColumn("of_slot", at)
     out = placed.select(
         *[F.col(f"`{c}`") for c in docs.columns],
         (F.col("of_slot") * how.block + F.col("of_place") % how.block).alias(position),
         F.col("of_slot").alias(slot),
-        F.expr("of_place div of_rows").alias(round_),
+        F.col("of_round").alias(round_),
     )
     out = out.repartitionByRange(position).sortWithinPartitions(position)
     if long:
@@ -187,5 +216,21 @@ def mix_sources(
     return out
 
 
+def _rounds(offsets: DataFrame, slots: DataFrame, plan: DataFrame, block: int) -> DataFrame:
+    """For each bucket and round of its source: the place of its first row, its first block, and the slots of its blocks."""
+    lengths = slots.groupBy("of_index").agg((F.count("*") * block).alias("of_length"))
+    lengths = lengths.join(plan.select("of_index", "of_rows"), "of_index")
+    rounds = offsets.join(lengths, "of_index")
+    rounds = rounds.withColumn("of_round", F.explode(F.expr("sequence(0L, (of_length - 1 - of_before) div of_rows)")))
+    rounds = rounds.withColumn("of_begin", F.expr("of_round * of_rows + of_before"))
+    last = F.expr(f"(least(of_begin + count, of_length) - 1) div {block}")
+    rounds = rounds.withColumns({"of_first": F.expr(f"of_begin div {block}"), "of_last": last})
+    each = rounds.withColumn("of_block", F.explode(F.expr("sequence(of_first, of_last)")))
+    found = each.join(slots, ["of_index", "of_block"])
+    found = found.groupBy("of_index", "of_bucket", "of_round", "of_begin", "of_first", "of_length")
+    found = found.agg(F.sort_array(F.collect_list(F.struct("of_block", "of_slot"))).alias("of_found"))
+    return found.withColumn("of_slots", F.col("of_found.of_slot")).drop("of_found")
+
+
 def _is_map(docs: DataFrame, column: str) -> bool:
     return docs.schema[column].dataType.simpleString().find("map<") >= 0

@@ -4,6 +4,7 @@ import hashlib
 import re
 import zlib
 from collections import Counter
+from itertools import islice
 
 import numpy as np
 import pytest
@@ -467,3 +468,23 @@ def test_mix_gives_texts_back_as_they_were(spark):
     assert got == {(i, s, t, tuple(m)) for i, s, t, m in rows}
     numbers = pfair.mix_sources(docs.withColumn("text", docs["doc_id"]))
     assert {r["text"] for r in numbers.collect()} == set(range(6))
+
+
+def test_mix_keeps_exact_weights_with_one_large_and_many_small_sources(spark):
+    weights = {"big": 0.5} | {f"s{k}": 0.5 / 2000 for k in range(2000)}
+    docs = spark.createDataFrame([(i, "big") for i in range(1500)] + [(i, f"s{i}") for i in range(2000)], "doc_id long, source string")
+    mixed = pfair.mix_sources(docs, pfair.Mix(block=1), weights).orderBy("mix_position").collect()
+    assert len(mixed) <= 4000 and {(r.doc_id, r.source) for r in mixed} == {tuple(r) for r in docs.collect()}
+    had = Counter()
+    for t, r in enumerate(mixed, 1):
+        had[r.source] += 1
+        assert abs(had["big"] - 0.5 * t) < 1 and abs(had[r.source] - weights[r.source] * t) < 1
+
+
+def test_small_weights_do_not_drift():
+    parts = list(pfair.whole({"a": 0.7, "b": 0.29994, "c": 6e-5}).values())
+    had = [0, 0, 0]
+    for t, (i, j) in enumerate(islice(pfair.slots_of(parts), 100_000), 1):
+        assert j == had[i]
+        had[i] += 1
+        assert all(abs(n * sum(parts) - p * t) < sum(parts) for n, p in zip(had, parts, strict=True))
