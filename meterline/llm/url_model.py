@@ -2,38 +2,54 @@
 
 URLs that a rule decides are the examples. For each verdict a Markov model of variable order over the URL's bytes is
 counted on all of them: the chance of a byte after the last `order` bytes is smoothed with the chance after one byte
-less, down to a uniform one. Counts live in tables of a fixed number of slots, found by hashing the context, so a model
-has the same size for any corpus. A URL's score is the difference of its log-likelihoods under both models, divided by its
+less, down to a uniform one. A byte and the bytes before it are a number, its gram, so counts are exact: a table of Spark with
+a row for each gram that occurs in any URL, which grows with the corpus. Chances are joined from order to order, and the steps
+of the URLs with what each gram gains. A URL's score is the difference of its log-likelihoods under both models, divided by its
 length; the limit between allow and block is calibrated on examples that were not counted.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from meterline.llm.arrow import utf8
-from meterline.llm.words import GOLDEN, mix
+from meterline.llm.arrow import portions, utf8
+from meterline.llm.components import write_scratch
 
 ALLOW, BLOCK = "allow", "block"
 
 
+#: Bits of a byte in a gram (0 stands before the URL), bytes of URLs taken at a time, and a gain of one.
+BITS = 9
+PORTION = 1 << 20
+UNIT = 1 << 30
+
+
 @dataclass(frozen=True)
 class UrlModel:
-    """Longest context, slots of a table (a power of two), weight of the shorter context, and the score's bins."""
+    """Longest context, weight of the shorter context, and the score's bins."""
 
     order: int = 5
-    slots: int = 1 << 17
     weight: float = 2.0
     held_out: int = 5
     bins: int = 4000
     widest: float = 10.0
 
+    def __post_init__(self):
+        if not 0 <= self.order <= 5:
+            raise ValueError("a gram of more than 6 bytes and its order do not fit into a long")
+
+    @property
+    def slots(self) -> int:
+        """Grams there can be."""
+        return 1 << BITS * (self.order + 1)
+
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -66,108 +82,157 @@ def verdict_of(rule: Column, rules: list[tuple[str, str]]) -> Column:
     return out
 
 
-def _steps(data: np.ndarray, offsets: np.ndarray, how: UrlModel):
-    """For each order, the slot of every byte with its context and of the context alone."""
+def _grams(data: np.ndarray, offsets: np.ndarray, how: UrlModel) -> np.ndarray:
+    """Every byte with its longest context as one number, the byte itself in the lowest bits."""
     rows, sizes = len(offsets) - 1, np.diff(offsets)
     pad = how.order
-    wide = np.zeros(len(data) + rows * pad, np.uint64)  # zeros before each URL: contexts stay inside it
+    wide = np.zeros(len(data) + rows * pad, np.int64)  # zeros before each URL: contexts stay inside it
     at = np.arange(len(data)) + (np.repeat(np.arange(rows), sizes) + 1) * pad
-    byte = data.astype(np.uint64)
+    byte = data.astype(np.int64)
     byte[(data >= 48) & (data <= 57)] = 48  # all digits are alike
-    wide[at] = byte + np.uint64(1)
-    context = np.full(len(data), GOLDEN)
-    mask = np.uint64(how.slots - 1)
+    wide[at] = byte + 1
+    gram = np.zeros(len(data), np.int64)
     for k in range(how.order + 1):
-        if k:
-            context = mix(context + wide[at - k] * np.uint64(k + 1))
-        pair = mix(context + wide[at] * GOLDEN) & mask
-        yield k, pair.astype(np.int64), (mix(context ^ GOLDEN) & mask).astype(np.int64)
+        gram |= wide[at - k] << (BITS * k)
+    return gram
+
 
+def _shorter(gram, k: int):
+    """The gram of order k at the end of a longer one."""
+    mask = (1 << BITS * (k + 1)) - 1
+    return gram.bitwiseAND(F.lit(mask)) if isinstance(gram, Column) else gram & mask
 
-def count_steps(examples: DataFrame, how: UrlModel, url: str, verdict: str) -> DataFrame:
-    """(verdict, slot, n) over all examples; each task adds up its own counts first."""
-    size = 2 * (how.order + 1) * how.slots
+
+def _steps(data: np.ndarray, offsets: np.ndarray, how: UrlModel):
+    """For each order, every byte with its context and the context alone."""
+    gram = _grams(data, offsets, how)
+    for k in range(how.order + 1):
+        pair = _shorter(gram, k)
+        yield k, pair, pair >> BITS
+
+
+def _by_portion(batch, how: UrlModel):
+    """First row, sizes and grams of portions of a batch whose first column is the URL."""
+    data, offsets = utf8(batch.column(0))
+    for low, high in portions(offsets, PORTION):
+        part = offsets[low : high + 1]
+        if part[-1] > part[0]:
+            yield low, np.diff(part), _grams(data[part[0] : part[-1]], part - part[0], how)
+
+
+def count_grams(urls: DataFrame, how: UrlModel) -> DataFrame:
+    """(gram, allow, block): all grams of `urls` (url, allow, block), and how often they are in examples of each verdict."""
 
     def run(batches):
-        totals = {ALLOW: np.zeros(size, np.int64), BLOCK: np.zeros(size, np.int64)}
         for batch in batches:
-            for name, total in totals.items():
-                part = batch.filter(pa.compute.equal(batch.column(1), name))
-                if part.num_rows:
-                    for k, pair, alone in _steps(*utf8(part.column(0)), how):
-                        np.add.at(total, 2 * k * how.slots + pair, 1)
-                        np.add.at(total, (2 * k + 1) * how.slots + alone, 1)
-        for name, total in totals.items():
-            used = np.flatnonzero(total)
-            for low in range(0, len(used), 50_000):
-                part = used[low : low + 50_000]
+            numbers = [batch.column(i).to_numpy() for i in (1, 2)]
+            for low, sizes, gram in _by_portion(batch, how):
+                found, at = np.unique(gram, return_inverse=True)
+                rows = np.repeat(np.arange(low, low + len(sizes)), sizes)
+                sums = [np.bincount(at, n[rows], len(found)).astype(np.int64) for n in numbers]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (found, *sums)], names=["gram", ALLOW, BLOCK])
+
+    counts = urls.select("url", ALLOW, BLOCK).mapInArrow(run, f"gram long, {ALLOW} long, {BLOCK} long")
+    return counts.groupBy("gram").agg(F.sum(ALLOW).alias(ALLOW), F.sum(BLOCK).alias(BLOCK))
+
+
+def gains(counts: DataFrame, how: UrlModel) -> DataFrame:
+    """(gram, gain): log of the gram's chance among accepted URLs less that among rejected ones, in whole parts of UNIT."""
+    chances = None
+    for k in range(how.order + 1):
+        level = counts.groupBy(_shorter(F.col("gram"), k).alias("gram"))
+        level = level.agg(F.sum(ALLOW).alias(ALLOW), F.sum(BLOCK).alias(BLOCK))
+        # A context has at most 256 bytes after it, so no window is larger.
+        context = Window.partitionBy(F.shiftright("gram", BITS))
+        level = level.withColumns({f"{v}_context": F.sum(v).over(context) for v in (ALLOW, BLOCK)})
+        if chances is None:
+            level = level.withColumns({f"{v}_before": F.lit(1 / 256) for v in (ALLOW, BLOCK)})
+        else:
+            before = chances.select(F.col("gram").alias("end"), *[F.col(f"{v}_chance").alias(f"{v}_before") for v in (ALLOW, BLOCK)])
+            level = level.withColumn("end", _shorter(F.col("gram"), k - 1)).join(before, "end")
+        chances = level.select(
+            "gram",
+            *[
+                ((F.col(v) + how.weight * F.col(f"{v}_before")) / (F.col(f"{v}_context") + how.weight)).alias(f"{v}_chance")
+                for v in (ALLOW, BLOCK)
+            ],
+        )
+    gain = F.log(f"{ALLOW}_chance") - F.log(f"{BLOCK}_chance")
+    return chances.select("gram", F.round(gain * UNIT).cast("long").alias("gain"))
+
+
+def _id(url: str) -> Column:
+    return F.unhex(F.md5(F.coalesce(F.col(url), F.lit("")).cast("binary")))
+
+
+def score_urls(urls: DataFrame, gained: DataFrame, how: UrlModel) -> DataFrame:
+    """(id, score) of distinct `urls` (url, id): the sum of their grams' gains by their length. Empty URLs have no row.
+
+    Gains are whole numbers, so a sum is the same in any order.
+    """
+
+    def run(batches):
+        for batch in batches:
+            for low, sizes, gram in _by_portion(batch, how):
+                rows = np.repeat(np.arange(low, low + len(sizes)), sizes)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([name] * len(part)), pa.array(part), pa.array(total[part])],
-                    names=["verdict", "slot", "n"],
+                    [batch.column(1).take(pa.array(rows)), pa.array(gram)], names=["id", "gram"]
                 )
 
-    counts = examples.select(url, verdict).mapInArrow(run, "verdict string, slot long, n long")
-    return counts.groupBy("verdict", "slot").agg(F.sum("n").alias("n"))
+    steps = urls.select("url", "id").mapInArrow(run, "id binary, gram long")
+    found = steps.join(gained, "gram").groupBy("id")
+    return found.agg((F.sum("gain") / F.lit(UNIT) / F.count("*")).alias("score"))
 
 
 @dataclass
 class Fitted:
-    """Counts of both models, float32, and the limit of the score; no tables if there were no examples."""
+    """Exact counts of both models, the scores of the URLs, and the limit; no frames if there were no examples."""
 
-    tables: dict
+    counts: DataFrame | None
+    scores: DataFrame | None
     limit: float
-
-    def score(self, data: np.ndarray, offsets: np.ndarray, how: UrlModel) -> np.ndarray:
-        """Length-normalised difference of log-likelihoods, accepted less rejected; 0 for an empty URL."""
-        rows = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
-        chance = {name: np.full(len(data), 1 / 256) for name in self.tables}
-        for k, pair, alone in _steps(data, offsets, how):
-            for name, total in self.tables.items():
-                both = total[2 * k * how.slots + pair]
-                context = total[(2 * k + 1) * how.slots + alone]
-                both = np.minimum(both, context)  # slots may be shared
-                chance[name] = (both + how.weight * chance[name]) / (context + how.weight)
-        if not self.tables:
-            return np.zeros(len(offsets) - 1)
-        gain = np.log(chance[ALLOW]) - np.log(chance[BLOCK])
-        return np.bincount(rows, gain, len(offsets) - 1) / np.maximum(np.diff(offsets), 1)
+    how: UrlModel
+
+    @cached_property
+    def tables(self) -> dict:
+        """The counts of both models on the driver, to look into small ones: by (2 * order) * slots + gram and
+        (2 * order + 1) * slots + context. What does not occur is 0."""
+        if self.counts is None:
+            return {}
+        out = {ALLOW: Counter(), BLOCK: Counter()}
+        for gram, *numbers in self.counts.collect():
+            for name, n in zip(out, numbers, strict=True):
+                for k in range(self.how.order + 1):
+                    pair = _shorter(gram, k)
+                    out[name][2 * k * self.how.slots + pair] += n
+                    out[name][(2 * k + 1) * self.how.slots + (pair >> BITS)] += n
+        return out
 
 
 def fit(examples: DataFrame, how: UrlModel, url: str = "url", verdict: str = "verdict") -> Fitted:
-    """Models and limit from all examples, rows with a verdict of allow or block.
+    """Models, scores and limit: rows with a verdict of allow or block are examples, all rows are scored.
 
-    The tables come to the driver: 4 * (order + 1) * slots numbers at most, whatever the corpus. Examples whose hash falls in the
+    Counts and scores are tables in the shared folder; only the histogram comes to the driver. Examples whose hash falls in the
     held-out part set the limit, by a histogram of their scores: the middle of the limits with the best mean of
     both verdicts' shares that are right. Without examples of both kinds there is no model and every URL is allowed.
     """
-    spark = examples.sparkSession
-    examples = examples.filter(F.col(verdict).isin(ALLOW, BLOCK)).select(url, verdict)
-    part = F.pmod(F.xxhash64(url), F.lit(how.held_out))
-    counts = count_steps(examples.filter(part != 0), how, url, verdict).toArrow()
-    names = counts.column("verdict").to_pylist()
-    if set(names) != {ALLOW, BLOCK}:
-        return Fitted({}, 0.0)
-    slot, n = counts.column("slot").to_numpy(), counts.column("n").to_numpy()
-    own = np.array(names) == ALLOW
-    size = 2 * (how.order + 1) * how.slots
-    tables = {}
-    for name, mine in ((ALLOW, own), (BLOCK, ~own)):
-        tables[name] = np.zeros(size, np.float32)
-        tables[name][slot[mine]] = n[mine]
-    fitted = Fitted(tables, 0.0)
-    sent = spark.sparkContext.broadcast(fitted)
-
-    def run(batches):
-        for batch in batches:
-            s = sent.value.score(*utf8(batch.column(0)), how)
-            bin_ = np.clip((s + how.widest) / (2 * how.widest) * how.bins, 0, how.bins - 1).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(bin_)], names=["verdict", "bin"])
-
-    held = examples.filter(part == 0).mapInArrow(run, "verdict string, bin long")
-    found = held.groupBy("verdict", "bin").count().collect()
+    numbers = [F.sum((F.col(verdict).eqNullSafe(v)).cast("long")).alias(v) for v in (ALLOW, BLOCK)]
+    urls = examples.groupBy(F.col(url).alias("url")).agg(*numbers)
+    held = F.pmod(F.xxhash64("url"), F.lit(how.held_out)) == 0
+    urls = write_scratch(urls.select("url", ALLOW, BLOCK, _id("url").alias("id"), held.alias("held")), "urls")
+    counted = urls.withColumns({v: F.when(~F.col("held"), F.col(v)).otherwise(0) for v in (ALLOW, BLOCK)})
+    counts = write_scratch(count_grams(counted, how), "url-grams")
+    if not all(counts.agg(F.sum(ALLOW), F.sum(BLOCK)).first()):
+        return Fitted(None, None, 0.0, how)
+    scores = write_scratch(score_urls(urls, gains(counts, how), how), "url-scores")
+    fitted = Fitted(counts, scores, 0.0, how)
+    known = urls.filter(f"held AND {ALLOW} + {BLOCK} > 0").join(scores, "id", "left")
+    at = (F.coalesce("score", F.lit(0.0)) + how.widest) / (2 * how.widest) * how.bins
+    bin_ = F.greatest(F.least(F.floor(at), F.lit(how.bins - 1)), F.lit(0)).alias("bin")
     hist = {name: np.zeros(how.bins) for name in (ALLOW, BLOCK)}
-    for name, b, c in found:
-        hist[name][b] = c
+    for b, *found in known.groupBy(bin_).agg(F.sum(ALLOW), F.sum(BLOCK)).collect():
+        for name, n in zip(hist, found, strict=True):
+            hist[name][b] = n
     if hist[ALLOW].any() and hist[BLOCK].any():
         # With the limit at the lower edge of bin b: blocked are the bins below b.
         below = {k: np.concatenate(([0], np.cumsum(h))) / h.sum() for k, h in hist.items()}
@@ -191,29 +256,17 @@ def filter_urls(
     path and no rule; a null one is scored as an empty text. Rows that repeat are judged, and counted, each. Other columns
     are not read. An empty table gives no rows.
     """
-    spark = pages.sparkSession
     parsed = pages.select(F.col(key).alias("key"), F.col(url).alias("url"))
     parsed = parsed.withColumns({"host": host_of(F.col("url")), "path": path_of(F.col("url"))})
     parsed = parsed.withColumn("rule", rule_of(F.col("host"), F.col("path"), rules))
     parsed = parsed.withColumn("verdict", verdict_of(F.col("rule"), rules))
     fitted = fit(parsed, how)
-    sent = spark.sparkContext.broadcast(fitted)
-
-    def run(batches):
-        for batch in batches:
-            s = sent.value.score(*utf8(batch.column(1)), how)
-            own = pa.array(np.where(s >= sent.value.limit, ALLOW, BLOCK))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *(batch.column(i) for i in (0, 2, 3, 4)),
-                    pa.compute.coalesce(batch.column(5).cast(pa.string()), own),
-                    pa.array(s),
-                ],
-                names=[key, "host", "path", "rule", "verdict", "score"],
-            )
-
-    kind = pages.schema[key].dataType.simpleString()
-    columns = ["key", "url", "host", "path", "rule", "verdict"]
-    return parsed.select(*columns).mapInArrow(
-        run, f"`{key}` {kind}, host string, path string, rule string, verdict string, score double"
+    if fitted.scores is None:
+        scored = parsed.withColumn("score", F.lit(0.0))
+    else:
+        scored = parsed.withColumn("id", _id("url")).join(fitted.scores, "id", "left")
+        scored = scored.withColumn("score", F.coalesce("score", F.lit(0.0)))
+    own = F.when(F.col("score") >= fitted.limit, ALLOW).otherwise(BLOCK)
+    return scored.select(
+        F.col("key").alias(key), "host", "path", "rule", F.coalesce("verdict", own).alias("verdict"), "score"
     )

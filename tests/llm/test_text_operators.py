@@ -284,6 +284,34 @@ def test_urls_without_examples(spark):
     assert url_model.filter_urls(pages.limit(0), URL_RULES).collect() == []
 
 
+def test_url_counts_are_exact_for_many_contexts(spark):
+    random = np.random.default_rng(3)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ-_~.%"))
+    tails = ["".join(t) for t in random.choice(letters, (6000, 50))]
+    urls = [f"http://{('a.com/', 'b.net/es/', 'c.org/')[k % 3]}{t}" for k, t in enumerate(tails)]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    held = {r.page_id for r in pages.filter("pmod(xxhash64(url), 5) = 0").collect()}
+    pairs, contexts = ([Counter(), Counter()] for _ in range(2))
+    for k, u in enumerate(urls):
+        if k % 3 < 2 and k not in held:
+            for i in range(len(u)):
+                for n in range(6):
+                    context = u[max(i - n, 0) : i].rjust(n, "\0")
+                    pairs[k % 3][context + u[i]] += 1
+                    contexts[k % 3][n, context] += 1
+    assert len(pairs[0]) > 1 << 17
+    rows = {r.page_id: r for r in url_model.filter_urls(pages, URL_RULES).collect()}
+    for k in range(30):
+        total = 0.0
+        for i, c in enumerate(urls[k]):
+            chance = [1 / 256, 1 / 256]
+            for n in range(6):
+                context = urls[k][max(i - n, 0) : i].rjust(n, "\0")
+                chance = [(pairs[v][context + c] + 2 * chance[v]) / (contexts[v][n, context] + 2) for v in (0, 1)]
+            total += np.log(chance[0]) - np.log(chance[1])
+        assert abs(rows[k].score - total / len(urls[k])) < 1e-6
+
+
 # Mixing
 
 
