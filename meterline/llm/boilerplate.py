@@ -2,9 +2,9 @@
 
 The pages of a host are cut into blocks of text, and the blocks' words are put in one stream. A suffix array of the stream,
 ordered by the first `least` words, brings equal runs together; words in a run that another page has too are
-covered. Each block gets a vote: the share of its words that is covered speaks against it, the markup around it for or
-against it. Inside of an element that marks the article the markup prevails, as articles may quote one another or be copies;
-inside of menus, footers, forms, comments and the like it prevails as well. All other blocks go by their covered words.
+covered. Inside of an element that marks the article the markup prevails, as articles may quote one another or be copies;
+inside of menus, footers, forms, comments and the like it prevails as well. All other blocks, also beside a marked article,
+lose their covered words and keep the rest.
 
 A host with many pages is dealt into shards of a bounded number, each large enough to repeat its boilerplate. How many
 pages a host has is counted in a fixed number of slots, so what is sent to the tasks has a fixed bound.
@@ -27,14 +27,12 @@ from meterline.llm.words import hashes, spans
 
 @dataclass(frozen=True)
 class Boilerplate:
-    """Words of a run that counts as repeated, pages of a shard, slots to count hosts in, words of one suffix array,
-    and the covered share from which a block without markup that speaks for it goes."""
+    """Words of a run that counts as repeated, pages of a shard, slots to count hosts in, words of one suffix array."""
 
     least: int = 8
     pages: int = 64
     slots: int = 1 << 16
     most_words: int = 1 << 20
-    covered: float = 0.5
 
 
 TOKENS = re.compile(
@@ -207,17 +205,18 @@ def extract(pages: list[str], how: Boilerplate) -> list[tuple[str, int]]:
     covered = repeated_runs(hashes(data, starts, ends), page_of_word, how.least)
     total = np.concatenate(([0], np.cumsum(covered)))
     covered_of_block = total[first[1:]] - total[first[:-1]]
-    share = covered_of_block / np.maximum(words_of_block, 1)
     out, at = [], 0
     for p in parsed:
-        marks = p.marks
-        has_article = ARTICLE_TEXT in marks
         kept = []
-        for i, text in enumerate(p.texts):
-            if marks[i] == ARTICLE_TEXT or (marks[i] == OPEN and not has_article and share[at + i] < how.covered):
+        for i, text in enumerate(p.texts, at):
+            mark = p.marks[i - at]
+            if mark == OPEN and covered_of_block[i]:
+                own = np.arange(first[i], first[i + 1])[~covered[first[i] : first[i + 1]]]
+                text = b" ".join(data[starts[w] : ends[w]].tobytes() for w in own).decode()
+            if mark != OUT and text:
                 kept.append(text)
-        out.append(("\n".join(kept), int(covered_of_block[at : at + len(marks)].sum())))
-        at += len(marks)
+        out.append(("\n".join(kept), int(covered_of_block[at : at + len(p.marks)].sum())))
+        at += len(p.marks)
     return out
 
 

@@ -422,6 +422,19 @@ def test_repeated_text_goes_where_the_markup_is_silent(spark):
     assert boilerplate.main_text(pages.limit(0)).collect() == []
 
 
+def test_repeated_runs_are_cut_beside_articles_and_inside_blocks(spark):
+    notice = "all rights to this text are with the house that printed it"
+    rows = [
+        (k, "http://h.org/x", f"<div>own{k} lead {notice} tail{k}</div><article>body{k}</article><p>after{k}</p><p>{notice}</p>")
+        for k in range(5)
+    ]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for r in boilerplate.main_text(pages).collect():
+        k = r.page_id
+        # "lead" goes along: eight words from it on are in all pages.
+        assert r.text == f"own{k} tail{k}\nbody{k}\nafter{k}" and r.n_repeated == 25
+
+
 @given(st.lists(st.lists(st.integers(0, 3), max_size=12), min_size=1, max_size=4))
 @settings(max_examples=300, deadline=None)
 def test_repeated_runs(pages):
