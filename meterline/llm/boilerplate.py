@@ -6,8 +6,10 @@ covered. Inside of an element that marks the article the markup prevails, as art
 inside of menus, footers, forms, comments and the like it prevails as well. All other blocks, also beside a marked article,
 lose their covered words and keep the rest.
 
-A host with many pages is dealt into shards of a bounded number, each large enough to repeat its boilerplate. How many
-pages a host has is counted in a fixed number of slots, so what is sent to the tasks has a fixed bound.
+A host with many pages, or with more text than a suffix array takes, is dealt into shards of a bounded number of pages. Its runs
+are then compared over all of its pages: each page sends the hashes of its runs, dealt by hash into parts of the host, and each
+shard gets back which of its runs another page has too, wherever that page is. How large a host is, is counted in a fixed
+number of slots, so what is sent to the tasks has a fixed bound.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterline.llm.url_model import host_of
-from meterline.llm.words import hashes, spans
+from meterline.llm.words import GOLDEN, SECOND, hashes, mix, spans
 
 
 @dataclass(frozen=True)
@@ -34,6 +36,11 @@ class Boilerplate:
     slots: int = 1 << 16
     most_words: int = 1 << 20
 
+    @property
+    def most_chars(self) -> int:
+        """Characters of markup that are taken at a time."""
+        return 6 * self.most_words
+
 
 TOKENS = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -191,18 +198,63 @@ def repeated_runs(word: np.ndarray, page: np.ndarray, least: int) -> np.ndarray:
     return covered
 
 
-def extract(pages: list[str], how: Boilerplate) -> list[tuple[str, int]]:
-    """Main text of each of some pages of one host, and how many of its blocks' words are repeated across pages."""
+@dataclass
+class _Stream:
+    """The words of some pages: where each begins and ends in `data`, its hash, its page, and the first of each block."""
+
+    parsed: list[_Page]
+    data: np.ndarray
+    starts: np.ndarray
+    ends: np.ndarray
+    first: np.ndarray
+    page: np.ndarray
+    word: np.ndarray
+
+    def runs(self, least: int) -> tuple[np.ndarray, np.ndarray]:
+        """First word and hash of each run inside a page; its words are the power of two of `repeated_runs`."""
+        width = 1 << (least.bit_length() - 1)
+        n = max(len(self.word) - width + 1, 0)
+        rolled = np.zeros(n, np.uint64)
+        for k in range(width if n else 0):
+            rolled = mix(rolled * SECOND + self.word[k : n + k] + GOLDEN)
+        at = np.flatnonzero(self.page[width - 1 :] == self.page[:n]) if n else np.zeros(0, np.int64)
+        return at, rolled[at]
+
+
+def _read(pages: list[str]) -> _Stream:
     parsed = [parse(p) for p in pages]
-    texts = [t for p in parsed for t in p.texts]
-    encoded = [t.encode() for t in texts]
+    encoded = [t.encode() for p in parsed for t in p.texts]
     offsets = np.concatenate(([0], np.cumsum([len(e) for e in encoded]))).astype(np.int64)
     data = np.frombuffer(b"".join(encoded), np.uint8)
     starts, ends, first = spans(data, offsets)
     page_of_block = np.repeat(np.arange(len(parsed)), [len(p.texts) for p in parsed])
-    words_of_block = np.diff(first)
-    page_of_word = np.repeat(page_of_block, words_of_block)
-    covered = repeated_runs(hashes(data, starts, ends), page_of_word, how.least)
+    page = np.repeat(page_of_block, np.diff(first))
+    return _Stream(parsed, data, starts, ends, first, page, hashes(data, starts, ends))
+
+
+def page_runs(pages: list[str], how: Boilerplate) -> list[np.ndarray]:
+    """The distinct hashes of each page's runs."""
+    stream = _read(pages)
+    at, runs = stream.runs(how.least)
+    cuts = np.searchsorted(stream.page[at], np.arange(1, len(pages)))
+    return [np.unique(r) for r in np.split(runs, cuts)]
+
+
+def extract(pages: list[str], how: Boilerplate, repeated: np.ndarray | None = None) -> list[tuple[str, int]]:
+    """Main text of each of some pages of one host, and how many of its blocks' words are repeated across pages.
+
+    Without `repeated`, the sorted hashes of runs that several pages of the host have, these are all of its pages.
+    """
+    stream = _read(pages)
+    parsed, data, starts, ends, first = stream.parsed, stream.data, stream.starts, stream.ends, stream.first
+    if repeated is None:
+        covered = repeated_runs(stream.word, stream.page, how.least)
+    else:
+        covered = np.zeros(len(stream.word), bool)
+        at, runs = stream.runs(how.least)
+        hit = at[np.isin(runs, repeated)]
+        for k in range(1 << (how.least.bit_length() - 1)):
+            covered[hit + k] = True
     total = np.concatenate(([0], np.cumsum(covered)))
     covered_of_block = total[first[1:]] - total[first[:-1]]
     out, at = [], 0
@@ -220,34 +272,84 @@ def extract(pages: list[str], how: Boilerplate) -> list[tuple[str, int]]:
     return out
 
 
+def _host_runs(rows: DataFrame, how: Boilerplate) -> DataFrame:
+    """(host, shard, runs): hashes of the shard's runs that several pages of its host have, from `rows` (host, shard, parts, page)."""
+
+    def send(batches):
+        for batch in batches:
+            hosts, shards, parts, texts = (batch.column(i).to_pylist() for i in range(4))
+            texts = [t or "" for t in texts]
+            low = 0
+            while low < len(texts):
+                high, size = low + 1, len(texts[low])
+                while high < len(texts) and size + len(texts[high]) <= how.most_chars:
+                    size += len(texts[high])
+                    high += 1
+                out = []
+                for i, runs in enumerate(page_runs(texts[low:high], how), low):
+                    part = runs % np.uint64(parts[i])
+                    for p in np.unique(part).tolist():
+                        out.append((hosts[i], shards[i], p, runs[part == p].tobytes()))
+                if out:
+                    kinds = (pa.string(), pa.int64(), pa.int64(), pa.binary())
+                    arrays = [pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)]
+                    yield pa.RecordBatch.from_arrays(arrays, names=["host", "shard", "part", "runs"])
+                low = high
+
+    def match(table):
+        host, shards = table.column("host")[0].as_py(), table.column("shard").to_numpy()
+        runs = [np.frombuffer(r.as_buffer(), np.uint64) for r in table.column("runs")]
+        shard = np.repeat(shards, [len(r) for r in runs])
+        run, at, counts = np.unique(np.concatenate(runs), return_inverse=True, return_counts=True)
+        several = counts[at] > 1
+        shard, run = shard[several], run[at[several]]
+        order = np.lexsort((run, shard))
+        shard, run = shard[order], run[order]
+        begins = np.flatnonzero(np.concatenate(([True], shard[1:] != shard[:-1]))) if len(shard) else []
+        found = [np.unique(r).tobytes() for r in np.split(run, begins[1:])] if len(shard) else []
+        arrays = [pa.array([host] * len(found), pa.string()), pa.array(shard[begins] if found else [], pa.int64())]
+        return pa.table([*arrays, pa.array(found, pa.binary())], names=["host", "shard", "runs"])
+
+    sent = rows.mapInArrow(send, "host string, shard long, part long, runs binary")
+    return sent.groupBy("host", "part").applyInArrow(match, "host string, shard long, runs binary")
+
+
 def main_text(
     pages: DataFrame, how: Boilerplate = Boilerplate(), key: str = "page_id", url: str = "url", page: str = "html"
 ) -> DataFrame:
     """One row for each row of `pages`: key, url, text, n_chars (code points), n_repeated (words of the page in runs that other
-    pages of its shard have).
+    pages of its host have).
 
-    A null or empty page has an empty text. Pages with a null URL or one without a host are shards of one host without a name.
+    A null or empty page has an empty text. Pages with a null URL or one without a host are pages of one host without a name.
     Rows that repeat are extracted each; copies of a page cover each other, which only speaks against text without article markup.
-    Other columns are not read. An empty table gives no rows. A very long page has a suffix array of its own.
+    Other columns are not read. An empty table gives no rows.
     """
     rows = pages.select(F.col(key).alias("key"), F.col(url).alias("url"), F.col(page).alias("page"))
     rows = rows.withColumn("host", host_of(F.col("url")))
     rows = rows.withColumn("slot", F.pmod(F.xxhash64("host"), F.lit(how.slots)))
-    sizes = rows.groupBy("slot").count().filter(F.col("count") > how.pages)
-    sizes = sizes.select("slot", F.ceil(F.col("count") / how.pages).alias("shards"))
-    # At most `slots` rows of two numbers, whatever the number of pages.
+    sizes = rows.groupBy("slot").agg(F.count("*").alias("count"), F.sum(F.length("page")).alias("chars"))
+    sizes = sizes.filter((F.col("count") > how.pages) | (F.col("chars") > how.most_chars))
+    parts = F.greatest(F.ceil(F.col("chars") / how.most_chars), F.lit(1))
+    sizes = sizes.select("slot", F.ceil(F.col("count") / how.pages).alias("shards"), parts.alias("parts"))
+    # At most `slots` rows of three numbers, whatever the number of pages.
     rows = rows.join(F.broadcast(sizes), "slot", "left")
     shard = F.pmod(F.xxhash64("key", "url", F.length("page")), F.coalesce("shards", F.lit(1)))
     rows = rows.withColumn("shard", shard)
-    dealt = rows.select("host", "shard", "key", "url", "page").repartition("host", "shard")
-    dealt = dealt.sortWithinPartitions("host", "shard", "key")
+    found = _host_runs(rows.filter("parts IS NOT NULL").select("host", "shard", "parts", "page"), how)
+    # What a shard is told of its runs comes ahead of its pages.
+    told = found.select("host", "shard", F.lit(0).alias("kind"), "runs")
+    own = rows.select("host", "shard", F.when(F.isnull("parts"), 1).otherwise(2).alias("kind"), "key", "url", "page")
+    dealt = own.unionByName(told, allowMissingColumns=True).repartition("host", "shard")
+    dealt = dealt.sortWithinPartitions("host", "shard", "kind", "key")
 
     def run(batches):
-        group, keys, urls, texts, size = None, [], [], [], 0
+        group, told, keys, urls, texts, size = None, [], [], [], [], 0
+        wide = False
         key_type = url_type = None
 
         def done():
-            found = extract(texts, how)
+            repeated = np.unique(np.concatenate([np.zeros(0, np.uint64), *told])) if wide else None
+            found = extract(texts, how, repeated)
             return pa.RecordBatch.from_arrays(
                 [
                     pa.array(keys, key_type),
@@ -260,14 +362,19 @@ def main_text(
             )
 
         for batch in batches:
-            key_type, url_type = batch.column(2).type, batch.column(3).type
-            columns = [batch.column(i).to_pylist() for i in range(5)]
-            for host, shard, k, u, text in zip(*columns, strict=True):
+            key_type, url_type = batch.column(3).type, batch.column(4).type
+            columns = [batch.column(i).to_pylist() for i in range(7)]
+            for host, shard, kind, k, u, text, runs in zip(*columns, strict=True):
                 text = text or ""
-                if keys and (group != (host, shard) or size + len(text) > 6 * how.most_words):
+                if keys and (group != (host, shard) or size + len(text) > how.most_chars):
                     yield done()
                     keys, urls, texts, size = [], [], [], 0
-                group = (host, shard)
+                if group != (host, shard):
+                    group, told = (host, shard), []
+                if kind == 0:
+                    told.append(np.frombuffer(runs, np.uint64))
+                    continue
+                wide = kind == 2
                 keys.append(k)
                 urls.append(u)
                 texts.append(text)

@@ -435,6 +435,21 @@ def test_repeated_runs_are_cut_beside_articles_and_inside_blocks(spark):
         assert r.text == f"own{k} tail{k}\nbody{k}\nafter{k}" and r.n_repeated == 25
 
 
+@pytest.mark.parametrize("how", [boilerplate.Boilerplate(pages=4), boilerplate.Boilerplate(most_words=60)])
+def test_repetition_is_seen_across_a_large_host(spark, how):
+    notice = "all rights to this text are with the house that printed it"
+    rows = []
+    for k in range(300):
+        own = " ".join(f"own{k}word{j}" for j in range(20))
+        rows.append((k, "http://h.org/x", f"<div>{own}</div><div>{notice if k % 100 == 7 else ''}</div>"))
+    rows.append((300, "http://other.org/x", f"<div>{notice}</div>"))
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)
+    got = {r.page_id: r for r in boilerplate.main_text(pages, how).collect()}
+    assert len(got) == 301 and got[300].text == notice and got[300].n_repeated == 0
+    for k in range(300):
+        assert got[k].text.split()[-1] == f"own{k}word19" and got[k].n_repeated == 12 * (k % 100 == 7)
+
+
 @given(st.lists(st.lists(st.integers(0, 3), max_size=12), min_size=1, max_size=4))
 @settings(max_examples=300, deadline=None)
 def test_repeated_runs(pages):
