@@ -120,6 +120,16 @@ def test_training_rows_skip_the_held_out_fold(spark, documents, labels):
     assert not {r.doc_id for r in rows} & {r.doc_id for r in labels.limit(3).collect()}
 
 
+def test_training_rows_bound_rows_of_a_hot_id(spark):
+    ids = [i for i in range(60) if zlib.crc32(str(i).encode()) % 5][:20]
+    labels = spark.createDataFrame([(i, i % 2) for i in ids], "doc_id long, quality int")
+    rows = [(i, f"text {i}") for i in ids] + [(ids[0], "same")] * 500 + [(ids[1], f"other {k}") for k in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = [(r.doc_id, r.text, r.quality) for r in labelled.training_rows(docs, labels, 50).collect()]
+    assert len(got) == len(set(got)) == 50 and {r[0] for r in got} == set(ids)
+    assert set(r[:2] for r in got) <= set(rows) and all(q == i % 2 for i, _, q in got)
+
+
 # Quality classifier
 
 
