@@ -6,11 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterline.llm import (
+    best_position,
     boilerplate,
     byte_cnn,
     chat,
+    heap_kmeans,
     minmax,
     multi_index,
+    order_minhash,
     packing,
     pfair,
     records,
@@ -198,3 +201,82 @@ def op10_chat_format(spark, sf_dir):
     hard = spark.createDataFrame([(-1, 0, "user", HARD_TEXT), (-1, 1, "assistant", HARD_TEXT)], turns.schema)
     template = chat.Template()
     return chat.read_back(chat.format_turns(turns.unionByName(hard), template), template)
+
+
+def _op11_sql(k: int = 8, rounds: int = 10) -> str:
+    """The rounds one after the other: `a<r>` assigns, `c<r>` has the centroids."""
+    parts = [
+        """kept AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+)""",
+        f"""c0 AS MATERIALIZED (
+  SELECT CAST(row_number() OVER (ORDER BY sha256('3:' || vec_id), v) - 1 AS INTEGER) AS cluster, v AS c FROM kept
+  WHERE vec_id IS NOT NULL QUALIFY cluster < {k}
+)""",
+    ]
+    for r in range(rounds + 1):
+        parts.append(
+            f"""a{r} AS MATERIALIZED (
+  SELECT vec_id, v, s.cluster, s.d FROM (
+    SELECT vec_id, v, min({{'d': d, 'cluster': cluster}}) AS s FROM (
+      SELECT vec_id, v, cluster, CAST(list_sum(list_transform(list_zip(v, c), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS BIGINT) AS d
+      FROM kept CROSS JOIN c{r}
+    ) GROUP BY vec_id, v
+  )
+)"""
+        )
+        if r < rounds:
+            parts.append(
+                f"""c{r + 1} AS MATERIALIZED (
+  SELECT b.cluster, coalesce(n.c, b.c) AS c FROM c{r} b LEFT JOIN (
+    SELECT cluster, list(m ORDER BY i) AS c FROM (
+      SELECT cluster, i, CAST((sum(v[i]) - ((sum(v[i]) % count(*)) + count(*)) % count(*)) // count(*) AS BIGINT) AS m
+      FROM a{r}, range(1, 65) t(i) GROUP BY cluster, i
+    ) GROUP BY cluster
+  ) n ON n.cluster = b.cluster
+)"""
+            )
+    return f"""WITH {", ".join(parts)}
+SELECT a.vec_id, a.cluster, a.d AS distance, CAST(sum(a.d) OVER (PARTITION BY a.cluster) AS BIGINT) AS cluster_inertia,
+  CAST(sum(a.d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c.c, ',')) AS centroid_sha256
+FROM a{rounds} a JOIN c{rounds} c ON c.cluster = a.cluster"""
+
+
+@query(_op11_sql())
+def op11_centroid_clusters(spark, sf_dir):
+    return heap_kmeans.cluster(table(spark, sf_dir, "embeddings"))
+
+
+@query()
+def op12_order_fingerprints(spark, sf_dir):
+    return order_minhash.fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
+_TERMS = """regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"""
+
+OP13_SQL = f"""
+WITH listed AS (SELECT doc_id, row_number() OVER () AS row, {_TERMS} AS w FROM documents),
+totals AS (SELECT count(*) FILTER (len(w) > 0) AS big_n, CAST(sum(len(w)) AS BIGINT) AS big_l FROM listed),
+asked AS (SELECT DISTINCT item_id, unnest({_TERMS}) AS term FROM benchmark),
+tf AS (SELECT row, term, count(*) AS tf FROM (SELECT row, unnest(w) AS term FROM listed) SEMI JOIN asked USING (term) GROUP BY 1, 2),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * big_n + 2) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS weight
+  FROM tf, totals GROUP BY term, big_n
+),
+scored AS (
+  SELECT a.item_id, t.row, CAST(sum(weight * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * len(l.w) * big_n) // big_l)))) AS BIGINT) AS score
+  FROM asked a JOIN tf t USING (term) JOIN weights USING (term) JOIN listed l ON l.row = t.row, totals GROUP BY 1, 2
+),
+ranked AS (
+  SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank, doc_id, score
+  FROM scored JOIN listed USING (row) WHERE score > 0
+)
+SELECT * FROM ranked WHERE rank <= 50
+"""
+
+
+@query(OP13_SQL)
+def op13_ranked_search(spark, sf_dir):
+    return best_position.rank_documents(table(spark, sf_dir, "benchmark"), table(spark, sf_dir, "documents"))

@@ -45,13 +45,18 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0], _powers[1]
 
 
-def spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Begin and end of each word, and the index of each row's first word (one more entry at the end)."""
+def spans(
+    data: np.ndarray, offsets: np.ndarray, gaps: np.ndarray = SPACES
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Begin and end of each word, and the index of each row's first word (one more entry at the end).
+
+    `gaps` tells for each byte whether it parts words.
+    """
     n = len(data)
     if n == 0:
         none = np.zeros(0, np.int64)
         return none, none, np.zeros(len(offsets), np.int64)
-    word = ~SPACES[data]
+    word = ~gaps[data]
     left, right = np.ones(n, bool), np.ones(n, bool)
     left[1:] = ~word[:-1]
     right[:-1] = ~word[1:]
