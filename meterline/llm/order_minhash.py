@@ -25,7 +25,7 @@ _HASH = "-2147483648L"  # the bits of an element that hold its hash
 class OrderMinHash:
     """`k` code points a k-mer, `order` elements a tuple, two to the power of `bin_bits` tuples a text."""
 
-    k: int = 6
+    k: int = 8
     order: int = 2
     bin_bits: int = 6
 
@@ -38,7 +38,6 @@ def add_fingerprint(df: DataFrame, text: str, out: str, how: OrderMinHash = Orde
     """
     size, first = 4 * how.k, 64 - how.bin_bits
     places = f"sequence(1, 4 * greatest(length(v) div 4 - {how.k}, 0) + 1, 4)"
-    places = f"slice({places}, 1, if(length(v) = 0, 0, {2**31 - 1}))"
     element = f"(xxhash64(substring(v, p, {size})) & {_HASH}) | p"
     # A lambda's variable keeps the bytes as they are; a column would be copied out of its row for each k-mer.
     listed = f"transform(array(encode(coalesce(`{text}`, ''), 'UTF-32')), v -> transform({places}, p -> {element}))[0]"
@@ -47,9 +46,8 @@ def add_fingerprint(df: DataFrame, text: str, out: str, how: OrderMinHash = Orde
     # of the runs give the occurrence numbers.
     again = "filter(_omh_all, (x, i) -> i > 0 and ((_omh_all[i - 1] ^ x) & {0}) = 0)".format(_HASH)
     step = step.select("*", F.expr(again).alias("_omh_again"))
-    starts = "filter(sequence(0, size(_omh_again) - 1), i -> i = 0 or ((_omh_again[i - 1] ^ _omh_again[i]) & {0}) != 0)"
-    starts = f"if(size(_omh_again) = 0, cast(array() as array<int>), {starts.format(_HASH)})"
-    step = step.select("*", F.expr(starts).alias("_omh_runs"))
+    starts = "transform(_omh_again, (x, i) -> if(i = 0 or ((_omh_again[i - 1] ^ x) & {0}) != 0, i, -1))".format(_HASH)
+    step = step.select("*", F.expr(f"array_remove({starts}, -1)").alias("_omh_runs"))
     ends = "coalesce(try_element_at(_omh_runs, q + 2), size(_omh_again))"
     numbers = f"flatten(transform(_omh_runs, (r, q) -> sequence(2, {ends} - r + 1)))"
     numbered = "coalesce((xxhash64(x & {0}, n) & {0}) | (x & 2147483647L), 0L)".format(_HASH)
@@ -73,7 +71,8 @@ def add_fingerprint(df: DataFrame, text: str, out: str, how: OrderMinHash = Orde
     tuple_hash = f"xxhash64(transform({placed}, y -> y & 8589934591L)) & 4294967295L"
     named = f"shiftleft(shiftrightunsigned(x, {first}), 32) | ({tuple_hash})"
     leads = f"i = 0 or shiftrightunsigned(_omh_least[i - 1] ^ x, {first}) != 0"
-    signed = f"sort_array(filter(transform(_omh_least, (x, i) -> if({leads}, {named}, -1L)), s -> s >= 0))"
+    signed = f"sort_array(array_remove(transform(_omh_least, (x, i) -> if({leads}, {named}, -1L)), -1L))"
+    signed = f"if(coalesce(`{text}`, '') = '', cast(array() as array<bigint>), {signed})"
     return step.select(*[F.col(f"`{c}`") for c in df.columns if c != out], F.expr(signed).alias(out))
 
 
