@@ -33,18 +33,26 @@ def in_month(column: str, year: int, month: int) -> Column:
     return in_window(column, date(year, month, 1), after)
 
 
-def partition_window(column: str, start, end) -> Column:
-    """The days a time window touches, for a partition column that holds the date.
+def partition_window(column: str, start, end, grain: str = "day") -> Column:
+    """The days or months a time window touches, for a partition column that holds their first date.
 
-    The date column is derived, so Spark cannot work this out from the window itself.
+    The column is derived, so Spark cannot work this out from the window itself.
     """
-    first, last = touched_days(start, end)
+    first, last = touched_days(start, end, grain)
     return F.col(column).between(F.lit(first), F.lit(last))
 
 
-def touched_days(start, end) -> tuple[date, date]:
+def partition_date(column: str, grain: str = "day") -> Column:
+    """The value of the partition that a time belongs to: its date, or the first day of its month."""
+    if grain not in ("day", "month"):
+        raise ValueError(f"no partitions by {grain}")
+    return F.to_date(column) if grain == "day" else F.trunc(column, "month")
+
+
+def touched_days(start, end, grain: str = "day") -> tuple[date, date]:
     begin, stop = _as_datetime(start), _as_datetime(end)
-    return begin.date(), (stop - timedelta(microseconds=1)).date()
+    first, last = begin.date(), (stop - timedelta(microseconds=1)).date()
+    return (first, last) if grain == "day" else (first.replace(day=1), last.replace(day=1))
 
 
 def _as_datetime(value) -> datetime:

@@ -9,9 +9,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from meterline.operators.filters import partition_date
 from meterline.session import setting
 from meterline.sources.files import existing_paths, read_csv
 
+#: Table properties that loads follow: the partitions' grain, and the column that rows are sorted by inside of them.
+GRAIN, ORDERED = "meterline.grain", "meterline.ordered"
+
+
+def table_properties(spark: SparkSession, table: str) -> dict[str, str]:
+    return {r[0]: r[1] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+
+
+def set_properties(spark: SparkSession, table: str, values: Mapping[str, str]) -> None:
+    listed = ", ".join(f"'{k}' = '{v}'" for k, v in values.items())
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({listed})")
+
 
 def write_parquet(
     df: DataFrame, path: str, files: int | None = None, overwrite: bool = True
@@ -31,16 +44,19 @@ def write_report(df: DataFrame, path: str) -> None:
     df.repartition(1).write.mode("overwrite").parquet(path)
 
 
-def write_by_date(df: DataFrame, table: str, ts: str, date_column: str = "pickup_date") -> None:
-    """A managed table partitioned by the date of a timestamp.
+def write_by_date(
+    df: DataFrame, table: str, ts: str, date_column: str = "pickup_date", grain: str = "day"
+) -> None:
+    """A managed table partitioned by the day or month of a time, its rows in the order of time inside each partition.
 
-    The rebalance hint gathers the rows of a date into few files and lets adaptive execution split
-    a date that is far larger than the others.
+    Choose the grain so that a partition has many rows: each one is a folder with a file. A window inside of a month still
+    skips the row groups outside of it, as rows are sorted. The rebalance hint gathers the rows of a partition into few files and lets
+    adaptive execution split one that is far larger than the others. The table keeps grain and order; later loads follow them.
     """
-    dated = df.withColumn(date_column, F.to_date(ts))
-    dated.hint("rebalance", date_column).write.mode("overwrite").partitionBy(
-        date_column
-    ).saveAsTable(table)
+    dated = df.withColumn(date_column, partition_date(ts, grain))
+    dated = dated.hint("rebalance", date_column).sortWithinPartitions(date_column, ts)
+    dated.write.mode("overwrite").partitionBy(date_column).saveAsTable(table)
+    set_properties(df.sparkSession, table, {GRAIN: grain, ORDERED: ts})
 
 
 def archive_months(
@@ -111,8 +127,14 @@ def create_if_absent(
     schema: StructType,
     comments: Mapping[str, str] | None = None,
     partition_by: list[str] | None = None,
+    bucket_by: list[str] | None = None,
+    buckets: int = 16,
+    properties: Mapping[str, str] | None = None,
 ) -> None:
-    """A typed table with described columns, left alone if it is there."""
+    """A typed table with described columns, left alone if it is there.
+
+    A table that is merged by a key without partitions is best bucketed by that key: a merge then shuffles its source only.
+    """
     comments = comments or {}
 
     def line(field) -> str:
@@ -123,7 +145,10 @@ def create_if_absent(
 
     columns = ", ".join(line(f) for f in schema.fields)
     parts = f" PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet{parts}")
+    dealt = f" CLUSTERED BY ({', '.join(bucket_by)}) INTO {buckets} BUCKETS" if bucket_by else ""
+    noted = ", ".join(f"'{k}' = '{v}'" for k, v in (properties or {}).items())
+    noted = f" TBLPROPERTIES ({noted})" if noted else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet{parts}{dealt}{noted}")
 
 
 def external_csv_table(spark: SparkSession, table: str, path: str, schema: StructType) -> DataFrame:

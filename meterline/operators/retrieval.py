@@ -73,9 +73,9 @@ def top_k_cosine(
 ) -> DataFrame:
     """The k most similar corpus rows of each query: query id, corpus id, similarity, rank.
 
-    Both sides are packed, queries into blocks and the corpus, scanned once, into chunks. Every block meets
-    every chunk inside Spark, which broadcasts the blocks while their known size allows and else pairs
-    partitions; no vector passes through the driver. A pair is one matrix product and hands on only the best k
+    Both sides are packed, queries into blocks and the corpus, scanned once, into chunks. A chunk has one slot, drawn from its
+    ids; a block, the smaller side, is repeated once a slot; an equi-join on the slot so lets every block meet every
+    chunk once. No vector passes through the driver. A pair is one matrix product and hands on only the best k
     of the chunk per query, so the number of shuffled rows depends on chunks, not on corpus rows. Equal
     similarities are ordered by corpus id. Null vectors are left out; a vector that is zero or holds nulls or
     infinities is similar to nothing (0). Vectors whose length is not that of the queries are an error, found
@@ -114,7 +114,10 @@ def top_k_cosine(
                     schema=arrow_result,
                 )
 
-    # The stated queries against all rows, block by block.
-    found = chunks.crossJoin(blocks).mapInArrow(best, result)
+    slots = int(corpus.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = chunks.withColumn("slot", F.pmod(F.xxhash64("corpus_ids"), F.lit(slots)))
+    copies = blocks.withColumn("slot", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(slots - 1).cast("bigint"))))
+    met = dealt.join(copies, "slot").select(*chunks.columns, *blocks.columns)
+    found = met.mapInArrow(best, result)
     order = Window.partitionBy("query").orderBy(F.desc("similarity"), F.asc("match"))
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)

@@ -23,7 +23,8 @@ from meterline.operators.columns import COMMON_NAMES, pick, rename, shared_colum
 from meterline.operators.dedup import union_aligned
 from meterline.operators.filters import in_month, in_window, no_nulls, on_day
 from meterline.operators.joins import lookup, two_roles
-from meterline.operators.materialize import rebuild, replace_interval
+from meterline.operators.layout import write_by_date
+from meterline.operators.materialize import replace_interval
 
 REVENUE_PARTS = {
     "revenue_monthly_fare": "fare_amount",
@@ -106,11 +107,12 @@ def daily_report(staged: DataFrame, start, end) -> DataFrame:
 def load_daily_report(staged: DataFrame, table: str, start: date, end: date) -> None:
     """Replace the days from `start` up to but without `end` of the report's table; safe to repeat.
 
-    The window is of whole days, as a day's row holds the whole day. Other days keep their rows.
+    The window is of whole days, as a day's row holds the whole day. Other days keep their rows. A day has few
+    rows, so the table is partitioned by month.
     """
     rows = daily_report(staged, start, end)
     if not staged.sparkSession.catalog.tableExists(table):
-        rebuild(rows, table, "pickup_date")
+        write_by_date(rows, table, "pickup_date", "pickup_month", "month")
     else:
         replace_interval(rows, table, "pickup_date", start, end)
 

@@ -16,12 +16,13 @@ from meterline.functions import (
 )
 from meterline.operators.columns import SNAKE_NAMES, cast_columns, fill_columns, rename, tag
 from meterline.operators.dedup import first_per_key, latest_per_key, union_aligned
-from meterline.operators.filters import in_window, no_nulls, none_negative
+from meterline.operators.filters import in_window, no_nulls, none_negative, partition_date
 from meterline.operators.joins import lookup, lookup_or_default, two_roles
+from meterline.operators.key_index import build_key_index
+from meterline.operators.layout import write_by_date
 from meterline.operators.materialize import (
     enforce_contract,
     newer_rows,
-    rebuild,
     replace_interval,
     upsert,
 )
@@ -125,19 +126,21 @@ def trip_fact(trips: DataFrame, zones: DataFrame) -> DataFrame:
     return enforce_contract(timed.select(*schemas.FACT.names), schemas.FACT)
 
 
-FACT_PARTITION = "pickup_date"
+FACT_PARTITION = "pickup_month"
 
 
 def load_fact(fact: DataFrame, table: str) -> None:
     """Bring the fact into its table: first run all rows, later runs the rows past its newest.
 
-    New rows replace those with the same trip id. Columns the table lacks are added to it.
+    New rows replace those with the same trip id. An index of trip ids, kept by the loads, tells which months hold them, so a later run
+    reads the index and those months. Columns the table lacks are added to it.
     """
     spark = fact.sparkSession
-    dated = fact.withColumn(FACT_PARTITION, F.to_date("pickup_datetime"))
     if not spark.catalog.tableExists(table):
-        rebuild(dated, table, FACT_PARTITION)
+        write_by_date(fact, table, "pickup_datetime", FACT_PARTITION, "month")
+        build_key_index(spark, table, ["trip_id"], FACT_PARTITION)
         return
+    dated = fact.withColumn(FACT_PARTITION, partition_date("pickup_datetime", "month"))
     upsert(newer_rows(dated, table, "pickup_datetime"), table, ["trip_id"], widen=True)
 
 

@@ -71,6 +71,11 @@ def remove_scratch(spark: SparkSession, path: str) -> None:
     """Delete one of the folders that `scratch_path` named."""
     if not path.startswith(f"{scratch_root(spark)}/"):
         raise ValueError(f"{path} is not below the scratch folder")
+    remove_folder(spark, path)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder in any file system that Spark reaches."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
