@@ -1,7 +1,8 @@
 """Checks on columns and tables.
 
-All checks that look at single rows share one pass over the table. Uniqueness and parent checks
-need a shuffle each and run on counted keys, so a hot key is one row by then.
+All checks of a suite share one pass over the table and one shuffle. A row gives an entry (check, key) for each key and parent check, and one
+without a key for each row check that it fails. Keys of parents join the same stream, marked as such. Entries are counted by check and key ahead of
+the shuffle, so a hot key, or a check that every row fails, is one row a task.
 """
 
 from __future__ import annotations
@@ -10,12 +11,10 @@ from collections.abc import Iterable
 from dataclasses import dataclass
 from datetime import datetime
 from decimal import Decimal
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-
-from meterline.operators.joins import orphans
+from pyspark.sql import types as T
 
 
 @dataclass(frozen=True)
@@ -76,42 +75,67 @@ def relationship(column: str, parent: DataFrame, parent_key: str) -> ParentCheck
 
 
 def run_checks(df: DataFrame, checks: Iterable) -> DataFrame:
-    """One row per check: its name and the number of failures."""
+    """One row per check: its name and the number of failures.
+
+    A row check counts rows, `unique` and `unique_combination` keys that repeat, a parent check rows without a parent.
+    """
     checks = list(checks)
-    parts = []
-    row_checks = [c for c in checks if isinstance(c, RowCheck)]
-    if row_checks:
-        counts = df.agg(
-            *[
-                F.count(F.when(c.failing, F.lit(1))).alias(f"c{i}")
-                for i, c in enumerate(row_checks)
-            ]
-        )
-        lines = [
-            F.struct(F.lit(c.name).alias("check"), F.col(f"c{i}").alias("failures"))
-            for i, c in enumerate(row_checks)
-        ]
-        parts.append(counts.select(F.inline(F.array(*lines))))
-    for c in checks:
+    entries, parents = [], []
+    for i, c in enumerate(checks):
+        if isinstance(c, RowCheck):
+            entries.append(_entry(i, F.lit(None), F.coalesce(c.failing, F.lit(False))))
+        elif isinstance(c, KeyCheck):
+            complete = F.lit(True)
+            for name in c.columns if c.skip_nulls else ():
+                complete = complete & F.col(name).isNotNull()
+            entries.append(_entry(i, _key_text([(F.col(n), df.schema[n].dataType) for n in c.columns]), complete))
+        else:
+            child, parent = df.schema[c.column].dataType, c.parent.schema[c.parent_key].dataType
+            # Both ends take the type that Spark compares the two in.
+            ends = F.coalesce(F.col(c.column), F.lit(None).cast(parent)), F.coalesce(F.lit(None).cast(child), F.col(c.parent_key))
+            kind = df.select(ends[0].alias("key")).schema["key"].dataType
+            entries.append(_entry(i, _key_text([(ends[0], kind)]), F.col(c.column).isNotNull()))
+            key = _key_text([(ends[1], kind)])
+            parents.append(c.parent.where(F.col(c.parent_key).isNotNull()).select(F.lit(i).alias("check"), key.alias("key")))
+    if not entries:
+        return df.sparkSession.createDataFrame([], "check string, failures long")
+    stream = df.select(F.inline(F.array(*entries))).where("check is not null").withColumn("held", F.lit(0))
+    for known in parents:
+        stream = stream.unionByName(known.withColumn("held", F.lit(1)))
+    counted = stream.groupBy("check", "key").agg(F.sum(1 - F.col("held")).alias("rows"), F.max("held").alias("held"))
+    failures = []
+    for i, c in enumerate(checks):
+        value = F.col("rows")
         if isinstance(c, KeyCheck):
-            parts.append(_named(c.name, repeated_keys(df, c)))
+            value = F.when(F.col("rows") > 1, 1).otherwise(0)
         elif isinstance(c, ParentCheck):
-            lost = orphans(df, c.parent, c.column, c.parent_key)
-            failures = lost.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("failures"))
-            parts.append(_named(c.name, failures))
-    return reduce(DataFrame.unionByName, parts)
-
-
-def repeated_keys(df: DataFrame, check: KeyCheck) -> DataFrame:
-    rows = df.select(*check.columns)
-    if check.skip_nulls:
-        rows = rows.dropna("any")
-    repeated = rows.groupBy(*check.columns).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    return repeated.agg(F.count(F.lit(1)).alias("failures"))
-
-
-def _named(name: str, failures: DataFrame) -> DataFrame:
-    return failures.select(F.lit(name).alias("check"), F.col("failures").cast("bigint"))
+            value = F.when(F.col("held") == 0, F.col("rows")).otherwise(0)
+        failures.append(F.coalesce(F.sum(F.when(F.col("check") == i, value)), F.lit(0)).cast("bigint").alias(f"c{i}"))
+    lines = [
+        F.struct(F.lit(c.name).alias("check"), F.col(f"c{i}").alias("failures")) for i, c in enumerate(checks)
+    ]
+    return counted.agg(*failures).select(F.inline(F.array(*lines)))
+
+
+def _entry(number: int, key: Column, given: Column) -> Column:
+    return F.when(given, F.struct(F.lit(number).alias("check"), key.cast("string").alias("key")))
+
+
+def _key_text(parts: list[tuple[Column, T.DataType]]) -> Column:
+    """Text that is equal for two keys if and only if Spark groups them together; null is a value of its own."""
+    texts = []
+    for value, kind in parts:
+        if isinstance(kind, (T.FloatType, T.DoubleType)):
+            value = value + F.lit(0.0)  # the two zeros are one value
+        elif isinstance(kind, T.TimestampType):
+            value = F.unix_micros(value)
+        elif isinstance(kind, T.BinaryType):
+            value = F.hex(value)
+        elif isinstance(kind, (T.ArrayType, T.StructType)):
+            value = F.to_json(F.struct(value))
+        text = value.cast("string")
+        texts.append(F.coalesce(F.concat(F.char_length(text).cast("string"), F.lit(":"), text), F.lit("-")))
+    return F.concat(*texts)
 
 
 def require(df: DataFrame, checks: Iterable) -> None:

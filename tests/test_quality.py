@@ -93,3 +93,58 @@ def test_profile(spark):
         (1, "a", "int", 2, 2),
         (2, "b", "string", 2, 1),
     ]
+
+
+def test_all_checks_share_one_scan_and_one_shuffle(spark):
+    df = spark.range(100).selectExpr("id", "id % 7 as g", "cast(id % 3 as string) as s")
+    parent = spark.createDataFrame([(0,), (1,)], "p int")
+    checks = [
+        Q.unique("id"), Q.unique_combination("g", "s"), Q.relationship("g", parent, "p"),
+        Q.not_null("g"), Q.accepted_values("s", ["0", "1"]), Q.unique("g"),
+    ]
+    report = Q.run_checks(df, checks)
+    text = report._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Range (") == 1
+    assert text.count("Exchange hashpartitioning") == 1
+    assert result(report) == {
+        "unique(id)": 0,
+        "unique_combination(g,s)": 21,
+        "relationship(g)": 70,
+        "not_null(g)": 0,
+        "accepted_values(s)": 33,
+        "unique(g)": 7,
+    }
+
+
+def test_keys_are_compared_as_spark_groups_them(spark):
+    df = spark.createDataFrame(
+        [(0.0, "a", "bc", b"x", [1]), (-0.0, "ab", "c", b"x", [1]), (float("nan"), None, "abc", None, None), (float("nan"), "", "abc", b"", [])],
+        "d double, s string, t string, b binary, l array<int>",
+    )
+    checks = [Q.unique("d"), Q.unique_combination("s", "t"), Q.unique_combination("b"), Q.unique_combination("l"), Q.unique("s")]
+    counts = {}
+    for c in checks:
+        keys = df.where(" and ".join(f"{n} is not null" for n in c.columns)) if c.skip_nulls else df
+        counts[c.name] = keys.groupBy(*c.columns).count().where("count > 1").count()
+    assert result(Q.run_checks(df, checks)) == counts == {
+        "unique(d)": 2, "unique_combination(s,t)": 0, "unique_combination(b)": 1, "unique_combination(l)": 1, "unique(s)": 0,
+    }
+
+
+def test_parents_of_another_type_and_empty_tables(spark):
+    child = spark.createDataFrame([(1,), (1,), (2,), (None,)], "k int")
+    for kind in ("bigint", "double", "decimal(9,2)"):
+        parent = spark.createDataFrame([(1,)], "p int").selectExpr(f"cast(p as {kind}) as p")
+        assert result(Q.run_checks(child, [Q.relationship("k", parent, "p")])) == {"relationship(k)": 1}
+        assert result(Q.run_checks(child.limit(0), [Q.relationship("k", parent, "p"), Q.unique("k")])) == {
+            "relationship(k)": 0,
+            "unique(k)": 0,
+        }
+    assert Q.run_checks(child, []).collect() == []
+
+
+def test_the_suite_of_the_fact_computes_it_once(spark):
+    from meterline.queries import REGISTRY
+
+    text = REGISTRY["suite_fact"].run(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Window [row_number()") == 1
