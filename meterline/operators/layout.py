@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from meterline.operators.filters import partition_date
-from meterline.session import setting
-from meterline.sources.files import existing_paths, read_csv
+from meterline.session import remove_folder, setting
+from meterline.sources.files import existing_paths, month_contents, month_pattern, read_csv
 
 #: Table properties that loads follow: the partitions' grain, and the column that rows are sorted by inside of them.
 GRAIN, ORDERED = "meterline.grain", "meterline.ordered"
@@ -59,6 +58,9 @@ def write_by_date(
     set_properties(df.sparkSession, table, {GRAIN: grain, ORDERED: ts})
 
 
+ARCHIVED = "service string, year int, month int, files bigint, bytes bigint, content bigint, run bigint"
+
+
 def archive_months(
     spark: SparkSession,
     services: Mapping[str, StructType],
@@ -69,23 +71,30 @@ def archive_months(
 ) -> list[str]:
     """CSV files by service and month into a Parquet archive, one job per service.
 
-    `source` is a template with {service}, {year}, {month}. Months that the archive already holds
-    and months without input are skipped before anything is read. Returns the paths converted.
+    `source` is a template with {service}, {year}, {month}. The archive keeps a manifest of what each month was made from. Months
+    whose files are as the manifest has them are skipped before anything is read; a month with a file more, or another one, is written anew, and
+    only that month. The manifest follows the data, so a run that stops in between does its months again. Returns the paths converted.
     """
-    wanted = [(y, m) for y, m in months]
-    converted = []
+    wanted, converted = list(months), []
+    manifest = f"{target}/_manifest"
     for service, schema in services.items():
-        inputs = []
-        for year, month in wanted:
-            done = f"{target}/service={service}/year={year}/month={month}"
-            if not existing_paths(spark, [done]):
-                inputs.append(
-                    source.format(service=service, year=f"{year:04d}", month=f"{month:02d}")
-                )
-        inputs = existing_paths(spark, inputs)
-        if not inputs:
+        there = month_contents(spark, source, service, wanted)
+        runs = 0
+        if existing_paths(spark, [manifest]):
+            kept = spark.read.schema(ARCHIVED).parquet(manifest).where(F.col("service") == service)
+            runs = kept.agg(F.coalesce(F.max("run"), F.lit(0))).first()[0]
+            key = ["service", "year", "month"]
+            last = kept.groupBy(*key).agg(F.max_by("content", "run").alias("content"))
+            there = there.join(last, [*key, "content"], "left_anti")
+        # A row a month: the work of this run.
+        columns = ["service", "year", "month", "files", "bytes", "content"]
+        changed = there.select(columns).orderBy("year", "month").collect()
+        if not changed:
             continue
-        pattern, year_group, month_group = _month_pattern(source, service)
+        inputs = [
+            source.format(service=service, year=f"{r['year']:04d}", month=f"{r['month']:02d}") for r in changed
+        ]
+        pattern, year_group, month_group = month_pattern(source, service)
         path = F.col("_metadata.file_path")
         rows = read_csv(spark, inputs, schema).select(
             "*",
@@ -95,25 +104,24 @@ def archive_months(
         )
         # Row numbers of a file scan deal the rows of each month over its output files.
         slot = F.pmod(F.monotonically_increasing_id(), F.lit(files_per_month))
+        written = Observation()
+        dealt = rows.repartition(len(inputs) * files_per_month, "year", "month", slot)
         (
-            rows.repartition(len(inputs) * files_per_month, "year", "month", slot)
-            .write.mode("append")
+            dealt.observe(written, F.collect_set(F.struct("year", "month")).alias("months"))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
             .partitionBy("service", "year", "month")
             .parquet(target)
         )
+        filled = {(r[0], r[1]) for r in written.get["months"]}
+        for r in changed:
+            if (r["year"], r["month"]) not in filled:
+                remove_folder(spark, f"{target}/service={service}/year={r['year']}/month={r['month']}")
+        spark.createDataFrame([(*r, runs + 1) for r in changed], ARCHIVED).coalesce(1).write.mode("append").parquet(manifest)
         converted += inputs
     return converted
 
 
-def _month_pattern(template: str, service: str) -> tuple[str, int, int]:
-    """The part of a path template from its first placeholder on, as a pattern with two groups."""
-    year_first = template.index("{year}") < template.index("{month}")
-    pattern = re.escape(template[template.index("{") :])
-    for name, group in (("service", re.escape(service)), ("year", r"(\d{4})"), ("month", r"(\d{2})")):
-        pattern = pattern.replace(re.escape("{" + name + "}"), group)
-    return pattern, (1 if year_first else 2), (2 if year_first else 1)
-
-
 def create_then_append(df: DataFrame, table: str, chunk_rows: int = 100_000) -> None:
     """An empty table first, then its rows, with at most `chunk_rows` to a file."""
     df.limit(0).write.mode("overwrite").saveAsTable(table)

@@ -98,7 +98,7 @@ def insert_only_merge(source: DataFrame, table: str, key: list[str], fixed_parti
     spark = source.sparkSession
     finish_pending(spark, table)
     refuse_indexed(spark, table)
-    part = _partition_column(spark, table) if fixed_partition else None
+    part = partition_column(spark, table) if fixed_partition else None
     if fixed_partition and part is None:
         raise ValueError(f"{table} has no partitions")
     no_key = F.lit(False)
@@ -161,7 +161,7 @@ def _replace_keys(source: DataFrame, table: str, key: list[str]) -> None:
     spark = source.sparkSession
     finish_pending(spark, table)
     target = spark.table(table)
-    part = _partition_column(spark, table)
+    part = partition_column(spark, table)
     if part is None:
         merged = anti_join(target, source, key).unionByName(_positional(source, table))
         refill(merged, table)
@@ -196,7 +196,7 @@ def replace_interval(source: DataFrame, table: str, column: str, start, end) ->
     spark = source.sparkSession
     finish_pending(spark, table)
     refuse_indexed(spark, table)
-    part = _partition_column(spark, table)
+    part = partition_column(spark, table)
     if part is None:
         raise ValueError(f"{table} is not partitioned by the date of {column}")
     grain = table_properties(spark, table).get(GRAIN, "day")
@@ -340,7 +340,8 @@ def _partition_columns(spark: SparkSession, table: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
 
 
-def _partition_column(spark: SparkSession, table: str) -> str | None:
+def partition_column(spark: SparkSession, table: str) -> str | None:
+    """The table's partition column, if it has one."""
     names = _partition_columns(spark, table)
     if len(names) > 1:
         raise ValueError("tables with one partition column only")

@@ -160,6 +160,42 @@ def month_paths(types: Iterable[str], start: date, end: date, template: str) ->
     ]
 
 
+def month_pattern(template: str, service: str) -> tuple[str, int, int]:
+    """The part of a path template from its first placeholder on, as a pattern with two groups: which is the year, which the month."""
+    year_first = template.index("{year}") < template.index("{month}")
+    pattern = re.escape(template[template.index("{") :])
+    for name, group in (("service", re.escape(service)), ("year", r"(\d{4})"), ("month", r"(\d{2})")):
+        pattern = pattern.replace(re.escape("{" + name + "}"), group)
+    return pattern, (1 if year_first else 2), (2 if year_first else 1)
+
+
+def month_contents(spark: SparkSession, template: str, service: str, months: Iterable[tuple[int, int]]) -> DataFrame:
+    """What is there for each of the months: (service, year, month, files, bytes, content); months without files have no row.
+
+    `content` is a hash over paths, sizes and times of the files, so it changes with any file that is added, replaced or
+    removed. Spark lists the folder, in parallel where it has many folders; no file is opened and no list of files comes to the driver.
+    """
+    pattern, year, month = month_pattern(template, service)
+    base = template[: template.index("{year}" if year == 1 else "{month}")].format(service=service).rpartition("/")[0]
+    shape = "service string, year int, month int, files bigint, bytes bigint, content bigint"
+    if not existing_paths(spark, [base]):
+        return spark.createDataFrame([], shape)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(base)
+    whole = pattern + "(?:/.*)?$"
+    files = files.select(
+        F.lit(service).alias("service"),
+        F.regexp_extract("path", whole, year).try_cast("int").alias("year"),
+        F.regexp_extract("path", whole, month).try_cast("int").alias("month"),
+        "length",
+        F.xxhash64("path", "length", "modificationTime").alias("print"),
+    )
+    wanted = [y * 12 + m for y, m in months]
+    files = files.where((F.col("year") * 12 + F.col("month")).isin(wanted))
+    return files.groupBy("service", "year", "month").agg(
+        F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"), F.bit_xor("print").alias("content")
+    )
+
+
 def existing_paths(spark: SparkSession, paths: Iterable[str]) -> list[str]:
     """The paths that exist, asked of the file system each path belongs to."""
     jvm = spark.sparkContext._jvm
