@@ -151,20 +151,30 @@ def base_id(base: Column) -> Column:
     multiples of 7, else `a/` for multiples of 3, else `e/`. Anything but digits gives null. More than 38 digits,
     without leading zeros, raise an error; `functions.base_id_arrow` takes any number.
     """
-    text = F.when(base.rlike("^.[0-9]+$"), F.regexp_replace(F.substr(base, F.lit(2)), "^0+(?=.)", ""))
-    known = F.when(F.length(text) <= 38, text).when(
-        text.isNotNull(), F.raise_error(F.concat(F.lit("more than 38 digits: "), base)).cast("string")
+    digits = F.substr(base, F.lit(2))
+    # Almost all numbers fit a long. Expressions inside of a branch are not shared by Spark, so this one has none that is costly.
+    n = digits.cast("bigint")
+    padded = F.when(n < 256, F.lpad(F.hex(n), 3, "0")).otherwise(F.hex(n))
+    short = F.concat(_base_prefix(n % 7 == 0, n % 3 == 0), F.lower(padded))
+    return F.when(base.rlike("^.[0-9]{1,18}$"), short).when(base.rlike("^.[0-9]+$"), _wide_base_id(digits, base))
+
+
+def _base_prefix(sevenfold: Column, threefold: Column) -> Column:
+    return F.when(sevenfold, "s/").when(threefold, "a/").otherwise("e/")
+
+
+def _wide_base_id(digits: Column, base: Column) -> Column:
+    """The same for any number of up to 38 digits behind its leading zeros, by exact decimals."""
+    text = F.regexp_replace(digits, "^0+(?=.)", "")
+    known = F.when(F.length(text) <= 38, text).otherwise(
+        F.raise_error(F.concat(F.lit("more than 38 digits: "), base)).cast("string")
     )
-    short = F.when(F.length(known) <= 18, known).cast("bigint")
-    wide = F.when(F.length(known) > 18, known).cast("decimal(38,0)")
+    wide = known.cast("decimal(38,0)")
     word = F.lit(Decimal(2**64))
     low = wide % word
     limbs = [F.call_function("div", wide, word), F.call_function("div", low, F.lit(Decimal(2**32)))]
     limbs.append((low % F.lit(Decimal(2**32))).cast("bigint"))
     joined = F.concat(F.hex(limbs[0]), *[F.lpad(F.hex(x), 8, "0") for x in limbs[1:]])
-    places = F.lower(F.coalesce(F.hex(short), F.regexp_replace(joined, "^0+", "")))
-    sevenfold = F.coalesce(short % 7, (wide % 7).cast("bigint")) == 0
-    threefold = F.coalesce(short % 3, (wide % 3).cast("bigint")) == 0
-    prefix = F.when(sevenfold, "s/").when(threefold, "a/").otherwise("e/")
+    places = F.lower(F.regexp_replace(joined, "^0+(?=.)", ""))
     padded = F.when(F.length(places) < 3, F.lpad(places, 3, "0")).otherwise(places)
-    return F.concat(prefix, padded)
+    return F.concat(_base_prefix((wide % 7) == 0, (wide % 3) == 0), padded)

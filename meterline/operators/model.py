@@ -1,11 +1,12 @@
-"""Tip model: linear regression on seven trip features, fitted and applied as Spark jobs."""
+"""Tip model: linear regression on seven trip features, fitted, exported and applied as Spark jobs."""
 
 from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.regression import LinearRegression
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # The features of the tip model.
 CATEGORIES = ["PULocationID", "DOLocationID", "payment_type"]
@@ -37,3 +38,31 @@ def fit_tip_model(trips: DataFrame, label: str = "tip_amount") -> PipelineModel:
 def score_tips(model: PipelineModel, trips: DataFrame) -> DataFrame:
     """Batch scoring: the input columns and `predicted_tip`."""
     return model.transform(trips).select(*trips.columns, "predicted_tip")
+
+
+ABOUT = "version string, features array<string>, prediction string, spark string"
+
+
+def export_tip_model(spark: SparkSession, model: PipelineModel, folder: str, version: str) -> str:
+    """Write a fitted model below a folder of models, with what a reader has to know beside it; returns its path.
+
+    A version is written once: one that is there already is an error. The note comes last, so a model without it was not finished.
+    """
+    path = f"{folder.rstrip('/')}/version={version}"
+    model.write().session(spark).save(f"{path}/model")
+    about = [(version, [*CATEGORIES, *NUMBERS], "predicted_tip", spark.version)]
+    spark.createDataFrame(about, ABOUT).coalesce(1).write.json(f"{path}/about")
+    return path
+
+
+def load_tip_model(spark: SparkSession, folder: str, version: str | None = None) -> PipelineModel:
+    """An exported model, of the given version or the last one by name. One that was fitted on other features is an error."""
+    notes = spark.read.schema(ABOUT).json(f"{folder.rstrip('/')}/version=*/about")
+    if version is not None:
+        notes = notes.where(F.col("version") == version)
+    note = notes.orderBy(F.desc("version")).first()
+    if note is None:
+        raise FileNotFoundError(f"no model {version or ''} in {folder}")
+    if note["features"] != [*CATEGORIES, *NUMBERS]:
+        raise ValueError(f"model {note['version']} takes the features {note['features']}")
+    return PipelineModel.read().session(spark).load(f"{folder.rstrip('/')}/version={note['version']}/model")

@@ -2,9 +2,10 @@
 
 from pyspark.sql import functions as F
 
-from meterline.operators.model import fit_tip_model, score_tips
+from meterline.operators.model import export_tip_model, fit_tip_model, load_tip_model, score_tips
 from meterline.operators.retrieval import top_k_cosine
 from meterline.queries.registry import query, table
+from meterline.session import scratch_path
 
 
 @query(
@@ -15,7 +16,7 @@ from meterline.queries.registry import query, table
 FROM lineitem WHERE l_linestatus = 'O' GROUP BY 1""",
 )
 def tip_regression(spark, sf):
-    """Fit on the yellow rows, score the green ones; shown per drop-off zone.
+    """Fit on the yellow rows, export the model, score the green ones with what is loaded again; shown per drop-off zone.
 
     Tips follow a linear rule, which the fitted model has to find: the SQL states the rule.
     """
@@ -31,7 +32,9 @@ def tip_regression(spark, sf):
         "l_extendedprice * 0.2 + l_linenumber as tip_amount",
     )
     model = fit_tip_model(rows.where("l_linestatus = 'F'"))
-    scored = score_tips(model, rows.where("l_linestatus = 'O'"))
+    models = scratch_path(spark, "models")
+    export_tip_model(spark, model, models, "1")
+    scored = score_tips(load_tip_model(spark, models), rows.where("l_linestatus = 'O'"))
     return scored.groupBy("DOLocationID").agg(
         F.count(F.lit(1)).alias("trips"),
         F.round(F.avg("tip_amount"), 1).alias("avg_tip"),

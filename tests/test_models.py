@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from meterline.operators.model import fit_tip_model, score_tips
+from meterline.operators.model import export_tip_model, fit_tip_model, load_tip_model, score_tips
 from meterline.operators.retrieval import top_k_cosine
 from meterline.schemas import struct
 from meterline.streaming.loader import load_new_files
@@ -119,3 +119,26 @@ def test_stream_takes_each_file_once(spark, database):
     assert load() == [("a", 1), ("b", 1), ("b", 1)]
     land(("a", 9), ("c", 2))
     assert load() == [("a", 1), ("b", 1), ("b", 1), ("c", 2)]
+
+
+def test_an_exported_model_scores_in_another_session(spark):
+    rows = spark.range(300).selectExpr(
+        "cast(id % 5 as string) as PULocationID", "cast(id % 4 as string) as DOLocationID", "cast(id % 2 as string) as payment_type",
+        "cast(id % 3 as int) as passenger_count", "cast(id % 11 as double) as trip_distance", "cast(id % 17 as double) as fare_amount",
+        "0.0D as tolls_amount", "0.25 * (id % 17) + id % 4 as tip_amount",
+    )
+    folder = scratch_path(spark, "models")
+    model = fit_tip_model(rows)
+    export_tip_model(spark, model, folder, "2024-01")
+    export_tip_model(spark, fit_tip_model(rows.withColumn("tip_amount", F.lit(1.0))), folder, "2023-12")
+    with pytest.raises(Exception, match="exists"):
+        export_tip_model(spark, model, folder, "2024-01")
+    other = spark.newSession()
+    again = load_tip_model(other, folder)
+    given = other.createDataFrame([r.asDict() for r in rows.limit(40).collect()], rows.schema)
+    want = [r["predicted_tip"] for r in score_tips(model, rows.limit(40)).collect()]
+    assert [r["predicted_tip"] for r in score_tips(again, given).collect()] == pytest.approx(want)
+    older = score_tips(load_tip_model(spark, folder, "2023-12"), rows.limit(5)).collect()
+    assert [r["predicted_tip"] for r in older] == pytest.approx([1.0] * 5, abs=1e-4)
+    with pytest.raises(FileNotFoundError):
+        load_tip_model(spark, folder, "2022-01")
