@@ -61,8 +61,16 @@ def add_fingerprint(df: DataFrame, text: str, out: str, how: OrderMinHash = Orde
         apart = f"shiftrightunsigned({of}[i - {how.order}] ^ x, {first}) != 0"
         return f"filter({of}, (x, i) -> i < {how.order} or {apart})"
 
+    # Where each bin of the longer list begins is found by halving steps, so not every element is looked at.
+    steps = "transform(sequence(length(bin(size(_omh_once))) - 1, 0, -1), s -> shiftleft(1, s))"
+    step = step.select("_omh_more", "_omh_once", F.expr(steps).alias("_omh_steps"), *[F.col(f"`{c}`") for c in df.columns if c != out])
+    begin = f"aggregate(_omh_steps, 0, (c, s) -> if(get(w, c + s - 1) < shiftleft(cast(b as bigint), {first}), c + s, c))"
+    heads = ", ".join(f"get(w, c + {i})" for i in range(how.order))
+    own = f"filter(transform(array({begin}), c -> array({heads}))[0], y -> shiftrightunsigned(y, {first}) = b)"
+    bins = f"flatten(transform(sequence(0, {2**how.bin_bits - 1}), b -> {own}))"
+    once = f"array_compact(transform(array(_omh_once), w -> {bins})[0])"
     # The least elements of a bin are among the least of either list.
-    few = f"sort_array(concat({least('_omh_once')}, {least('_omh_more')}))"
+    few = f"sort_array(concat({once}, {least('_omh_more')}))"
     step = step.select("*", F.expr(few).alias("_omh_few"))
     step = step.select("*", F.expr(least("_omh_few")).alias("_omh_least"))
     # The first element of each bin takes the bin's others along; position ahead of hash puts them in the order of the text.
