@@ -57,7 +57,7 @@ def components(spark: SparkSession, links: DataFrame, left: str = "a", right: st
     The component is the smallest id that can be reached; an id that is missing in the result is the
     smallest of its own. Links may be in either direction and may repeat; null ends and loops are left
     out. Each round replaces a link by one to the smallest neighbour, so the rounds grow with the logarithm
-    of the longest path. Rounds are joins on the id, in which the links of an id that has very many are dealt over
+    of the longest path, and end once the links are stars around smallest ids. Rounds are joins on the id, in which the links of an id that has very many are dealt over
     several tasks; smallest neighbours are aggregated ahead of the shuffle. Each round is written to the shared
     folder, so a lost executor costs one round at most.
     """
@@ -66,12 +66,11 @@ def components(spark: SparkSession, links: DataFrame, left: str = "a", right: st
     )
     pair = pair.filter(F.col("u") != F.col("v")).distinct()
     pair = write_scratch(pair, "links")
-    before = _mark(pair)
-    while before[0]:
+    while (crossed := _crossed(pair))[0]:
         both = pair.unionByName(pair.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
         # An id has no more links after the first half of a round than before, so both halves deal the same ids.
-        deal = deal_of(least, 2 * before[0], "u", "v")
+        deal = deal_of(least, 2 * crossed[1], "u", "v")
         least = least.select("u", F.least("u", "m").alias("m"))
         large = deal.join(both.filter("v > u"), least)
         large = large.select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
@@ -79,16 +78,15 @@ def components(spark: SparkSession, links: DataFrame, left: str = "a", right: st
         lower = deal.join(large, smallest).filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         small = lower.unionByName(smallest.withColumnRenamed("m", "v")).distinct()
         pair = write_scratch(small, "links")
-        after = _mark(pair)
-        if after == before:
-            break
-        before = after
     return pair.select(F.col("u").alias("id"), F.col("v").alias("component"))
 
 
-def _mark(pair: DataFrame) -> tuple:
-    """Number of links and an order-free checksum; equal marks mean that a round changed nothing."""
-    row = pair.agg(
-        F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.bit_xor(F.xxhash64("v", "u"))
-    ).first()
-    return tuple(row)
+def _crossed(pair: DataFrame) -> tuple[int, int]:
+    """Ids with links to two smaller ids, or to smaller and larger ones, and the number of links.
+
+    Without such ids the links are stars, each around the smallest id of its component: nothing is left to do.
+    """
+    ends = pair.select(F.inline(F.expr("array(struct(u AS id, 1L AS up, 0 AS down), struct(v AS id, 0L AS up, 1 AS down))")))
+    ids = ends.groupBy("id").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    row = ids.agg(F.count(F.when((F.col("up") > 1) | ((F.col("up") > 0) & (F.col("down") > 0)), 1)), F.sum("up")).first()
+    return row[0], row[1] or 0
