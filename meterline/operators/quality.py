@@ -77,9 +77,10 @@ def relationship(column: str, parent: DataFrame, parent_key: str) -> ParentCheck
 def run_checks(df: DataFrame, checks: Iterable) -> DataFrame:
     """One row per check: its name and the number of failures.
 
-    A row check counts rows, `unique` and `unique_combination` keys that repeat, a parent check rows without a parent.
+    A row check counts rows, `unique` and `unique_combination` keys that repeat, a parent check rows without a parent. Row checks
+    stand first in the report.
     """
-    checks = list(checks)
+    checks = sorted(checks, key=lambda c: not isinstance(c, RowCheck))
     entries, parents = [], []
     for i, c in enumerate(checks):
         if isinstance(c, RowCheck):
