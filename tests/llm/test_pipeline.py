@@ -82,7 +82,7 @@ def test_run(spark):
 @pytest.mark.parametrize("name", sorted(queries.SQL))
 def test_sql_agrees(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "embeddings", "conversations"):
+    for table in ("documents", "embeddings", "conversations", "benchmark"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF_DIR}/{table}.parquet'")
     want = con.sql(queries.SQL[name]).df()
     got = queries.QUERIES[name](spark, SF_DIR).toPandas()
