@@ -13,11 +13,12 @@ from meterline.llm.arrow import keep_rows, prepare
 from meterline.llm.queries import packing_of_documents
 from meterline.session import scratch_path
 
-#: The models are fitted on the raw documents and their labels, so they do not change with what earlier stages keep.
+#: SQL cannot express the fitted models and the packing.
 ORACLE_SQL = None
 
 
 def _raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table. Models are fitted on these, so they do not change with what earlier stages keep."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -38,20 +39,26 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates (five-word shingles, similarity 0.8): the one with the smallest id.
 
-    Of rows that repeat a doc_id, one stays, picked by a hash of the row. Rows without a doc_id all stay: they are in no group.
+    Texts that share a doc_id are judged each; of rows that repeat a doc_id and its text, one stays, picked by a hash of the
+    row. Rows without a doc_id all stay: they are in no group. Columns may have any names: they travel in one structure.
     """
     prepare(spark)
-    found = minmax.near_duplicates(docs, minmax.MinMax(width=5))
-    kept = found.filter("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("kept_id"))
-    out = docs.join(kept, F.col("doc_id") == F.col("kept_id"), "left_semi")
-    repeated = docs.groupBy("doc_id").count().filter("count > 1 AND doc_id IS NOT NULL").select("doc_id")
+    found = minmax.near_duplicates(docs, minmax.MinMax(width=5), ids_link=False)
+    kept = found.filter("kept_text AND doc_id IS NOT NULL").select(F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"))
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        F.col("doc_id").alias("id"),
+        F.xxhash64("text").alias("hash"),
+    )
+    out = rows.join(kept, ["id", "hash"], "left_semi")
+    repeated = rows.groupBy("id", "hash").count().filter("count > 1 AND id IS NOT NULL").select("id", "hash")
     if not repeated.isEmpty():
-        single = out.join(repeated, "doc_id", "left_anti")
-        several = out.join(repeated, "doc_id", "left_semi")
-        order = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
-        first = several.select("*", F.row_number().over(Window.partitionBy("doc_id").orderBy(order)).alias("of_rows"))
-        out = single.select(docs.columns).unionByName(first.filter("of_rows = 1").select(docs.columns))
-    return out.unionByName(docs.filter("doc_id IS NULL"))
+        single = out.join(repeated, ["id", "hash"], "left_anti")
+        several = out.join(repeated, ["id", "hash"], "left_semi")
+        order = F.xxhash64(*[F.col(f"row.`{c}`") for c in docs.columns if not pfair.is_map(docs, c)])
+        first = Window.partitionBy("id", "hash").orderBy(order)
+        out = single.unionByName(several.withColumn("nth", F.row_number().over(first)).filter("nth = 1").drop("nth"))
+    return out.select("row.*").unionByName(docs.filter("doc_id IS NULL"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

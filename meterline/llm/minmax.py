@@ -117,7 +117,7 @@ def similar_sketches(left: str, right: str, how: MinMax):
 
 
 def describe(docs: DataFrame, how: MinMax, key: str, text: str) -> DataFrame:
-    """doc_id, n_shingles, two sums that stand for the set, band keys and sketch (none for an empty set)."""
+    """doc_id, hash of the text, n_shingles, two sums that stand for the set, band keys and sketch (none for an empty set)."""
 
     def run(batches):
         factors, shifts = permutations(how)
@@ -140,18 +140,19 @@ def describe(docs: DataFrame, how: MinMax, key: str, text: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         ids.slice(low, high - low).cast(pa.int64()),
+                        batch.column(2).slice(low, high - low),
                         pa.array(sizes),
                         pa.array(first.view(np.int64)),
                         pa.array(second.view(np.int64)),
                         pa.ListArray.from_arrays(pa.array(ends * how.bands), pa.array(keys.reshape(-1))),
                         pa.ListArray.from_arrays(pa.array(ends * SKETCH), pa.array(bits.reshape(-1))),
                     ],
-                    names=["doc_id", "n_shingles", "set_a", "set_b", "bands", "sketch"],
+                    names=["doc_id", "text_hash", "n_shingles", "set_a", "set_b", "bands", "sketch"],
                 )
 
-    return docs.select(key, text).mapInArrow(
+    return docs.select(key, text, F.xxhash64(text)).mapInArrow(
         run,
-        "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>, sketch array<long>",
+        "doc_id long, text_hash long, n_shingles long, set_a long, set_b long, bands array<long>, sketch array<long>",
     )
 
 
@@ -297,33 +298,55 @@ def _shared_ids(usable: DataFrame, nodes: DataFrame, same: list[str]) -> DataFra
     """Links between the nodes of rows that share a doc_id but not a set; None if there are none."""
     sets = F.struct(*same)
     several = usable.groupBy("doc_id").agg(F.min(sets).alias("lo"), F.max(sets).alias("hi"))
-    rows = usable.join(several.filter("lo != hi").select("doc_id"), "doc_id")
-    links = rows.join(nodes.select(*same, "id"), same).filter("doc_id != id")
-    links = write_scratch(links.select(F.col("id").alias("a"), F.col("doc_id").alias("b")), "minmax-ids")
+    several = several.filter("lo != hi").select("doc_id", F.col("lo").alias("first"))
+    rows = usable.select("doc_id", *same).join(several, "doc_id").distinct()
+    rows = rows.join(nodes.select(*same, F.col("id").alias("a")), same)
+    first = nodes.select(sets.alias("first"), F.col("id").alias("b"))
+    links = write_scratch(rows.join(first, "first").filter("a != b").select("a", "b"), "minmax-ids")
     return None if links.isEmpty() else links
 
 
+def _least_rows(found: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(id, least) for all nodes of components of more than one: the smallest (doc_id, hash of the text) in it."""
+    rows = nodes.select("id", "own")
+    each = found.join(rows, "id").groupBy("component").agg(F.min("own").alias("others"), F.count("*").alias("n"))
+    each = each.join(rows.withColumnRenamed("id", "component"), "component")
+    each = write_scratch(each.select("component", F.least("own", "others").alias("least"), "n"), "minmax-least")
+    deal = deal_of(each, each.agg(F.sum("n")).first()[0] or 0, "component", "id")
+    members = deal.join(found, each.select("component", "least")).select("id", "least")
+    return members.unionByName(each.select(F.col("component").alias("id"), "least"))
+
+
 def near_duplicates(
-    docs: DataFrame, how: MinMax = MinMax(), key: str = "doc_id", text: str = "text"
+    docs: DataFrame,
+    how: MinMax = MinMax(),
+    key: str = "doc_id",
+    text: str = "text",
+    ids_link: bool = True,
 ) -> DataFrame:
-    """One row for each row of `docs`: doc_id, n_shingles, component_id, kept.
+    """One row for each row of `docs`: doc_id, n_shingles, component_id, kept, text_hash, kept_text.
 
     Words are lower-cased (A to Z) and cut at space and the control characters 9 to 13. Documents are linked if
     100 * common shingles >= percent * shingles of both. component_id is the smallest doc_id that links
-    reach, kept is doc_id = component_id.
+    reach, kept is doc_id = component_id. text_hash is the text's xxhash64; kept_text tells the rows with the text that stands
+    for the component: of its smallest doc_id, the text with the smallest hash.
 
-    A null, empty or blank text has no shingles and no link. Rows with the same doc_id are one node: they share a
-    component, whatever their texts. A row with a null doc_id gets a null component_id, is kept and links with
-    nothing. Other columns are not read. An empty table gives no rows.
+    A null, empty or blank text has no shingles and no link. Rows with the same doc_id are in one component, whatever their
+    texts, each of which links by its own set; without `ids_link`, texts that share a doc_id link by their sets alone. A
+    row with a null doc_id gets a null component_id, is kept and links with nothing. Other columns are not read. An empty
+    table gives no rows.
     """
     spark = docs.sparkSession
     facts = write_scratch(describe(docs, how, key, text), "minmax-facts")
     usable = facts.filter("n_shingles > 0 AND doc_id IS NOT NULL")
     same = ["n_shingles", "set_a", "set_b"]
     nodes = usable.groupBy(*same).agg(
-        F.min("doc_id").alias("id"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")
+        F.min(F.struct("doc_id", "text_hash")).alias("own"),
+        F.first("bands").alias("bands"),
+        F.first("sketch").alias("sketch"),
     )
-    nodes = write_scratch(nodes, "minmax-nodes")
+    # Numbers hold from here on: they are written once and read again.
+    nodes = write_scratch(nodes.withColumn("id", F.monotonically_increasing_id()), "minmax-nodes")
     entries = nodes.select("id", F.explode("bands").alias("bucket"))
     shared = entries.groupBy("bucket").agg(
         F.min("id").alias("lo"), F.max("id").alias("hi"), F.count("*").alias("n")
@@ -333,10 +356,13 @@ def near_duplicates(
     entries = deal.join(entries, shared.select("bucket")).select("bucket", "id")
     entries = write_scratch(entries.join(nodes.select("id", "sketch"), "id"), "minmax-buckets")
     # Only texts that share a bucket are compared; they are picked out once.
-    texts = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
-    texts = write_scratch(texts.join(entries.select("id").distinct(), "id", "left_semi"), "minmax-texts")
+    texts = docs.select(
+        F.col(key).cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), F.col(text).alias("text")
+    )
+    wanted = nodes.select("id", "own.doc_id", "own.text_hash").join(entries.select("id"), "id", "left_semi")
+    texts = write_scratch(texts.join(wanted, ["doc_id", "text_hash"]).select("id", "text"), "minmax-texts")
 
-    confirmed = _shared_ids(usable, nodes, same)
+    confirmed = _shared_ids(usable, nodes, same) if ids_link else None
     found = None if confirmed is None else write_scratch(components(spark, confirmed), "minmax-components")
     tested = None
     for turn in range(how.stars + 1):
@@ -367,15 +393,18 @@ def near_duplicates(
         if last:
             break
 
-    own = facts.select("doc_id", *same).join(nodes.select(*same, "id"), same, "left")
+    own = facts.select("doc_id", "text_hash", *same).join(nodes.select(*same, "id", "own"), same, "left")
     if found is not None:
-        own = own.join(found, "id", "left").withColumn("component_id", F.coalesce("component", "id", "doc_id"))
+        own = own.join(_least_rows(found, nodes), "id", "left")
     else:
-        own = own.withColumn("component_id", F.coalesce("id", "doc_id"))
-    own = own.withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.col("component_id")))
-    return own.select(
+        own = own.withColumn("least", F.col("own"))
+    least = F.coalesce("least", "own", F.struct("doc_id", "text_hash"))
+    out = own.select("doc_id", "text_hash", "n_shingles", F.when(F.col("doc_id").isNotNull(), least).alias("least"))
+    return out.select(
         "doc_id",
         "n_shingles",
-        "component_id",
-        F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"),
+        F.col("least.doc_id").alias("component_id"),
+        F.coalesce(F.col("doc_id") == F.col("least.doc_id"), F.lit(True)).alias("kept"),
+        "text_hash",
+        F.coalesce(F.struct("doc_id", "text_hash") == F.col("least"), F.lit(True)).alias("kept_text"),
     )

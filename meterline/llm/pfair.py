@@ -159,7 +159,7 @@ def mix_sources(
     spark = docs.sparkSession
     if clash := set(columns) & set(docs.columns):
         raise ValueError(f"docs has columns named {sorted(clash)}")
-    counted = docs.groupBy(source).count().limit(how.most_sources + 1).collect()
+    counted = docs.groupBy(F.col(f"`{source}`").alias("of_own")).agg(F.count("*")).limit(how.most_sources + 1).collect()
     if len(counted) > how.most_sources:
         raise ValueError(f"more than {how.most_sources} sources")
     sizes = {r[0]: r[1] for r in counted}
@@ -183,37 +183,47 @@ def mix_sources(
         f"of_index int, of_source {kind}, of_rows long, of_buckets long",
     )
 
-    # One row for each source: bounded by a parameter.
-    hashed = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns if not _is_map(docs, c)])
+    # The caller's row travels in one structure, whatever its names; a text stands beside it, to be compressed.
+    hashed = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns if not is_map(docs, c)])
     long = text in docs.columns and text not in (key, source) and isinstance(docs.schema[text].dataType, StringType)
-    marked = docs.join(F.broadcast(plan), docs[source].eqNullSafe(plan.of_source)).withColumn("of_hash", hashed)
+    rest = [c for c in docs.columns if not (long and c == text)]
+    marked = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in rest]).alias("of_row"),
+        (F.col(f"`{text}`") if long else F.lit(None).cast("string")).alias("of_text"),
+        F.col(f"`{key}`").alias("of_key"),
+        F.col(f"`{source}`").alias("of_own"),
+        hashed.alias("of_hash"),
+    )
+    # One row for each source: bounded by a parameter.
+    marked = marked.join(F.broadcast(plan), marked.of_own.eqNullSafe(plan.of_source))
     # Rank within the source: by buckets of a hash, so that no source is sorted in one task.
     marked = marked.withColumn("of_bucket", F.pmod("of_hash", "of_buckets"))
     counted = marked.groupBy("of_index", "of_bucket").count()
     if long:
-        marked = marked.withColumn(text, F.arrow_udf(_squeeze, "binary")(F.col(f"`{text}`")))
+        marked = marked.withColumn("of_text", F.arrow_udf(_squeeze, "binary")("of_text"))
     counts = write_scratch(counted, "mix-buckets")
     before = Window.partitionBy("of_index").orderBy("of_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(
         "of_index", "of_bucket", "count", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("of_before")
     )
-    own = Window.partitionBy("of_index", "of_bucket").orderBy("of_hash", F.col(key))
-    ranked = marked.drop("of_rows", "of_buckets").withColumn("of_rank", F.row_number().over(own) - 1)
+    own = Window.partitionBy("of_index", "of_bucket").orderBy("of_hash", "of_key")
+    ranked = marked.select("of_index", "of_bucket", "of_row", "of_text", F.row_number().over(own).alias("of_rank"))
     ranked = ranked.join(_rounds(offsets, slots, plan, how.block), ["of_index", "of_bucket"])
-    placed = ranked.withColumn("of_place", F.col("of_begin") + F.col("of_rank"))
+    placed = ranked.withColumn("of_place", F.col("of_begin") + F.col("of_rank") - 1)
     placed = placed.filter("of_place < of_length")
     at = F.expr(f"of_slots[cast(of_place div {how.block} - of_first as int)]")
     placed = placed.withColumn("of_slot", at)
-    out = placed.select(
-        *[F.col(f"`{c}`") for c in docs.columns],
-        (F.col("of_slot") * how.block + F.col("of_place") % how.block).alias(position),
+    place = F.col("of_slot") * how.block + F.col("of_place") % how.block
+    out = placed.select("of_row", "of_text", place.alias("of_place"), "of_slot", "of_round")
+    out = out.repartitionByRange("of_place").sortWithinPartitions("of_place")
+    if long:
+        out = out.withColumn("of_text", F.arrow_udf(_restore, "string")("of_text"))
+    return out.select(
+        *[(F.col("of_text") if long and c == text else F.col(f"of_row.`{c}`")).alias(c) for c in docs.columns],
+        F.col("of_place").alias(position),
         F.col("of_slot").alias(slot),
         F.col("of_round").alias(round_),
     )
-    out = out.repartitionByRange(position).sortWithinPartitions(position)
-    if long:
-        out = out.withColumn(text, F.arrow_udf(_restore, "string")(F.col(f"`{text}`")))
-    return out
 
 
 def _rounds(offsets: DataFrame, slots: DataFrame, plan: DataFrame, block: int) -> DataFrame:
@@ -232,5 +242,5 @@ def _rounds(offsets: DataFrame, slots: DataFrame, plan: DataFrame, block: int) -
     return found.withColumn("of_slots", F.col("of_found.of_slot")).drop("of_found")
 
 
-def _is_map(docs: DataFrame, column: str) -> bool:
+def is_map(docs: DataFrame, column: str) -> bool:
     return docs.schema[column].dataType.simpleString().find("map<") >= 0

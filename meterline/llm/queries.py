@@ -115,7 +115,8 @@ FROM documents d LEFT JOIN sizes s USING (doc_id) LEFT JOIN least r ON r.id = d.
 
 @query(OP3_SQL)
 def op3_document_near_dups(spark, sf_dir):
-    return minmax.near_duplicates(table(spark, sf_dir, "documents"), minmax.MinMax(width=2))
+    found = minmax.near_duplicates(table(spark, sf_dir, "documents"), minmax.MinMax(width=2))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
 @query()

@@ -126,6 +126,23 @@ def test_a_very_long_text(spark):
     assert {r.doc_id: r.component_id for r in minmax.near_duplicates(docs).collect()} == {1: 1, 2: 1, 3: 3}
 
 
+@pytest.mark.parametrize("stars", [0, 2])
+def test_texts_that_share_an_id_link_each(spark, stars):
+    one, two = (" ".join(f"{p}{i}" for i in range(200)) for p in "ab")
+    rows = [(1, one), (1, two), (5, one + " x"), (6, two + " x"), (7, one + " y"), (8, "apart from all"), (8, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    how = minmax.MinMax(stars=stars)
+    found = minmax.near_duplicates(docs.repartition(3), how).collect()
+    assert {(r.doc_id, r.component_id) for r in found} == {(1, 1), (5, 1), (6, 1), (7, 1), (8, 8)}
+    apart = minmax.near_duplicates(docs.repartition(3), how, ids_link=False)
+    groups = {}
+    for r in apart.join(docs.selectExpr("doc_id", "xxhash64(text) AS text_hash", "text"), ["doc_id", "text_hash"]).collect():
+        groups.setdefault((r.component_id, (r.text or "-")[0]), []).append((r.doc_id, r.kept_text))
+    assert sorted(groups[1, "a"]) == [(1, True), (5, False), (7, False)]
+    assert sorted(groups[1, "b"]) == [(1, True), (6, False)]
+    assert groups[8, "-"] == [(8, True)] and groups[8, "a"] == [(8, True)]
+
+
 @given(st.lists(st.text(st.sampled_from("aAbZ \t\n\x0b\x0c\ré \x1f"), max_size=12), max_size=8))
 @settings(max_examples=200, deadline=None)
 def test_words_and_sets(texts):

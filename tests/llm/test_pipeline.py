@@ -5,6 +5,7 @@ import os
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from meterline.llm import byte_cnn, minmax, queries, tree_rules
@@ -52,12 +53,39 @@ def test_filters_agree_with_the_operators(spark, odd):
 
 
 def test_one_of_each_group_stays(spark, odd):
-    found = minmax.near_duplicates(odd, minmax.MinMax(width=5)).filter("doc_id IS NOT NULL")
-    want = {r.component_id for r in found.collect()}
-    rows = corpus_pipeline.near_duplicates(spark, odd, SF_DIR).collect()
-    ids = [r.doc_id for r in rows if r.doc_id is not None]
-    assert len(ids) == len(set(ids)) and set(ids) == want
-    assert sum(r.doc_id is None for r in rows) == 2
+    found = minmax.near_duplicates(odd, minmax.MinMax(width=5), ids_link=False).filter("doc_id IS NOT NULL")
+    want = sorted({(r.doc_id, r.text_hash) for r in found.filter("kept_text").collect()})
+    rows = corpus_pipeline.near_duplicates(spark, odd, SF_DIR)
+    got = rows.filter("doc_id IS NOT NULL").selectExpr("doc_id", "xxhash64(text) AS h").collect()
+    assert sorted(tuple(r) for r in got) == want
+    assert {i for i, _ in want} >= {r.component_id for r in minmax.near_duplicates(odd, minmax.MinMax(width=5)).collect()} - {None}
+    assert rows.filter("doc_id IS NULL").count() == 2
+
+
+def test_texts_that_share_an_id_are_judged_each(spark):
+    one, two = (" ".join(f"{p}{i}" for i in range(200)) for p in "ab")
+    rows = [(1, one), (1, two), (1, one), (5, one + " end"), (6, two + " end"), (7, "other words stand here alone")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = corpus_pipeline.near_duplicates(spark, docs.repartition(3), SF_DIR).collect()
+    assert sorted(tuple(r) for r in kept) == sorted([(1, one), (1, two), rows[-1]])
+
+
+INTERNAL = (
+    "id hash row nth kept_id of_rows count text_hash own least component of_hash of_bucket of_slot of_index of_source "
+    "of_begin of_row of_text of_key of_rank of_place of_length of_slots of_first of_before of_round".split()
+)
+
+
+@pytest.mark.parametrize("stage", ["near_duplicates", "mix_sources"])
+def test_columns_with_internal_names_come_out_as_they_were(spark, odd, stage):
+    docs = odd.drop("kept").withColumns({c: F.concat(F.lit(c), F.col("doc_id").cast("string")) for c in INTERNAL})
+    plain = dict(corpus_pipeline.STAGES)[stage](spark, odd.drop("kept"), SF_DIR)
+    rows = dict(corpus_pipeline.STAGES)[stage](spark, docs, SF_DIR)
+    assert rows.columns == docs.columns
+    rows = rows.collect()
+    assert {str(r.doc_id) for r in rows} == {str(r.doc_id) for r in plain.collect()}
+    for r in rows:
+        assert all(r[c] == (None if r.doc_id is None else f"{c}{r.doc_id}") for c in INTERNAL)
 
 
 def test_mixed_documents_are_whole(spark, odd):
