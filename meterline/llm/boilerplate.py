@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_left
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -42,17 +43,18 @@ class Boilerplate:
         return 6 * self.most_words
 
 
-TOKENS = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|noscript|template|textarea|iframe|svg|title)\b(?:[^>\"']++|\"[^\"]*\"|'[^']*')*+>"
-    r".*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>"
-    r"|<[!?/][^>]*>"
-    r"|<[a-z][^>]*>"
-    r"|[^<]+|<",
-    re.S | re.I,
+TAG = re.compile(r"<(/?)([a-z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>", re.I)
+TAG_NAME = re.compile(r"<(/?)([a-z][^\s/>]*)", re.I)
+#: Elements whose content is no markup, and what ends it.
+RAW = re.compile(r"<(script|style|noscript|template|textarea|iframe|svg|title)\b", re.I)
+RAW_ENDS = {
+    name: re.compile(rf"</{name}\s*>", re.I)
+    for name in ("script", "style", "noscript", "template", "textarea", "iframe", "svg", "title")
+}
+MARKS = re.compile("[>\"']")
+ATTRIBUTES = re.compile(
+    r"(?<![a-z-])([a-z-]++)\s*+=\s*+(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))|\b(hidden)\b", re.I
 )
-ATTRIBUTES = re.compile(r"([a-z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))|\b(hidden)\b", re.I)
 BLOCKS = frozenset(
     "address article aside blockquote body br center dd details dialog dir div dl dt fieldset figcaption figure "
     "footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol option p pre section select "
@@ -118,48 +120,156 @@ def _mark(name: str, attributes: str, outer: int) -> int:
     return outer
 
 
+class _TagEnds:
+    """Where tags end: at the first > outside of quotes. Found for all places at once, from the back, in linear time."""
+
+    def __init__(self, page: str):
+        self.at = [m.start() for m in MARKS.finditer(page)]
+        self.ends = [-1] * (len(self.at) + 1)
+        following = {"\"": -1, "'": -1}
+        for i in range(len(self.at) - 1, -1, -1):
+            mark = page[self.at[i]]
+            if mark == ">":
+                self.ends[i] = self.at[i]
+            else:
+                if following[mark] >= 0:
+                    self.ends[i] = self.ends[following[mark] + 1]
+                following[mark] = i
+
+    def __call__(self, start: int) -> int:
+        return self.ends[bisect_left(self.at, start)]
+
+
+def tokens(page: str):
+    """(text, name, closes, attributes) in page order: a run of text, or a tag's name and what stands in it.
+
+    Comments, declarations and the content of scripts and the like are left out. Each takes time that grows with what it
+    spans, also on pages of unclosed tags, quotes and comments: once a tag has no end, the ends of all are looked up.
+    """
+    ends, pos, n = None, 0, len(page)
+    while pos < n:
+        low = page.find("<", pos)
+        if low != pos:
+            low = n if low < 0 else low
+            yield page[pos:low], None, False, ""
+            pos = low
+            continue
+        if page.startswith("<!--", low):
+            end = page.find("-->", low + 4)
+            pos = n if end < 0 else end + 3
+            continue
+        if raw := RAW.match(page, low):
+            if ends is None:
+                tag = TAG.match(page, low)
+                # An end that is one of the tag is one of the element too, unless quotes stand in the name.
+                end = tag.end() - 1 if tag and tag.end(2) == raw.end(1) else None
+                if end is None:
+                    ends = _TagEnds(page)
+            if ends is not None:
+                end = ends(raw.end(1))
+            if end >= 0:
+                close = RAW_ENDS[raw[1].lower()].search(page, end + 1)
+                pos = close.end() if close else n
+                continue
+        if name := TAG_NAME.match(page, low):
+            tag = None
+            if ends is None:
+                tag = TAG.match(page, low)
+                if tag:
+                    end = tag.end() - 1
+                else:
+                    ends = _TagEnds(page)
+            if ends is not None:
+                end = ends(name.end())
+            if end >= 0:
+                yield "", name[2].lower(), bool(name[1]), page[name.end() : end]
+                pos = end + 1
+                continue
+        if page[low + 1 : low + 2] in ("!", "?", "/") or name:
+            end = page.find(">", low + 1)
+            if end >= 0:
+                pos = end + 1
+                continue
+            # No > is left: all that follows is text, but for comments.
+            end = page.find("<!--", low + 1)
+            end = n if end < 0 else end
+            yield page[low:end], None, False, ""
+            pos = end
+            continue
+        yield "<", None, False, ""
+        pos = low + 1
+
+
+class _Stack:
+    """Open elements (name, mark), with the places of each name and of the fences."""
+
+    def __init__(self):
+        self.items = [("", OPEN)]
+        self.places: dict[str, list[int]] = {}
+        self.fences: list[int] = []
+
+    @property
+    def top(self):
+        return self.items[-1]
+
+    def push(self, name: str, mark: int):
+        self.places.setdefault(name, []).append(len(self.items))
+        if name in FENCES:
+            self.fences.append(len(self.items))
+        self.items.append((name, mark))
+
+    def pop(self):
+        name, _ = self.items.pop()
+        self.places[name].pop()
+        if name in FENCES:
+            self.fences.pop()
+
+    def closed_by(self, name: str) -> int:
+        """Place of the element that an end tag closes, or 0."""
+        places = self.places.get(name)
+        if not places or (name not in FENCES and self.fences and self.fences[-1] > places[-1]):
+            return 0
+        return places[-1]
+
+
 def parse(page: str) -> _Page:
-    """Blocks of text in page order, white space as single spaces; markup that is not closed ends with its parent."""
-    out, stack, words = _Page(), [("", OPEN)], []
+    """Blocks of text in page order, white space as single spaces; markup that is not closed ends with its parent.
+
+    Time grows with the page's length, also for broken markup.
+    """
+    out, stack, words = _Page(), _Stack(), []
 
     def end_block():
         text = " ".join(html.unescape("".join(words)).split())
         if text:
             out.texts.append(text)
-            out.marks.append(stack[-1][1])
+            out.marks.append(stack.top[1])
         words.clear()
 
-    for token in TOKENS.finditer(page):
-        raw = token[0]
-        if raw[0] != "<" or raw == "<":
+    for raw, name, closes, attributes in tokens(page):
+        if name is None:
             words.append(raw)
             continue
-        if not token[3]:
-            continue  # comments, scripts, declarations
-        name = token[3].lower()
         if name in BLOCKS:
             end_block()
-        if token[2]:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] == name:
-                    end_block()
-                    del stack[i:]
-                    break
-                if stack[i][0] in FENCES and name not in FENCES:
-                    break
+        if closes:
+            if place := stack.closed_by(name):
+                end_block()
+                while len(stack.items) > place:
+                    stack.pop()
         elif name not in VOID:
-            if name in BLOCKS and stack[-1][0] in ("p", "b", "i", "em", "strong", "h1", "h2", "h3", "h4", "h5", "h6"):
-                while stack[-1][0] in ("b", "i", "em", "strong") and len(stack) > 2:
+            if name in BLOCKS and stack.top[0] in ("p", "b", "i", "em", "strong", "h1", "h2", "h3", "h4", "h5", "h6"):
+                while stack.top[0] in ("b", "i", "em", "strong") and len(stack.items) > 2:
                     stack.pop()
-                if stack[-1][0] == "p":
+                if stack.top[0] == "p":
                     stack.pop()
-            if stack[-1][0] in CLOSED_BY.get(name, ()):
+            if stack.top[0] in CLOSED_BY.get(name, ()):
                 stack.pop()
-            if not token[4].rstrip().endswith("/"):
-                mark = _mark(name, token[4], stack[-1][1])
-                if mark != stack[-1][1]:
+            if not attributes.rstrip().endswith("/"):
+                mark = _mark(name, attributes, stack.top[1])
+                if mark != stack.top[1]:
                     end_block()
-                stack.append((name, mark))
+                stack.push(name, mark)
     end_block()
     return out
 

@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 import zlib
 from collections import Counter
 from itertools import islice
@@ -554,3 +555,21 @@ def test_small_weights_do_not_drift():
         assert j == had[i]
         had[i] += 1
         assert all(abs(n * sum(parts) - p * t) < sum(parts) for n, p in zip(had, parts, strict=True))
+
+
+@pytest.mark.parametrize("unit", ["<script ", '<a "', '<a "" ">"', "<b></i>", "</x", "<!--", "<a x='\"", "<"])
+def test_broken_pages_take_linear_time(unit):
+    started = time.monotonic()
+    boilerplate.parse(unit * (300_000 // len(unit)))
+    boilerplate.parse(unit * (300_000 // len(unit)) + ">")
+    boilerplate.parse("<i><div>" + "<b>" * 40_000 + "</i>" * 40_000)
+    boilerplate.parse("<a " + "a" * 300_000 + ">")
+    assert time.monotonic() - started < 10
+
+
+def test_tags_end_outside_of_quotes():
+    # The end of <i> is the first > outside of quotes after <a.
+    page = """<p title="a > b">one</p><script x='</script>'>no</SCRIPT >two <a "" ">" three <i>four"""
+    assert boilerplate.parse(page).texts == ["one", "two four"]
+    assert boilerplate.parse("a < b <!-- c > d").texts == ["a < b"]
+    assert boilerplate.parse("<title").texts == ["<title"]
