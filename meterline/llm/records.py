@@ -192,6 +192,8 @@ def _split(payload: bytes, dtype):
     return key if has else None, np.frombuffer(payload[KEY.size :], dtype)
 
 
+#: Most tasks that read files at a time.
+READERS = 10_000
 READ = "doc_id long, start long, n_tokens long, ids_crc32 long"
 READ_TYPES = [pa.int64()] * 4
 READ_NAMES = ["doc_id", "start", "n_tokens", "ids_crc32"]
@@ -220,8 +222,13 @@ def read_records(spark: SparkSession, folder: str) -> DataFrame:
                         raise DamagedRecord(f"{path}: more records than listed")
                 yield _batch(rows, READ_TYPES, READ_NAMES)
 
-    files = read_manifest(spark, folder).select("path", "n_docs", "start")
-    return files.repartition(F.col("path")).mapInArrow(run, READ)
+    return _dealt(read_manifest(spark, folder).select("path", "n_docs", "start")).mapInArrow(run, READ)
+
+
+def _dealt(files: DataFrame) -> DataFrame:
+    """Files dealt over as many tasks as there are files, up to READERS; a given number is not merged again at run time."""
+    tasks = min(max(files.count(), 1), READERS)
+    return files.repartitionByRange(tasks, "path")
 
 
 def _batch(rows, types, names):
@@ -244,10 +251,8 @@ def read_index(spark: SparkSession, folder: str) -> DataFrame:
                         ["doc_id", "path", "offset", "n_bytes"],
                     )
 
-    files = read_manifest(spark, folder).select("path")
-    return files.repartition(F.col("path")).mapInArrow(
-        run, "doc_id long, path string, offset long, n_bytes long"
-    )
+    files = _dealt(read_manifest(spark, folder).select("path"))
+    return files.mapInArrow(run, "doc_id long, path string, offset long, n_bytes long")
 
 
 def read_shuffled(spark: SparkSession, folder: str, seed: int) -> DataFrame:
