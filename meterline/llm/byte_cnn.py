@@ -15,7 +15,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterline.llm.arrow import portions, utf8
@@ -30,10 +30,11 @@ STRIDE_BYTES = STRIDE * BLOCK_BYTES
 
 @dataclass(frozen=True)
 class ByteCnn:
-    """`sample` bounds the labelled rows to learn from, `longest` their characters; scoring has no bound."""
+    """`sample` and `sample_bytes` bound the labelled rows to learn from, whatever their lengths; scoring has no bound.
+    `portion` is the number of bytes that are embedded at a time, in learning and in scoring."""
 
     sample: int = 2000
-    longest: int = 20_000
+    sample_bytes: int = 64 << 20
     filters: int = 24
     embedding: int = 8
     epochs: int = 12
@@ -126,11 +127,10 @@ def score(net: Network, data: np.ndarray, offsets: np.ndarray, portion: int = 1
     return out
 
 
-def _long(net: Network, data: np.ndarray, portion: int) -> np.ndarray:
-    """Features of one long text, a bounded number of chunks at a time."""
+def _pieces(net: Network, data: np.ndarray, portion: int):
+    """(bytes, embedded rows, answers, number of chunks) of one long text, a bounded number of chunks at a time."""
     per = max(portion // STRIDE_BYTES, 1)
     n = max(-(-(len(data) - BLOCK_BYTES) // STRIDE_BYTES), 1)
-    largest, total = None, 0.0
     for low in range(0, n, per):
         high = min(low + per, n)
         begin, end = low * STRIDE_BYTES, high * STRIDE_BYTES + BLOCK_BYTES
@@ -140,11 +140,17 @@ def _long(net: Network, data: np.ndarray, portion: int) -> np.ndarray:
         rows = net.letters[piece].reshape(-1, STEP * net.letters.shape[1])
         both = rows @ np.concatenate((net.top, net.bottom), 1)
         k = net.top.shape[1]
-        out = both[:-1, :k] + both[1:, k:]
-        values = pooled(net, out, np.array([high - low]))[0]
+        yield piece, rows, both[:-1, :k] + both[1:, k:], high - low
+
+
+def _long(net: Network, data: np.ndarray, portion: int) -> np.ndarray:
+    """Features of one long text."""
+    largest, total, n = None, 0.0, 0
+    for _, _, out, chunks in _pieces(net, data, portion):
+        values = pooled(net, out, np.array([chunks]))[0]
         best = values.max(0)
         largest = best if largest is None else np.maximum(largest, best)
-        total = total + values.sum(0)
+        total, n = total + values.sum(0), n + chunks
     return np.concatenate((largest, total / n))[None, :]
 
 
@@ -165,27 +171,12 @@ def start(how: ByteCnn, rate: float) -> Network:
     )
 
 
-def gradients(net: Network, laid: np.ndarray, chunks: np.ndarray, y: np.ndarray) -> list[np.ndarray]:
-    """Gradient of the mean logistic loss over some texts."""
-    out, rows = answers(net, laid, chunks)
-    values, best, first = pooled(net, out, chunks)
-    z = features(values, chunks)
-    p = 1 / (1 + np.exp(-(z @ net.weights + net.intercept[0])))
-    dz = ((p - y) / len(y)).astype(np.float32)
-    d_weights, d_intercept = z.T @ dz, np.array([dz.sum()], np.float32)
+def _back(
+    net: Network, laid: np.ndarray, rows: np.ndarray, after: np.ndarray, out: np.ndarray, best: np.ndarray,
+    first: np.ndarray, d_values: np.ndarray,
+) -> list[np.ndarray]:
+    """Gradients of letters, filters and bias from those of the chunks' values; `after` is the row behind each step."""
     n = net.top.shape[1]
-    text = np.repeat(np.arange(len(chunks)), chunks)
-    top_value = z[:, :n][text]
-    # The mean hands its share to all chunks, the largest to the first chunk that has it.
-    d_values = (dz / chunks)[text][:, None] * net.weights[n:]
-    hit = values == top_value
-    begins = np.cumsum(chunks) - chunks
-    seen = np.cumsum(hit, 0)
-    before = np.concatenate((np.zeros((1, n), seen.dtype), seen))[begins][text]
-    hit &= seen - before == 1
-    d_values = d_values + hit * (dz[text][:, None] * net.weights[:n])
-    d_values = np.where(values > 0, d_values, 0).astype(np.float32)
-    d_bias = d_values.sum(0)
     # Where in its chunk each filter had its largest answer.
     blocks = out.reshape(-1, BLOCK, n)
     peak = blocks.max(1)
@@ -195,10 +186,7 @@ def gradients(net: Network, laid: np.ndarray, chunks: np.ndarray, y: np.ndarray)
     step = block * BLOCK + blocks.argmax(1)[block, np.arange(n)[None, :]]
     d_top, d_bottom = np.zeros_like(net.top), np.zeros_like(net.bottom)
     d_letters = np.zeros_like(net.letters)
-    last = np.cumsum((chunks * STRIDE + 1) * BLOCK) - 1
     padded = np.concatenate((rows, np.zeros((1, rows.shape[1]), rows.dtype)))
-    after = np.arange(1, len(rows) + 1)
-    after[last] = len(rows)  # the last answer of a text sees nothing behind it
     steps = laid.reshape(-1, STEP)
     for f in range(n):
         live = np.flatnonzero(d_values[:, f])
@@ -211,7 +199,71 @@ def gradients(net: Network, laid: np.ndarray, chunks: np.ndarray, y: np.ndarray)
             for k in range(STEP):
                 np.add.at(d_letters, steps[at[ok], k], g[ok, None] * w[k])
     d_letters[0] = 0
-    return [d_letters, d_top, d_bottom, d_bias, d_weights, d_intercept]
+    return [d_letters, d_top, d_bottom, d_values.sum(0)]
+
+
+def gradients(net: Network, laid: np.ndarray, chunks: np.ndarray, y: np.ndarray) -> list[np.ndarray]:
+    """Gradient of the mean logistic loss over some texts."""
+    out, rows = answers(net, laid, chunks)
+    values, best, first = pooled(net, out, chunks)
+    z = features(values, chunks)
+    p = 1 / (1 + np.exp(-(z @ net.weights + net.intercept[0])))
+    dz = ((p - y) / len(y)).astype(np.float32)
+    d_weights, d_intercept = z.T @ dz, np.array([dz.sum()], np.float32)
+    n = net.top.shape[1]
+    text = np.repeat(np.arange(len(chunks)), chunks)
+    top_value = z[:, :n][text]
+    # The mean hands its share to all chunks, the largest to the first chunk that has it.
+    d_values = (dz / chunks)[text][:, None] * net.weights[n:]
+    hit = values == top_value
+    begins = np.cumsum(chunks) - chunks
+    seen = np.cumsum(hit, 0)
+    before = np.concatenate((np.zeros((1, n), seen.dtype), seen))[begins][text]
+    hit &= seen - before == 1
+    d_values = d_values + hit * (dz[text][:, None] * net.weights[:n])
+    d_values = np.where(values > 0, d_values, 0).astype(np.float32)
+    last = np.cumsum((chunks * STRIDE + 1) * BLOCK) - 1
+    after = np.arange(1, len(rows) + 1)
+    after[last] = len(rows)  # the last answer of a text sees nothing behind it
+    return [*_back(net, laid, rows, after, out, best, first, d_values), d_weights, d_intercept]
+
+
+def _long_gradients(net: Network, data: np.ndarray, y: float, portion: int) -> list[np.ndarray]:
+    """Gradient of the loss over one long text, in two passes over its pieces: its features first, then their shares."""
+    z = _long(net, data, portion)
+    n = net.top.shape[1]
+    p = 1 / (1 + np.exp(-(z @ net.weights + net.intercept[0])))
+    dz = np.float32(p[0] - y)
+    total = max(-(-(len(data) - BLOCK_BYTES) // STRIDE_BYTES), 1)
+    found, open_ = None, np.ones(n, bool)  # filters whose largest answer is still to come
+    for piece, rows, out, chunks in _pieces(net, data, portion):
+        values, best, first = pooled(net, out, np.array([chunks]))
+        hit = (values == z[0, :n]) & open_
+        hit &= np.cumsum(hit, 0) == 1
+        open_ &= ~hit.any(0)
+        d_values = dz / total * net.weights[n:] + hit * (dz * net.weights[:n])
+        d_values = np.where(values > 0, d_values, 0).astype(np.float32)
+        after = np.arange(1, len(out) + 1)
+        part = _back(net, piece, rows, after, out, best, first, d_values)
+        found = part if found is None else [a + b for a, b in zip(found, part, strict=True)]
+    return [*found, z[0] * dz, np.array([dz], np.float32)]
+
+
+def batch_gradients(
+    net: Network, data: np.ndarray, offsets: np.ndarray, y: np.ndarray, portion: int = 1 << 19
+) -> list[np.ndarray]:
+    """Gradient of the mean logistic loss over texts given as bytes, a portion of them at a time."""
+    found = None
+    for low, high in portions(offsets, portion):
+        part = offsets[low : high + 1]
+        if high - low == 1 and part[1] - part[0] > portion:
+            own = _long_gradients(net, data[part[0] : part[1]], float(y[low]), portion)
+        else:
+            laid, chunks = lay_out(data[part[0] : part[-1]], part - part[0])
+            own = gradients(net, laid, chunks, y[low:high])
+        own = [g * np.float32((high - low) / len(y)) for g in own]
+        found = own if found is None else [a + b for a, b in zip(found, own, strict=True)]
+    return found
 
 
 def train(texts: list[bytes], y: np.ndarray, how: ByteCnn) -> Network:
@@ -232,8 +284,7 @@ def train(texts: list[bytes], y: np.ndarray, how: ByteCnn) -> Network:
             own = [texts[i] for i in picked]
             data = np.frombuffer(b"".join(own), np.uint8)
             offsets = np.concatenate(([0], np.cumsum([len(t) for t in own])))
-            laid, chunks = lay_out(data, offsets)
-            found = gradients(net, laid, chunks, y[picked].astype(np.float32))
+            found = batch_gradients(net, data, offsets, y[picked].astype(np.float32), how.portion)
             turn += 1
             rate = how.rate * (1 - 0.9 * turn / turns)
             for i, (p, g) in enumerate(zip(parts, found, strict=True)):
@@ -249,13 +300,18 @@ def train(texts: list[bytes], y: np.ndarray, how: ByteCnn) -> Network:
 def fit(docs: DataFrame, labels: DataFrame, how: ByteCnn = ByteCnn(), text: str = "text") -> Network:
     """A network from a bounded sample of labelled documents outside of the held-out fold.
 
-    Only texts are learned from; labels, ids, languages and sources are no inputs. Without labels of both kinds
+    Only texts are learned from; labels, ids, languages and sources are no inputs. The rows come in an order of their hashes, until
+    `sample` rows or `sample_bytes` bytes of text are reached; the row that passes the bytes is the last one, so no text is
+    left out for its length, and a long text is learned from whole, in portions of chunks. Without labels of both kinds
     every document gets the same score, the share of label 1 (0.5 without labels).
     """
-    short = docs.filter(F.coalesce(F.length(text), F.lit(0)) <= how.longest).select("doc_id", text)
-    rows = training_rows(short, labels, how.sample)
-    table = rows.select("doc_id", F.encode(F.coalesce(text, F.lit("")), "UTF-8").alias("text"), "quality")
-    table = table.toPandas().sort_values(["doc_id", "text"])
+    rows = training_rows(docs.select("doc_id", text), labels, how.sample)
+    rows = rows.select("doc_id", F.encode(F.coalesce(text, F.lit("")), "UTF-8").alias("text"), "quality")
+    # At most `sample` rows, so a window without a partition is bounded.
+    ahead = Window.orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")).rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("ahead", F.coalesce(F.sum(F.octet_length("text")).over(ahead), F.lit(0)))
+    rows = rows.filter(F.col("ahead") < how.sample_bytes).drop("ahead")
+    table = rows.toPandas().sort_values(["doc_id", "text"])
     return train([bytes(t) for t in table["text"]], table["quality"].to_numpy(float), how)
 
 
@@ -264,8 +320,8 @@ def classify(
 ) -> DataFrame:
     """One row for each document: key, score (0 to 1) and predicted (1 if the score reaches the threshold).
 
-    A null or empty text is scored as a chunk of padding. Rows that repeat are scored each. Other columns are not
-    read. An empty table gives no rows.
+    A null or empty text is scored as a chunk of padding. A very long text is scored whole, in portions of its chunks.
+    Rows that repeat are scored each. Other columns are not read. An empty table gives no rows.
     """
     sent = docs.sparkSession.sparkContext.broadcast(net)
 

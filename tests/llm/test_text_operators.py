@@ -195,6 +195,34 @@ def test_gradients_agree_with_differences():
             assert abs((up - down) / (2 * step) - gradient.reshape(-1)[i]) < 1e-4
 
 
+@pytest.mark.parametrize("portion", [900, 2500])
+def test_gradients_of_long_texts_in_portions(portion):
+    random = np.random.default_rng(1)
+    net = byte_cnn.start(byte_cnn.ByteCnn(filters=5, embedding=3), 0.4)
+    net = byte_cnn.Network(*(p.astype(np.float64) for p in net.parts()))
+    texts = [bytes(random.integers(1, 256, n, dtype=np.uint8)) for n in (0, 40, 3000, 700, 20_000, 512)]
+    texts.append(b"same words " * 900)  # the largest answers are in many chunks
+    data, offsets = np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)])
+    y = np.array([1, 0, 1, 0, 0, 1, 1], np.float32)
+    whole = byte_cnn.gradients(net, *byte_cnn.lay_out(data, offsets), y)
+    for a, b in zip(whole, byte_cnn.batch_gradients(net, data, offsets, y, portion), strict=True):
+        assert np.allclose(a, b, atol=1e-6)
+
+
+def test_long_texts_are_learned_from(spark):
+    mark = {0: "dull and plain ", 1: "#~#~ {} ^^ "}
+    # What tells the labels apart stands behind the first 40,000 characters.
+    rows = [(i, "filler words of no meaning " * 1500 + mark[i % 2] * 400, i % 2) for i in range(60)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, quality int")
+    how = byte_cnn.ByteCnn(epochs=15, batch=8, portion=1 << 15)
+    got = {r.doc_id: r.score for r in byte_cnn.classify(docs, byte_cnn.fit(docs, labels, how), how).collect()}
+    assert all((got[i] >= 0.5) == bool(label) for i, _, label in rows)
+    # The bound of bytes ends the sample behind the row that passes it, so the first row always counts.
+    one = byte_cnn.fit(docs.filter("doc_id % 2 = 1"), labels, byte_cnn.ByteCnn(sample_bytes=1))
+    assert {round(r.score, 2) for r in byte_cnn.classify(docs, one).collect()} == {0.99}
+
+
 def test_classifier_on_documents(spark, documents, labels):
     how = byte_cnn.ByteCnn(epochs=25)
     net = byte_cnn.fit(documents, labels, how)
