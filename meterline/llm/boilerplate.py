@@ -72,6 +72,8 @@ HINTS = frozenset(
     "comment comments disqus replies share sharing social related recommended widget login search toolbar pagination "
     "pager".split()
 )
+#: Hints that also hold for an element of an article that stands in no other: comments are often marked up as articles.
+REMARKS = frozenset("comment comments disqus replies".split())
 ARTICLE = frozenset("articlebody articlecontent entry-content post-content article-body main-content".split())
 CLOSED_BY = {
     "li": frozenset(["li"]),
@@ -109,15 +111,19 @@ def _mark(name: str, attributes: str, outer: int) -> int:
     if "display:none" in found.get("style", "").replace(" ", ""):
         return OUT
     names = f"{found.get('class', '')} {found.get('id', '')}"
-    if name not in ("html", "body", "main") and names != " " and HINTS & set(re.split(r"[^a-z]+", names)):
+    article = (
+        name in ("article", "main")
+        or found.get("role") in ("main", "article")
+        or found.get("itemprop") == "articlebody"
+        or bool(ARTICLE & set(names.split()))
+    )
+    # An outermost article may be named after its subject; one inside of another is often a remark or a teaser.
+    hints = REMARKS if article and outer == OPEN else HINTS
+    if name not in ("html", "body", "main") and names != " " and hints & set(re.split(r"[^a-z]+", names)):
         return OUT
     if name == "header":
         return outer if outer == ARTICLE_TEXT else OUT
-    if name in ("article", "main") or found.get("role") in ("main", "article"):
-        return ARTICLE_TEXT
-    if found.get("itemprop") == "articlebody" or ARTICLE & set(names.split()):
-        return ARTICLE_TEXT
-    return outer
+    return ARTICLE_TEXT if article else outer
 
 
 class _TagEnds:

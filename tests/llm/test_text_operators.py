@@ -601,3 +601,18 @@ def test_tags_end_outside_of_quotes():
     assert boilerplate.parse(page).texts == ["one", "two four"]
     assert boilerplate.parse("a < b <!-- c > d").texts == ["a < b"]
     assert boilerplate.parse("<title").texts == ["<title"]
+
+
+@pytest.mark.parametrize(
+    "page, texts",
+    [
+        ('<article class="newsletter">kept</article>', ["kept"]),
+        ('<div id="main-content" class="login main-content">kept</div>', ["kept"]),
+        ('<div class="newsletter">dropped</div>', []),
+        ('<article class="comment">dropped</article>', []),
+        ('<article>kept<article class="related">dropped</article></article>', ["kept"]),
+        ('<div class="sidebar"><article>dropped</article></div>', []),
+    ],
+)
+def test_names_of_articles(page, texts):
+    assert [t for t, _ in boilerplate.extract([page], boilerplate.Boilerplate())] == ["\n".join(texts)]
