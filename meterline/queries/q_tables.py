@@ -373,6 +373,34 @@ def stream_file_load(spark, sf):
     return spark.table(name).select("o_orderkey", "o_totalprice")
 
 
+@query(
+    "ST1 M4",
+    "SELECT o_orderstatus, count(*) AS n_rows, count(*) AS n_merged FROM orders GROUP BY o_orderstatus",
+)
+def stream_repeated_files(spark, sf):
+    """Files that are all sent twice, in two runs of a stream with a memory: their rows reach the merge once."""
+    folder, checkpoint = scratch_path(spark, "landing"), scratch_path(spark, "progress")
+    base = scratch_database(spark, "repeated")
+    name, merged = f"{base}.orders", f"{base}.merged"
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
+    M.rebuild(orders.limit(0), name)
+    M.rebuild(orders.limit(0), merged)
+
+    def note(batch):
+        batch.write.insertInto(merged)
+        return batch
+
+    for _ in range(2):
+        orders.write.mode("append").parquet(folder)
+        load_new_files(
+            spark, folder, orders.schema, name, ["o_orderkey"], checkpoint, prepare=note, remember="7 days"
+        )
+    spark.catalog.refreshTable(merged)
+    rows = spark.table(name).groupBy("o_orderstatus").agg(F.count("*").alias("n_rows"))
+    noted = spark.table(merged).groupBy("o_orderstatus").agg(F.count("*").alias("n_merged"))
+    return rows.join(noted, "o_orderstatus")
+
+
 def _raw_load_sql(row_id: str, status: str = "F", prefix: str = "tpep") -> str:
     return f"""WITH {A.RAW_SQL}
 SELECT {row_id} AS unique_row_id, CAST(vendor_id AS VARCHAR) AS "VendorID",

@@ -1,3 +1,5 @@
+import time
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -121,6 +123,50 @@ def test_stream_takes_each_file_once(spark, database):
     assert load() == [("a", 1), ("b", 1), ("b", 1), ("c", 2)]
 
 
+def _remembering(spark, database, remember):
+    """Functions that land rows and load them, the latter with the rows that the merge got."""
+    folder, checkpoint = scratch_path(spark, "landing"), scratch_path(spark, "progress")
+    name, schema = f"{database}.remembered", struct("key string, v int, taken_at string")
+    rebuild(spark.createDataFrame([], schema), name)
+    merged = []
+
+    def note(batch):
+        merged.extend(tuple(r)[:2] for r in batch.collect())
+        return batch
+
+    def load(*data):
+        rows = [(*r, None) for r in data]
+        spark.createDataFrame(rows, schema).write.mode("append").json(folder)
+        merged.clear()
+        load_new_files(
+            spark, folder, schema, name, ["key"], checkpoint, file_format="json", prepare=note, remember=remember
+        )
+        return sorted(merged), sorted(tuple(r)[:2] for r in spark.table(name).collect())
+
+    return load
+
+
+def test_stream_remembers_rows_of_files_sent_again(spark, database):
+    load = _remembering(spark, database, "1 day")
+    assert load(("a", 1), ("b", 1), ("b", 1)) == ([("a", 1), ("b", 1)], [("a", 1), ("b", 1)])
+    # Another row with a known key reaches the merge, which settles it; what came before does not.
+    merged, rows = load(("a", 1), ("a", 9), ("b", 1), ("c", 2))
+    assert merged == [("a", 9), ("c", 2)]
+    assert rows == [("a", 1), ("b", 1), ("c", 2)]
+    assert load(("a", 9), ("c", 2), ("b", 1))[0] == []
+
+
+def test_rows_behind_the_span_pass_the_merge_again(spark, database):
+    load = _remembering(spark, database, "1 second")
+    assert load(("a", 1))[0] == [("a", 1)]
+    for n in range(3):  # a batch forgets what the batch before it has put behind the span
+        time.sleep(1.2)
+        load((f"x{n}", n))
+    merged, rows = load(("a", 1))
+    assert merged == [("a", 1)]
+    assert rows == [("a", 1), ("x0", 0), ("x1", 1), ("x2", 2)]
+
+
 def test_an_exported_model_scores_in_another_session(spark):
     rows = spark.range(300).selectExpr(
         "cast(id % 5 as string) as PULocationID", "cast(id % 4 as string) as DOLocationID", "cast(id % 2 as string) as payment_type",
