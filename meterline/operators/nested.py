@@ -55,6 +55,9 @@ def flatten(
     the id of its parent row and the position in the list; lists inside it become grandchildren.
     Every table has a row id and the load id. Ids derive from the identity columns and positions
     alone, so each table can be computed on its own, reading only the columns it needs.
+
+    The id of a plain value, which has no rows below it, is written out: parent id, list, position.
+    Values outnumber all other rows, and a hash of each does not compress.
     """
     rows = df.withColumn(ROW_ID, row_identity(*[F.col(c) for c in identity]))
     if drop:
@@ -69,9 +72,11 @@ def _unfold(rows: DataFrame, name: str, links: list[str], load_id: str, tables:
     tables[name] = rows.select(*links, *plain, F.lit(load_id).alias(LOAD_ID))
     for field, path, element in lists:
         entry = rows.select(F.col(ROW_ID).alias(PARENT_ID), F.posexplode(path).alias(LIST_IDX, "value"))
-        child = entry.withColumn(
-            ROW_ID, row_identity(F.col(PARENT_ID), F.lit(field), F.col(LIST_IDX))
-        )
+        if isinstance(element, StructType | ArrayType):
+            identity = row_identity(F.col(PARENT_ID), F.lit(field), F.col(LIST_IDX))
+        else:
+            identity = F.concat(F.col(PARENT_ID), F.lit(f":{field}:"), F.col(LIST_IDX).cast("string"))
+        child = entry.withColumn(ROW_ID, identity)
         links_below = [ROW_ID, PARENT_ID, LIST_IDX]
         if isinstance(element, StructType):
             child = child.select(*links_below, "value.*")
@@ -116,7 +121,8 @@ def load_tables(
 ) -> LoadResult:
     """Replace every table and append one audit line per table to `_loads`.
 
-    Row counts are observed while writing; nothing is scanned again for them. A list that the documents no
+    Row counts are observed while writing; nothing is scanned again for them. Ids are hex text, of which
+    zstd stores half. A list that the documents no
     longer have leaves a child table of an earlier load behind: it is dropped, with the tables below it.
     """
     rows = {}
@@ -128,7 +134,7 @@ def load_tables(
     for name, df in tables.items():
         seen = Observation()
         counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-        counted.write.mode("overwrite").saveAsTable(f"{database}.{name}")
+        counted.write.mode("overwrite").option("compression", "zstd").saveAsTable(f"{database}.{name}")
         rows[name] = seen.get["rows"]
     audit = spark.createDataFrame(
         [(load_id, name, n) for name, n in rows.items()],

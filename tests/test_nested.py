@@ -93,6 +93,17 @@ def test_load_drops_tables_of_lists_that_are_gone(spark, database):
     assert left == {"docs", "docs__tags", "docs_other", "_loads"}
 
 
+def test_plain_values_are_stored_small(spark, database):
+    docs = spark.createDataFrame([(k, [[f"v{j % 9}" for j in range(50)]] * 40) for k in range(10)], "k int, deep array<array<string>>")
+    result = N.load_tables(spark, N.flatten(docs, "docs", ["k"], "l1"), database, "l1")
+    values = spark.table(f"{database}.docs__deep__list")
+    assert result.rows["docs__deep__list"] == values.select("_row_id").distinct().count() == 20_000
+    parents = spark.table(f"{database}.docs__deep").select("_row_id")
+    assert values.join(parents, values["_parent_id"] == parents["_row_id"]).count() == 20_000
+    files = spark.read.format("binaryFile").load(values.inputFiles()).agg(F.sum("length")).first()[0]
+    assert files < 20 * 20_000
+
+
 def test_child_values_of_null_and_empty_lists(spark):
     df = spark.createDataFrame([(1, ["a", None]), (2, []), (3, None)], "id int, v array<string>")
     got = [tuple(r) for r in N.child_values(df, "id", "v").collect()]
