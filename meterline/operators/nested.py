@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
@@ -46,6 +48,34 @@ def child_values(df: DataFrame, parent_id: str, field: str) -> DataFrame:
     return df.select(F.col(parent_id).alias(PARENT_ID), F.posexplode(field).alias(LIST_IDX, "value"))
 
 
+def text_summary(child: DataFrame) -> DataFrame:
+    """One row for each parent of a child table of texts: number of texts, last position, lowest and highest text, characters.
+
+    Texts of a parent lie together, so each Arrow batch is summed up first. A group by alone would sort all texts by their
+    parents' ids ahead of the shuffle, as Spark keeps lowest and highest texts only in sorted order.
+    """
+    names = [PARENT_ID, "n", "last", "low", "high", "chars"]
+
+    def summed(batches):
+        for batch in batches:
+            rows = pa.Table.from_batches([batch]).append_column("chars", pc.utf8_length(batch.column("value")))
+            found = rows.group_by(PARENT_ID).aggregate(
+                [([], "count_all"), (LIST_IDX, "max"), ("value", "min"), ("value", "max"), ("chars", "sum")]
+            )
+            found = found.rename_columns(names)
+            yield from found.set_column(5, "chars", found["chars"].cast(pa.int64())).to_batches()
+
+    texts = child.select(PARENT_ID, LIST_IDX, "value")
+    shape = f"{PARENT_ID} string, n long, last int, low string, high string, chars long"
+    return texts.mapInArrow(summed, shape).groupBy(PARENT_ID).agg(
+        F.sum("n").alias("n"),
+        F.max("last").alias("last"),
+        F.min("low").alias("low"),
+        F.max("high").alias("high"),
+        F.sum("chars").alias("chars"),
+    )
+
+
 def flatten(
     df: DataFrame, name: str, identity: list[str], load_id: str, drop: list[str] | None = None
 ) -> dict[str, DataFrame]:

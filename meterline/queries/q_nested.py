@@ -77,14 +77,7 @@ SELECT _parent_id, count(*) AS n, CAST(max(pos) AS INTEGER) AS last, min(word) A
 FROM words GROUP BY 1""",
 )
 def nested_grandchild(spark, sf):
-    words = _tables(spark, sf)["docs__lines__words"]
-    return words.groupBy("_parent_id").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.max("_list_idx").alias("last"),
-        F.min("value").alias("low"),
-        F.max("value").alias("high"),
-        F.sum(F.length("value")).alias("chars"),
-    )
+    return N.text_summary(_tables(spark, sf)["docs__lines__words"])
 
 
 @query(

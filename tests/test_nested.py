@@ -104,6 +104,16 @@ def test_plain_values_are_stored_small(spark, database):
     assert files < 20 * 20_000
 
 
+def test_text_summary_sorts_no_texts_ahead_of_the_shuffle(spark):
+    lists = [["b", "é", "", None], [], None, [None], [f"w{j}" for j in range(25_000)], ["x"]]
+    rows = [(k % 5, texts) for k, texts in enumerate(lists)]  # the key of the first list comes again
+    child = N.flatten(spark.createDataFrame(rows, "k int, v array<string>"), "d", ["k"], "l")["d__v"]
+    got = {tuple(r)[1:] for r in N.text_summary(child).collect()}
+    assert got == {(5, 3, "", "é", 3), (1, 0, None, None, None), (25_000, 24_999, "w0", "w9999", 138_890)}
+    plan = N.text_summary(child)._jdf.queryExecution().executedPlan().toString()
+    assert "Sort" in plan and "Sort" not in plan[plan.index("MapInArrow") :]
+
+
 def test_child_values_of_null_and_empty_lists(spark):
     df = spark.createDataFrame([(1, ["a", None]), (2, []), (3, None)], "id int, v array<string>")
     got = [tuple(r) for r in N.child_values(df, "id", "v").collect()]
