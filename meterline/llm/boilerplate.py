@@ -6,10 +6,11 @@ covered. Inside of an element that marks the article the markup prevails, as art
 inside of menus, footers, forms, comments and the like it prevails as well. All other blocks, also beside a marked article,
 lose their covered words and keep the rest.
 
-A host with many pages, or with more text than a suffix array takes, is dealt into shards of a bounded number of pages. Its runs
-are then compared over all of its pages: each page sends the hashes of its runs, dealt by hash into parts of the host, and each
-shard gets back which of its runs another page has too, wherever that page is. How large a host is, is counted in a fixed
-number of slots, so what is sent to the tasks has a fixed bound.
+A host with many pages, or with more text than a suffix array takes, is dealt into shards of a bounded size. Its runs are
+then compared over all of its pages, in two rounds dealt by hash into parts of the host: each shard asks for short fingerprints of
+its runs, and for the hashes of those whose fingerprint another shard has too. What is asked for goes as packed gaps, what is
+answered as one bit each. Pages are parsed once and shuffled once, as compressed blocks; all rounds go over that shuffle. How large a
+host is, is counted in a fixed number of slots, so what is sent to the tasks has a fixed bound.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ from meterline.llm.words import GOLDEN, SECOND, hashes, mix, spans
 
 @dataclass(frozen=True)
 class Boilerplate:
-    """Words of a run that counts as repeated, pages of a shard, slots to count hosts in, words of one suffix array."""
+    """Words of a run that counts as repeated, pages from which a host is dealt, slots to count hosts in, words of one suffix array."""
 
     least: int = 8
     pages: int = 64
@@ -337,8 +338,7 @@ class _Stream:
         return at, rolled[at]
 
 
-def _read(pages: list[str]) -> _Stream:
-    parsed = [parse(p) for p in pages]
+def _stream(parsed: list[_Page]) -> _Stream:
     encoded = [t.encode() for p in parsed for t in p.texts]
     offsets = np.concatenate(([0], np.cumsum([len(e) for e in encoded]))).astype(np.int64)
     data = np.frombuffer(b"".join(encoded), np.uint8)
@@ -348,33 +348,19 @@ def _read(pages: list[str]) -> _Stream:
     return _Stream(parsed, data, starts, ends, first, page, hashes(data, starts, ends))
 
 
-def page_runs(pages: list[str], how: Boilerplate) -> list[np.ndarray]:
-    """The distinct hashes of each page's runs."""
-    stream = _read(pages)
-    at, runs = stream.runs(how.least)
-    cuts = np.searchsorted(stream.page[at], np.arange(1, len(pages)))
-    return [np.unique(r) for r in np.split(runs, cuts)]
+def extract(pages: list[str], how: Boilerplate) -> list[tuple[str, int]]:
+    """Main text of each of all pages of one host, and how many of its blocks' words are repeated across pages."""
+    stream = _stream([parse(p) for p in pages])
+    return _kept(stream, repeated_runs(stream.word, stream.page, how.least))
 
 
-def extract(pages: list[str], how: Boilerplate, repeated: np.ndarray | None = None) -> list[tuple[str, int]]:
-    """Main text of each of some pages of one host, and how many of its blocks' words are repeated across pages.
-
-    Without `repeated`, the sorted hashes of runs that several pages of the host have, these are all of its pages.
-    """
-    stream = _read(pages)
-    parsed, data, starts, ends, first = stream.parsed, stream.data, stream.starts, stream.ends, stream.first
-    if repeated is None:
-        covered = repeated_runs(stream.word, stream.page, how.least)
-    else:
-        covered = np.zeros(len(stream.word), bool)
-        at, runs = stream.runs(how.least)
-        hit = at[np.isin(runs, repeated)]
-        for k in range(1 << (how.least.bit_length() - 1)):
-            covered[hit + k] = True
+def _kept(stream: _Stream, covered: np.ndarray) -> list[tuple[str, int]]:
+    """The pages' texts without the covered words of open blocks, and how many words of each page are covered."""
+    data, starts, ends, first = stream.data, stream.starts, stream.ends, stream.first
     total = np.concatenate(([0], np.cumsum(covered)))
     covered_of_block = total[first[1:]] - total[first[:-1]]
     out, at = [], 0
-    for p in parsed:
+    for p in stream.parsed:
         kept = []
         for i, text in enumerate(p.texts, at):
             mark = p.marks[i - at]
@@ -388,46 +374,153 @@ def extract(pages: list[str], how: Boilerplate, repeated: np.ndarray | None = No
     return out
 
 
-def _host_runs(rows: DataFrame, how: Boilerplate) -> DataFrame:
-    """(host, shard, runs): hashes of the shard's runs that several pages of its host have, from `rows` (host, shard, parts, page)."""
+def pack_numbers(numbers: np.ndarray) -> bytes:
+    """Ascending 64-bit numbers as the gaps between them: low bits as they are, the rest by counting (a Rice code)."""
+    n = len(numbers)
+    if not n:
+        return b""
+    gaps = np.diff(numbers, prepend=np.uint64(0))
+    k = max(int(numbers[-1]) // n, 1).bit_length() - 1
+    ones = np.cumsum((gaps >> np.uint64(k)).astype(np.int64) + 1) - 1
+    counted = np.zeros(int(ones[-1]) + 1, np.uint8)
+    counted[ones] = 1
+    low = ((gaps[:, None] >> np.arange(k, dtype=np.uint64)) & np.uint64(1)).astype(np.uint8)
+    return n.to_bytes(4, "little") + bytes([k]) + np.packbits(low.ravel()).tobytes() + np.packbits(counted).tobytes()
 
-    def send(batches):
-        for batch in batches:
-            hosts, shards, parts, texts = (batch.column(i).to_pylist() for i in range(4))
-            texts = [t or "" for t in texts]
-            low = 0
-            while low < len(texts):
-                high, size = low + 1, len(texts[low])
-                while high < len(texts) and size + len(texts[high]) <= how.most_chars:
-                    size += len(texts[high])
-                    high += 1
-                out = []
-                for i, runs in enumerate(page_runs(texts[low:high], how), low):
-                    part = runs % np.uint64(parts[i])
-                    for p in np.unique(part).tolist():
-                        out.append((hosts[i], shards[i], p, runs[part == p].tobytes()))
-                if out:
-                    kinds = (pa.string(), pa.int64(), pa.int64(), pa.binary())
-                    arrays = [pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)]
-                    yield pa.RecordBatch.from_arrays(arrays, names=["host", "shard", "part", "runs"])
-                low = high
-
-    def match(table):
-        host, shards = table.column("host")[0].as_py(), table.column("shard").to_numpy()
-        runs = [np.frombuffer(r.as_buffer(), np.uint64) for r in table.column("runs")]
-        shard = np.repeat(shards, [len(r) for r in runs])
-        run, at, counts = np.unique(np.concatenate(runs), return_inverse=True, return_counts=True)
-        several = counts[at] > 1
-        shard, run = shard[several], run[at[several]]
-        order = np.lexsort((run, shard))
-        shard, run = shard[order], run[order]
-        begins = np.flatnonzero(np.concatenate(([True], shard[1:] != shard[:-1]))) if len(shard) else []
-        found = [np.unique(r).tobytes() for r in np.split(run, begins[1:])] if len(shard) else []
-        arrays = [pa.array([host] * len(found), pa.string()), pa.array(shard[begins] if found else [], pa.int64())]
-        return pa.table([*arrays, pa.array(found, pa.binary())], names=["host", "shard", "runs"])
-
-    sent = rows.mapInArrow(send, "host string, shard long, part long, runs binary")
-    return sent.groupBy("host", "part").applyInArrow(match, "host string, shard long, runs binary")
+
+def unpack_numbers(packed: bytes) -> np.ndarray:
+    if not packed:
+        return np.zeros(0, np.uint64)
+    n, k = int.from_bytes(packed[:4], "little"), packed[4]
+    bits, end = np.frombuffer(packed, np.uint8, offset=5), (n * k + 7) // 8
+    low = np.unpackbits(bits[:end], count=n * k).reshape(n, k).astype(np.uint64)
+    low = (low << np.arange(k, dtype=np.uint64)).sum(axis=1, dtype=np.uint64)
+    ones = np.flatnonzero(np.unpackbits(bits[end:]))[:n]
+    high = np.diff(ones, prepend=-1) - 1
+    return np.cumsum((high.astype(np.uint64) << np.uint64(k)) + low, dtype=np.uint64)
+
+
+def _pack_page(page: _Page) -> bytes:
+    """A page's blocks, compressed. Blocks hold no line ends."""
+    marks = bytes(m + 1 for m in page.marks)
+    data = len(marks).to_bytes(4, "little") + marks + "\n".join(page.texts).encode()
+    return len(data).to_bytes(4, "little") + pa.compress(data, codec="zstd", asbytes=True)
+
+
+def _unpack_page(packed: bytes) -> _Page:
+    data = pa.decompress(packed[4:], int.from_bytes(packed[:4], "little"), codec="zstd", asbytes=True)
+    n = int.from_bytes(data[:4], "little")
+    return _Page(data[4 + n :].decode().split("\n") if n else [], [m - 1 for m in data[4 : 4 + n]])
+
+
+#: Bits of a fingerprint among the runs of a part, of which there are up to about 2^20: one in 64 is met by chance.
+_PRINT = np.uint64(26)
+
+
+class _Shard:
+    """Runs of a shard, and what other shards of the host said of them.
+
+    A run in two of the shard's pages is repeated. Of the others, fingerprints are asked for first and hashes where a
+    fingerprint was met; answers are bits in the order of what was sent.
+    """
+
+    def __init__(self, table: pa.Table, how: Boilerplate):
+        self.parts = table.column("parts")[0].as_py()
+        self.stream = _stream([_unpack_page(p) for p in table.column("packed").to_pylist()])
+        self.width = 1 << (how.least.bit_length() - 1)
+        self.at, self.runs = self.stream.runs(how.least)
+        page = self.stream.page[self.at]
+        order = np.lexsort((page, self.runs))
+        run, page = self.runs[order], page[order]
+        new = np.concatenate(([True], run[1:] != run[:-1])) if len(run) else np.zeros(0, bool)
+        begins = np.flatnonzero(new)
+        self.distinct = run[begins]
+        self.own = page[begins] != page[np.append(begins[1:], len(run)) - 1] if len(run) else np.zeros(0, bool)
+
+    def prints(self):
+        """(part, places of its runs in `distinct`, their fingerprints ascending and distinct, fingerprint of each run)."""
+        part = self.distinct % np.uint64(self.parts)
+        order = np.argsort(part, kind="stable")
+        cuts = np.flatnonzero(np.diff(part[order])) + 1
+        for places in np.split(order, cuts) if len(order) else []:
+            prints, at = np.unique(self.distinct[places] >> (np.uint64(64) - _PRINT), return_inverse=True)
+            yield int(part[places[0]]), places, prints, at
+
+    def met(self, told: pa.Table):
+        """(part, bits, places of the runs whose fingerprint another shard has too, what was said of these hashes)."""
+        said = {p: (m, f) for p, m, f in zip(*(told.column(c).to_pylist() for c in ("part", "met", "found")), strict=True)}
+        for part, places, prints, at in self.prints():
+            if part in said:
+                bits, found = said[part]
+                yield part, bits, places[_bits(bits, len(prints))[at]], found
+
+    def covered(self, told: pa.Table) -> np.ndarray:
+        repeated = self.own.copy()
+        for _, _, places, found in self.met(told):
+            repeated[places] |= _bits(found, len(places))
+        covered = np.zeros(len(self.stream.word), bool)
+        hit = self.at[repeated[np.searchsorted(self.distinct, self.runs)]] if len(self.runs) else self.at
+        for k in range(self.width):
+            covered[hit + k] = True
+        return covered
+
+
+def _bits(packed: bytes, n: int) -> np.ndarray:
+    return np.unpackbits(np.frombuffer(packed, np.uint8), count=n).astype(bool)
+
+
+_ASKED = pa.schema(
+    [("host", pa.string()), ("shard", pa.int64()), ("part", pa.int64()), ("met", pa.binary()), ("asked", pa.binary())]
+)
+_TOLD = pa.schema([*[_ASKED.field(i) for i in range(4)], ("found", pa.binary())])
+_ASKED_SHAPE = "host string, shard long, part long, met binary, asked binary"
+_TOLD_SHAPE = "host string, shard long, part long, met binary, found binary"
+
+
+def _rows(rows: list[tuple], schema: pa.Schema) -> pa.Table:
+    columns = list(zip(*rows, strict=True)) or [()] * len(schema)
+    return pa.table([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+
+
+def _group(table: pa.Table) -> tuple[str, int]:
+    return table.column("host")[0].as_py(), table.column("shard")[0].as_py()
+
+
+def _found_runs(dealt: DataFrame, how: Boilerplate) -> DataFrame:
+    """What each shard is told of its runs: which fingerprints another shard of the host has, and which of their hashes.
+
+    Both rounds go over the same shuffled pages.
+    """
+
+    def ask(table):
+        group = _group(table)
+        return _rows([(*group, p, None, pack_numbers(prints)) for p, _, prints, _ in _Shard(table, how).prints()], _ASKED)
+
+    def ask_again(table, told):
+        if not (table.num_rows and told.num_rows):
+            return _rows([], _ASKED)
+        group, shard = _group(table), _Shard(table, how)
+        met = shard.met(told)
+        return _rows([(*group, p, bits, pack_numbers(shard.distinct[places])) for p, bits, places, _ in met], _ASKED)
+
+    def answer(table):
+        asked = [unpack_numbers(a) for a in table.column("asked").to_pylist()]
+        _, at, counts = np.unique(np.concatenate(asked), return_inverse=True, return_counts=True)
+        several = np.split(counts[at] > 1, np.cumsum([len(a) for a in asked])[:-1])
+        names = zip(*(table.column(c).to_pylist() for c in ("host", "shard", "part", "met")), strict=True)
+        return [(*n, np.packbits(s).tobytes()) for n, s in zip(names, several, strict=True) if s.any()]
+
+    def answer_prints(table):
+        return _rows([(*n[:3], bits, b"") for *n, bits in answer(table)], _TOLD)
+
+    def answer_hashes(table):
+        return _rows(answer(table), _TOLD)
+
+    asked = dealt.groupBy("host", "shard").applyInArrow(ask, _ASKED_SHAPE)
+    told = asked.groupBy("host", "part").applyInArrow(answer_prints, _TOLD_SHAPE)
+    both = dealt.groupBy("host", "shard").cogroup(told.groupBy("host", "shard"))
+    asked = both.applyInArrow(ask_again, _ASKED_SHAPE)
+    return asked.groupBy("host", "part").applyInArrow(answer_hashes, _TOLD_SHAPE)
 
 
 def main_text(
@@ -446,59 +539,55 @@ def main_text(
     sizes = rows.groupBy("slot").agg(F.count("*").alias("count"), F.sum(F.length("page")).alias("chars"))
     sizes = sizes.filter((F.col("count") > how.pages) | (F.col("chars") > how.most_chars))
     parts = F.greatest(F.ceil(F.col("chars") / how.most_chars), F.lit(1))
-    sizes = sizes.select("slot", F.ceil(F.col("count") / how.pages).alias("shards"), parts.alias("parts"))
+    # Each shard may ask each part: with small shards, what is sent beside the runs would outgrow them in a very large host.
+    shards = F.greatest(F.least(F.ceil(F.col("count") / how.pages), 2 * parts), parts)
+    sizes = sizes.select("slot", shards.alias("shards"), parts.alias("parts"))
     # At most `slots` rows of three numbers, whatever the number of pages.
     rows = rows.join(F.broadcast(sizes), "slot", "left")
     shard = F.pmod(F.xxhash64("key", "url", F.length("page")), F.coalesce("shards", F.lit(1)))
-    rows = rows.withColumn("shard", shard)
-    found = _host_runs(rows.filter("parts IS NOT NULL").select("host", "shard", "parts", "page"), how)
-    # What a shard is told of its runs comes ahead of its pages.
-    told = found.select("host", "shard", F.lit(0).alias("kind"), "runs")
-    own = rows.select("host", "shard", F.when(F.isnull("parts"), 1).otherwise(2).alias("kind"), "key", "url", "page")
-    dealt = own.unionByName(told, allowMissingColumns=True).repartition("host", "shard")
-    dealt = dealt.sortWithinPartitions("host", "shard", "kind", "key")
+    rows = rows.select("key", "url", "page", "host", shard.alias("shard"), F.coalesce("parts", F.lit(0)).alias("parts"))
+    key_kind = pages.schema[key].dataType.simpleString()
+
+    def pack(batches):
+        for batch in batches:
+            packed = [_pack_page(parse(p or "")) for p in batch.column(2).to_pylist()]
+            columns = [batch.column(0), batch.column(1), pa.array(packed, pa.binary()), *batch.columns[3:]]
+            yield pa.RecordBatch.from_arrays(columns, names=["key", "url", "packed", "host", "shard", "parts"])
+
+    def packed(some: DataFrame) -> DataFrame:
+        return some.mapInArrow(pack, f"key {key_kind}, url string, packed binary, host string, shard long, parts long")
+
+    def texts(keys, urls, found) -> dict:
+        counts = [[len(t) for t, _ in found], [n for _, n in found]]
+        columns = [keys, urls, pa.array([t for t, _ in found], pa.string()), *(pa.array(c, pa.int64()) for c in counts)]
+        return dict(zip([key, "url", "text", "n_chars", "n_repeated"], columns, strict=True))
 
     def run(batches):
-        group, told, keys, urls, texts, size = None, [], [], [], [], 0
-        wide = False
-        key_type = url_type = None
+        group, held = None, []
 
         def done():
-            repeated = np.unique(np.concatenate([np.zeros(0, np.uint64), *told])) if wide else None
-            found = extract(texts, how, repeated)
-            return pa.RecordBatch.from_arrays(
-                [
-                    pa.array(keys, key_type),
-                    pa.array(urls, url_type),
-                    pa.array([t for t, _ in found], pa.string()),
-                    pa.array([len(t) for t, _ in found], pa.int64()),
-                    pa.array([n for _, n in found], pa.int64()),
-                ],
-                names=[key, "url", "text", "n_chars", "n_repeated"],
-            )
+            stream = _stream([_unpack_page(p) for _, _, p in held])
+            found = _kept(stream, repeated_runs(stream.word, stream.page, how.least))
+            keys, urls = pa.array([k for k, _, _ in held], key_type), pa.array([u for _, u, _ in held], url_type)
+            return pa.RecordBatch.from_pydict(texts(keys, urls, found))
 
         for batch in batches:
-            key_type, url_type = batch.column(3).type, batch.column(4).type
-            columns = [batch.column(i).to_pylist() for i in range(7)]
-            for host, shard, kind, k, u, text, runs in zip(*columns, strict=True):
-                text = text or ""
-                if keys and (group != (host, shard) or size + len(text) > how.most_chars):
+            key_type, url_type = batch.column(0).type, batch.column(1).type
+            for k, u, p, host in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+                if held and group != host:
                     yield done()
-                    keys, urls, texts, size = [], [], [], 0
-                if group != (host, shard):
-                    group, told = (host, shard), []
-                if kind == 0:
-                    told.append(np.frombuffer(runs, np.uint64))
-                    continue
-                wide = kind == 2
-                keys.append(k)
-                urls.append(u)
-                texts.append(text)
-                size += len(text)
-        if keys:
+                    held = []
+                group = host
+                held.append((k, u, p))
+        if held:
             yield done()
 
-    kind = pages.schema[key].dataType.simpleString()
-    return dealt.mapInArrow(
-        run, f"`{key}` {kind}, url string, text string, n_chars long, n_repeated long"
-    )
+    def run_shard(table, told):
+        shard = _Shard(table, how)
+        return pa.table(texts(table.column("key"), table.column("url"), _kept(shard.stream, shard.covered(told))))
+
+    shape = f"`{key}` {key_kind}, url string, text string, n_chars long, n_repeated long"
+    small = packed(rows.filter("parts = 0")).repartition("host").sortWithinPartitions("host", "key")
+    dealt = packed(rows.filter("parts > 0"))
+    both = dealt.groupBy("host", "shard").cogroup(_found_runs(dealt, how).groupBy("host", "shard"))
+    return small.mapInArrow(run, shape).unionByName(both.applyInArrow(run_shard, shape))

@@ -489,6 +489,43 @@ def test_repetition_is_seen_across_a_large_host(spark, how):
         assert got[k].text.split()[-1] == f"own{k}word19" and got[k].n_repeated == 12 * (k % 100 == 7)
 
 
+def test_dealt_hosts_give_what_one_suffix_array_gives(spark):
+    random = np.random.default_rng(7)
+    rows = []
+    for k in range(240):
+        words = [f"w{w}" for w in random.integers(0, 3, random.integers(0, 60))]
+        blocks = [f"<{t}>{' '.join(words[i::3])} é{k % 50}</{t}>" for i, t in enumerate(("div", "article", "nav"))]
+        rows.append((None if k % 40 == 0 else k // 2, f"http://h{k % 3 % 2}.org/{k % 5}", None if k % 30 == 0 else "".join(blocks)))
+    pages = spark.createDataFrame(rows + rows[:9], "page_id long, url string, html string").repartition(4)
+    want = sorted(boilerplate.main_text(pages, boilerplate.Boilerplate(pages=1000)).collect(), key=str)
+    assert len(want) == 249 and sum(r.n_repeated for r in want) > 1000
+    for how in (boilerplate.Boilerplate(pages=10), boilerplate.Boilerplate(most_words=200)):
+        assert sorted(boilerplate.main_text(pages, how).collect(), key=str) == want
+
+
+@given(st.lists(st.one_of(st.integers(0, 2**64 - 1), st.integers(0, 300)), unique=True, max_size=60))
+@settings(max_examples=300, deadline=None)
+def test_packed_numbers(numbers):
+    given = np.array(sorted(numbers), np.uint64)
+    assert boilerplate.unpack_numbers(boilerplate.pack_numbers(given)).tolist() == given.tolist()
+
+
+def test_comparing_a_large_host_shuffles_little(spark):
+    random = np.random.default_rng(8)
+    rows = [(k, "http://h.org/x", "<p>" + " ".join(map(str, random.integers(0, 10**6, 2000)))) for k in range(40)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = boilerplate.main_text(pages, boilerplate.Boilerplate(pages=10))
+    assert len(got.collect()) == 40
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    plan = plan[: plan.index("Initial Plan")]
+    # All rounds go over one shuffle of the pages, in which they are packed.
+    assert plan.count("ReusedExchange") >= 2
+    exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning(host" in line]
+    assert 0 < len(exchanges) <= 8
+    runs = np.sort(random.integers(0, 2**26, 20_000).astype(np.uint64))
+    assert len(boilerplate.pack_numbers(runs)) < 2 * 20_000
+
+
 @given(st.lists(st.lists(st.integers(0, 3), max_size=12), min_size=1, max_size=4))
 @settings(max_examples=300, deadline=None)
 def test_repeated_runs(pages):
