@@ -38,7 +38,7 @@ from meterline.llm.arrow import portions, utf8
 from meterline.llm.components import Deal, components, deal_of, write_scratch
 from meterline.llm.words import GOLDEN, mix, shingle_sets
 
-_PORTION = 1 << 20
+_PORTION = 1 << 18
 _SHINGLES = 2048
 #: Long integers of a sketch.
 SKETCH = 8

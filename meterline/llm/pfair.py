@@ -29,7 +29,8 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from meterline.llm.components import write_scratch
 
@@ -177,15 +178,11 @@ def mix_sources(
     blocks = [-(-sizes[s] // how.block) for s in names]
     slots = write_scratch(scheduled(spark, [parts[s] for s in names], blocks, how.period), "mix-slots")
     rows = [(i, s, sizes[s], -(-sizes[s] // how.rank_rows)) for i, s in enumerate(names)]
-    kind = docs.schema[source].dataType.simpleString()
-    plan = spark.createDataFrame(
-        rows,
-        f"of_index int, of_source {kind}, of_rows long, of_buckets long",
-    )
+    plan = _plan(spark, rows, docs.schema[source].dataType)
 
     # The caller's row travels in one structure, whatever its names; a text stands beside it, to be compressed.
     hashed = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns if not is_map(docs, c)])
-    long = text in docs.columns and text not in (key, source) and isinstance(docs.schema[text].dataType, StringType)
+    long = text in docs.columns and text not in (key, source) and isinstance(docs.schema[text].dataType, T.StringType)
     rest = [c for c in docs.columns if not (long and c == text)]
     marked = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in rest]).alias("of_row"),
@@ -226,6 +223,21 @@ def mix_sources(
     )
 
 
+def _plan(spark, rows: list[tuple], kind: T.DataType) -> DataFrame:
+    """(of_index, of_source, of_rows, of_buckets) as literal rows.
+
+    Arrow passes them on by the driver alone. A list of rows goes through a Python job, for which every executor starts a
+    second set of Python workers; so only sources of nested types or points in time are sent like that.
+    """
+    fields = {"of_index": T.IntegerType(), "of_source": kind, "of_rows": T.LongType(), "of_buckets": T.LongType()}
+    schema = T.StructType([T.StructField(name, t) for name, t in fields.items()])
+    if not isinstance(kind, (T.StringType, T.NumericType, T.BooleanType, T.DateType)):
+        return spark.createDataFrame(rows, schema)
+    columns = zip(zip(*rows, strict=True), fields.values(), strict=True)
+    arrays = [pa.array(values, to_arrow_type(t)) for values, t in columns]
+    return spark.createDataFrame(pa.Table.from_arrays(arrays, names=list(fields)), schema)
+
+
 def _rounds(offsets: DataFrame, slots: DataFrame, plan: DataFrame, block: int) -> DataFrame:
     """For each bucket and round of its source: the place of its first row, its first block, and the slots of its blocks."""
     lengths = slots.groupBy("of_index").agg((F.count("*") * block).alias("of_length"))

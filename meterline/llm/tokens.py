@@ -33,8 +33,8 @@ WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 WORD_PIECES = rf"{CONTRACTIONS}|[{LETTERS}]+|[{NUMBERS}]|[^{SPACES}{LETTERS}{NUMBERS}]+"
 WORD_NORMALIZERS = ["NFC", "Replace", "Lowercase"]
 
-#: Pieces a worker remembers before it starts afresh; about 150 bytes each.
-REMEMBERED = 1_000_000
+#: Pieces a worker remembers, about 150 bytes each; after as many that found no room it starts afresh.
+REMEMBERED = 200_000
 
 
 def byte_letters() -> dict[int, str]:
@@ -51,13 +51,19 @@ class _Pieces(dict):
 
     def __init__(self, model, code: str):
         self.model, self.code, self.letters = model, code, byte_letters()
+        self.turned_away = 0
 
     def __missing__(self, piece: str) -> bytes:
-        if len(self) >= REMEMBERED:
-            self.clear()
         written = piece.encode().decode("latin-1").translate(self.letters)
         ids = array(self.code, [t.id for t in self.model.tokenize(written)]).tobytes()
-        self[piece] = ids
+        # Words that are common are met early; the rare ones that come later would only push them out.
+        if len(self) < REMEMBERED:
+            self[piece] = ids
+        elif (rest := self.turned_away + 1) < REMEMBERED:
+            self.turned_away = rest
+        else:
+            self.clear()
+            self.turned_away = 0
         return ids
 
 

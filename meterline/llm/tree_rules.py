@@ -17,7 +17,7 @@ from meterline.llm.arrow import portions, utf8
 from meterline.llm.labelled import training_rows
 from meterline.llm.words import GOLDEN, SECOND, hashes, mix, spans
 
-_PORTION = 1 << 20
+_PORTION = 1 << 18
 SYMBOLS = np.frombuffer(b"#*$%&|<>", np.uint8)
 
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]

@@ -18,7 +18,8 @@ _RANDOM = np.random.default_rng(20240229)
 _BYTE = _RANDOM.integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
 _BASE = 0x9E3779B97F4A7C15 | 3
 _INVERSE = pow(_BASE, -1, 2**64)
-_SPAN = 1 << 20
+#: Bytes that are summed up at a time. Hashes do not depend on it; a worker keeps 16 bytes of powers for each.
+_SPAN = 1 << 17
 _powers: list[np.ndarray] = []
 
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)

@@ -11,8 +11,9 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
-from meterline.llm import boilerplate, byte_cnn, chat, labelled, pfair, tree_rules, url_model
+from meterline.llm import boilerplate, byte_cnn, chat, labelled, pfair, tree_rules, url_model, words
 from meterline.llm.arrow import keep_rows, prepare, utf8
 from meterline.llm.queries import HARD_TEXT, URL_RULES
 
@@ -369,6 +370,38 @@ def test_schedule_keeps_to_the_weights(sizes, period):
     assert had == slots
 
 
+KINDS = ["string", "int", "long", "double", "decimal(9,2)", "boolean", "date", "timestamp", "struct<a:int>"]
+
+
+@pytest.mark.parametrize("kind", KINDS)
+def test_plan_of_sources_needs_no_python_job(spark, kind):
+    """A list of rows went through Python workers of its own on every executor."""
+    texts = {"boolean": "true", "date": "2024-02-29", "timestamp": "2024-02-29 12:30:00.000001", "struct<a:int>": None}
+    text = texts.get(kind, "12")
+    value = F.named_struct(F.lit("a"), F.lit(7)) if text is None else F.lit(text).cast(kind)
+    own = spark.range(2).select(F.when(F.col("id") == 0, value).alias("of_source"))
+    rows = [(i, r[0], 40 + i, 1) for i, r in enumerate(own.collect())]
+    plan = pfair._plan(spark, rows, own.schema[0].dataType)
+    assert [tuple(r) for r in plan.orderBy("of_index").collect()] == rows
+    assert own.join(plan, own.of_source.eqNullSafe(plan.of_source)).count() == 2
+    if kind not in ("timestamp", "struct<a:int>"):
+        assert "LogicalRDD" not in plan._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_word_hashes_do_not_depend_on_the_span(monkeypatch):
+    rng = np.random.default_rng(3)
+    data = rng.choice(np.frombuffer(b"abcdefg    \n", np.uint8), 5000)
+    offsets = np.array([0, 1000, 1000, 5000])
+    starts, ends, _ = words.spans(data, offsets)
+    found = []
+    for span in (16, 1000, 1 << 17, 1 << 20):
+        monkeypatch.setattr(words, "_SPAN", span)
+        monkeypatch.setattr(words, "_powers", [])
+        found.append(words.hashes(data, starts, ends))
+    assert all((f == found[0]).all() for f in found)
+    assert len({bytes(data[a:b]) for a, b in zip(starts, ends)}) == len(set(found[0].tolist()))
+
+
 def test_mix_of_documents(spark):
     rows = [(i, ["a", "a", "a", "b", None, "c"][i % 6] if i < 300 else "a", f"t{i}") for i in range(700)]
     rows += [(None, "b", "no id"), (5, "b", "same"), (5, "b", "same")]

@@ -10,7 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from meterline.llm import packing, records
+from meterline.llm import packing, records, tokens
 from meterline.llm.arrow import prepare
 from meterline.llm.tokens import Encoder, encoder, tokenizer_path
 from meterline.session import scratch_path
@@ -67,6 +67,22 @@ def library_cached(path, text):
     return _kept[path].encode(text, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("path", [WORD, BYTE])
+def test_remembered_pieces_are_bounded_and_common_ones_stay(monkeypatch, path):
+    assert tokens.REMEMBERED <= 200_000  # two workers of an executor keep these between their tasks
+    monkeypatch.setattr(tokens, "REMEMBERED", 20)
+    coder = Encoder(path)
+    common = " the and of"
+    text = common + "".join(f" rare{'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10]}{common}" for i in range(30))
+    got = np.frombuffer(coder.encode(text), coder.dtype).tolist()
+    assert got == library_cached(path, text)
+    assert len(coder.pieces) == 20 and {p.strip() for p in coder.pieces} >= {"the", "and", "of"}
+    for n in range(40):
+        coder.encode(f" {'xyzuv'[n % 5]}{'abcdefgh'[n // 5]}next")
+        assert len(coder.pieces) <= 20
+    assert any(p.endswith("next") for p in coder.pieces)  # another kind of text: it started afresh
+
+
 def test_unknown_patterns_go_to_the_library(monkeypatch):
     monkeypatch.setattr(Encoder, "_known", staticmethod(lambda spec: (None, False)))
     coder = Encoder(BYTE)
